@@ -77,10 +77,14 @@ def zscore_array(df: DataFrame, array: str, width: int, skip_last: int = ENGINEE
     moments = stats.agg(ordered.alias("m")).scalar()
 
     def scaled(v: Column, i: Column) -> Column:
-        m = F.get(moments, i)
+        m = F.get("_moments", i)
         return F.when(m["variance"] > 0, (v - m["mean"]) / F.sqrt(m["variance"])).otherwise(v)
 
-    return df.withColumn(array, F.transform(F.col(array), scaled))
+    return (
+        df.withColumn("_moments", moments)
+        .withColumn(array, F.transform(F.col(array), scaled))
+        .drop("_moments")
+    )
 
 
 def sparse_triplet(df: DataFrame, array: str, label: str = "label", alias: str = "entries") -> DataFrame:

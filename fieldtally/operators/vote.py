@@ -46,7 +46,8 @@ class Vote:
         """Adds ``score`` and ``prediction``."""
         columns, scored, answers = list(df.columns), df, []
         for i, member in enumerate(self.members):
-            answer = f"_answer{i}"
+            # A vote can be a member of a vote: the column count keeps the names of the levels apart.
+            answer = f"_answer{len(columns)}_{i}"
             scored = member.transform(scored).select(
                 *columns, *answers, F.col("prediction").cast("double").alias(answer)
             )

@@ -5,6 +5,8 @@ from pyspark.sql import functions as F
 from fieldtally.operators import sampling as s
 from fieldtally.queries.registry import query, sql_hash
 from fieldtally.queries.tables import WITH_OBS, obs, table
+from fieldtally.session import fresh_folder
+from fieldtally.sources.text import read_lines
 
 _SPLIT = f"CASE WHEN {sql_hash(chr(39) + '345' + chr(39), 'event_id')} % 10000 < 8000 THEN 'train' ELSE 'validation' END"
 
@@ -22,31 +24,28 @@ def filter_primary(spark, d):
     return s.filter_primary(obs(spark, d), "primary_flag").select("event_id", "target_raw")
 
 
-def _lines(spark, d):
-    return obs(spark, d).select(F.concat_ws(",", F.col("event_id").cast("string"), "primary_flag", "target_raw").alias("value"))
-
-
 _LINE = "concat_ws(',', CAST(event_id AS VARCHAR), primary_flag, target_raw)"
-_HEADER = "event_id,primary_flag,target_raw"
 
 
-def _with_header(spark, d):
-    header = spark.range(1).select(F.lit(_HEADER).alias("value"))
-    return header.unionByName(_lines(spark, d)).unionByName(header), header
+def _headed(spark, d):
+    """Lines of three files that each start with a header row."""
+    path = fresh_folder(spark, "headed")
+    rows = obs(spark, d).select("event_id", "primary_flag", "target_raw")
+    rows.repartition(3, "event_id").write.csv(path, header=True)
+    return read_lines(spark, path)
 
 
 @query("f3_filter_header", f"{WITH_OBS} SELECT CAST(event_id AS VARCHAR) AS id, primary_flag FROM obs")
 def filter_header(spark, d):
-    both, _ = _with_header(spark, d)
     cells = F.split("value", ",")
-    rows = both.select(F.get(cells, F.lit(0)).alias("id"), F.get(cells, F.lit(1)).alias("primary_flag"))
+    rows = _headed(spark, d).select(F.get(cells, F.lit(0)).alias("id"), F.get(cells, F.lit(1)).alias("primary_flag"))
     return s.filter_header(rows, "primary_flag", "primary_flag")
 
 
 @query("f4_subtract_header", f"{WITH_OBS} SELECT {_LINE} AS value FROM obs")
 def subtract_header(spark, d):
-    both, header = _with_header(spark, d)
-    return s.subtract_lines(both, header)
+    lines = _headed(spark, d)
+    return s.subtract_lines(lines, lines.filter(F.col("value").startswith("event_id,")).limit(1))
 
 
 def _keep_sql(salt, seen, zero, missing, other):

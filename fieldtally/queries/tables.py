@@ -153,6 +153,8 @@ WITH_WIDE = (
 def wide_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every event as one raw line of 1,657 cells, column ``value``."""
     events = table(spark, sf_dir, "events").selectExpr("event_id AS e", "user_id AS u")
+    # A small file is one split, and each of its rows becomes 1,657 cells: spread the two numbers first.
+    events = events.repartition(spark.sparkContext.defaultParallelism)
     return events.selectExpr(
         f"array_join(transform(sequence(0, {WIDTH - 1}), p -> {SPARK_CELL}), ',') AS value"
     )
