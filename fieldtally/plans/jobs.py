@@ -8,14 +8,25 @@ from pyspark.sql import functions as F
 
 from fieldtally.catalog import ArrayCells
 from fieldtally.operators.correlate import corr_matrix_vector, corr_target_array
+from fieldtally.operators.engineer import sparse_vector
 from fieldtally.operators.evaluate import confusion_accuracy, parse_predictions
 from fieldtally.operators.order import cache_input
 from fieldtally.operators.profile import target_profile
-from fieldtally.operators.sampling import BALANCE, CORRELATION, Rates, class_balance, nested_sample, random_split, target_sample
+from fieldtally.operators.sampling import (
+    BALANCE,
+    BALANCE_TWO_THIRDS,
+    CORRELATION,
+    Rates,
+    class_balance,
+    nested_sample,
+    random_split,
+    target_sample,
+)
 from fieldtally.operators.score import score_test, score_validation
 from fieldtally.operators.train import ENSEMBLE, ENSEMBLE_SIZE, deep_forest, fit, fit_ensemble, logistic_l1
 from fieldtally.operators.vote import Vote
 from fieldtally.plans.record import RecordPlan, RecordSpec
+from fieldtally.session import materialize, spread
 from fieldtally.sources.sinks import write_corr_matrix, write_corr_pairs, write_lines, write_submission
 from fieldtally.sources.text import read_wide
 
@@ -40,7 +51,7 @@ def training_frame(raw: DataFrame, plan: RecordPlan, rates: Rates = BALANCE, str
 
 def train(raw: DataFrame, plan: RecordPlan, estimator: Estimator | None = None, rates: Rates = BALANCE) -> PipelineModel:
     """Filter → balance → clean → fit. The cleaned frame is cached, the raw text is not."""
-    frame = cache_input(training_frame(raw, plan, rates))
+    frame = cache_input(spread(training_frame(raw, plan, rates)))
     try:
         return fit(estimator or logistic_l1(), frame)
     finally:
@@ -71,7 +82,7 @@ def train_job(spark: SparkSession, path: str, model_path: str, spec: RecordSpec
 def ensemble_job(spark: SparkSession, path: str, model_path: str, kinds: tuple[str, ...] = ENSEMBLE[:ENSEMBLE_SIZE],
                  overrides: dict[str, dict] | None = None) -> None:
     raw, plan = open_wide(spark, path)
-    frame = cache_input(training_frame(raw, plan))
+    frame = cache_input(spread(training_frame(raw, plan)))
     try:
         save_model(spark, fit_ensemble(frame, kinds, overrides), plan.spec, model_path)
     finally:
@@ -84,6 +95,8 @@ def score_job(spark: SparkSession, path: str, model_path: str, result_path: str,
     raw, plan = open_wide(spark, path, spec, in_order=True)
     order = ("_file", "_block", "_row")
     scored = score_test(model, plan.transform(raw, labelled=False, keep=order), spec.key, *order)
+    # The sort samples its input before it shuffles: pin the narrow result, so that rows are scored once.
+    scored = materialize(scored, "scored")
     write_submission(scored, result_path, order, spec.key, single_file=single_file)
 
 
@@ -101,14 +114,9 @@ def accuracy_job(spark: SparkSession, path: str) -> DataFrame:
 
 def sample_job(spark: SparkSession, path: str, out: str) -> None:
     """About 1 % of the data lines, without the header."""
-    raw, plan = open_wide_lines(spark, path)
-    write_lines(nested_sample(raw, plan.key(), SAMPLE, SAMPLE, (SAMPLE_SEED, f"{SAMPLE_SEED}b")).select("value"), out)
-
-
-def open_wide_lines(spark: SparkSession, path: str):
-    raw, catalog = read_wide(spark, path, prune=False)
-    raw = raw.withColumn("value", F.concat_ws(",", "cells"))
-    return raw, RecordPlan(RecordSpec(), ArrayCells(catalog))
+    raw, plan = open_wide(spark, path)
+    sample = nested_sample(raw, plan.key(), SAMPLE, SAMPLE, (SAMPLE_SEED, f"{SAMPLE_SEED}b"))
+    write_lines(sample.select(F.concat_ws(",", "cells")), out)
 
 
 def profile_job(spark: SparkSession, path: str) -> DataFrame:
@@ -120,15 +128,9 @@ def correlation_job(spark: SparkSession, path: str, matrix_path: str, pairs_path
     """Pearson matrix of the cleaned columns of a sampled file, label first; optionally target pairs."""
     raw, plan = open_wide(spark, path)
     rows = target_sample(plan.select_rows(raw), plan.target(), plan.key(), CORRELATION)
-    arrays = plan.to_arrays(rows)
-    from fieldtally.operators.engineer import sparse_vector
-
-    joint = arrays.select(F.concat(F.array("label"), "values").alias("values"))
-    vectors = cache_input(sparse_vector(joint, "values", plan.width + 1).select("features"))
-    try:
-        write_corr_matrix(corr_matrix_vector(vectors), matrix_path)
-    finally:
-        vectors.unpersist()
+    joint = plan.to_arrays(rows).select(F.concat(F.array("label"), "values").alias("values"))
+    vectors = sparse_vector(joint, "values", plan.width + 1).select("features")
+    write_corr_matrix(corr_matrix_vector(vectors), matrix_path)
     if pairs_path:
         write_corr_pairs(species_pairs(raw, plan), pairs_path)
 
@@ -149,10 +151,9 @@ def combined_job(spark: SparkSession, path: str, validation_path: str, model_pat
     parts = random_split(raw, plan.key(), SPLIT, SPLIT_SEED)
     held = parts.filter(F.col("split") == "validation")
     write_lines(held.select(F.concat_ws(",", "cells").alias("value")), validation_path)
-    from fieldtally.operators.sampling import BALANCE_TWO_THIRDS
-
-    rows = plan.select_rows(parts.filter(F.col("split") == "train"), strict=True)
-    frame = cache_input(plan.transform(class_balance(rows, plan.target(), plan.key(), BALANCE_TWO_THIRDS)))
+    frame = cache_input(
+        spread(training_frame(parts.filter(F.col("split") == "train"), plan, BALANCE_TWO_THIRDS, strict=True))
+    )
     try:
         model = fit(deep_forest(), frame)
     finally:

@@ -19,7 +19,7 @@ from fieldtally.plans import jobs
 from fieldtally.queries.columns import checklist_plan
 from fieldtally.queries.registry import query, r6, sql_r6
 from fieldtally.queries.tables import WITH_OBS, checklist, obs, table
-from fieldtally.session import fresh_folder
+from fieldtally.session import fresh_folder, materialize, spread
 
 QUICK = {"gbt": {"maxIter": 5}, "adaboost": {"rounds": 5}, "mlp": {"maxIter": 10}}
 
@@ -29,7 +29,7 @@ def frames(spark, d):
     plan = checklist_plan()
     parts = random_split(checklist(spark, d), plan.key(), jobs.SPLIT, jobs.SPLIT_SEED)
     rows = class_balance(plan.select_rows(parts.filter("split = 'train'")), plan.target(), plan.key())
-    return plan, cache_input(plan.transform(rows)), plan.transform(parts.filter("split = 'validation'"))
+    return plan, cache_input(spread(plan.transform(rows))), plan.transform(parts.filter("split = 'validation'"))
 
 
 def report(spark, model, plan, validation, kind):
@@ -193,9 +193,11 @@ def score_test_query(spark, d):
         model = train.fit_kind("logistic_l1", training)
     finally:
         training.unpersist()
-    numbered = zip_index(checklist(spark, d), "SAMPLING_EVENT_ID")
-    scored = score_test(model, plan.transform(numbered, labelled=False, keep=["index"]), plan.spec.key, "index")
-    return scored.orderBy("index").select(
+    # Score first: two narrow columns are numbered and sorted, not the raw record.
+    scored = score_test(model, plan.transform(checklist(spark, d), labelled=False), plan.spec.key)
+    order = F.col(plan.spec.key).cast("bigint").alias("order")
+    numbered = zip_index(materialize(scored.select(order, "*"), "scored"), "order")
+    return numbered.orderBy("index").select(
         "index", plan.spec.key, F.col("prediction").alias("SAW_AGELAIUS_PHOENICEUS")
     )
 

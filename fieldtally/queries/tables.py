@@ -128,21 +128,28 @@ def wide_header() -> list[str]:
 
 
 _VOCABULARY = ", ".join(f"'{w}'" for w in (*PROTOCOLS, "P99"))
-# One cell as text, from event ``e``, user ``u`` and position ``p``. Species cells are mostly 0. The
-# placeholder ``{protocol}`` is each engine's array look-up.
-WIDE_CELL = (
-    "CASE WHEN p = 0 THEN concat('S', CAST(e AS STRING)) WHEN p = 1 THEN concat('L', CAST(u AS STRING))"
-    " WHEN p = 2 THEN CAST((e * 37) % 180 - 90 AS STRING) WHEN p = 3 THEN CAST((e * 91) % 360 - 180 AS STRING)"
-    " WHEN p = 4 THEN CAST(2000 + e % 15 AS STRING) WHEN p = 5 THEN CAST(1 + e % 12 AS STRING)"
-    " WHEN p = 7 THEN CASE WHEN e % 23 = 0 THEN '?' ELSE CAST(e % 24 AS STRING) END"
-    " WHEN p = 11 THEN {protocol}"
-    " WHEN p = 18 THEN CASE WHEN e % 7 = 0 THEN '0' ELSE '1' END"
-    " WHEN p >= 19 AND p <= 952 THEN CASE WHEN (e + 7 * p) % 13 <> 0 AND (p <> 26 OR e % 3 <> 0) THEN '0'"
+# One cell as text, from event ``e``, user ``u`` and position ``p``; species cells are mostly 0.
+# ``{protocol}`` is each engine's array look-up.
+META_CELLS = {
+    0: "concat('S', CAST(e AS STRING))",
+    1: "concat('L', CAST(u AS STRING))",
+    2: "CAST((e * 37) % 180 - 90 AS STRING)",
+    3: "CAST((e * 91) % 360 - 180 AS STRING)",
+    4: "CAST(2000 + e % 15 AS STRING)",
+    5: "CAST(1 + e % 12 AS STRING)",
+    7: "CASE WHEN e % 23 = 0 THEN '?' ELSE CAST(e % 24 AS STRING) END",
+    11: "{protocol}",
+    18: "CASE WHEN e % 7 = 0 THEN '0' ELSE '1' END",
+}
+SPECIES_CELL = (
+    "CASE WHEN (e + 7 * p) % 13 <> 0 AND (p <> 26 OR e % 3 <> 0) THEN '0'"
     " WHEN (e + p) % 29 = 0 THEN '?' WHEN (e + 3 * p) % 5 = 0 THEN 'x' ELSE CAST(1 + (e + p) % 9 AS STRING) END"
-    " WHEN (e + p) % 11 = 0 THEN '?' ELSE CAST((e * (p % 97) + p) % 250 AS STRING) END"
 )
-SPARK_CELL = WIDE_CELL.format(protocol=f"get(array({_VOCABULARY}), CAST(e % 21 AS INT))")
-DUCKDB_CELL = WIDE_CELL.format(protocol=f"list_extract([{_VOCABULARY}], CAST(e % 21 + 1 AS BIGINT))")
+OTHER_CELL = "CASE WHEN (e + p) % 11 = 0 THEN '?' ELSE CAST((e * (p % 97) + p) % 250 AS STRING) END"
+_CASES = " ".join(f"WHEN p = {p} THEN {cell}" for p, cell in META_CELLS.items())
+DUCKDB_CELL = f"CASE {_CASES} WHEN p BETWEEN 19 AND 952 THEN {SPECIES_CELL} ELSE {OTHER_CELL} END".format(
+    protocol=f"list_extract([{_VOCABULARY}], CAST(e % 21 + 1 AS BIGINT))"
+)
 # (e, cells): one row per event.
 WITH_WIDE = (
     f"WITH wide AS (SELECT e, list_transform(range(0, {WIDTH}), lambda p: {DUCKDB_CELL}) AS cells"
@@ -155,6 +162,10 @@ def wide_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = table(spark, sf_dir, "events").selectExpr("event_id AS e", "user_id AS u")
     # A small file is one split, and each of its rows becomes 1,657 cells: spread the two numbers first.
     events = events.repartition(spark.sparkContext.defaultParallelism)
-    return events.selectExpr(
-        f"array_join(transform(sequence(0, {WIDTH - 1}), p -> {SPARK_CELL}), ',') AS value"
+    protocol = f"get(array({_VOCABULARY}), CAST(e % 21 AS INT))"
+    meta = [META_CELLS.get(p, OTHER_CELL.replace("p", str(p))).format(protocol=protocol) for p in range(19)]
+    cells = (
+        f"concat(array({', '.join(meta)}), transform(sequence(19, 952), p -> {SPECIES_CELL}),"
+        f" transform(sequence(953, {WIDTH - 1}), p -> {OTHER_CELL}))"
     )
+    return events.selectExpr(f"array_join({cells}, ',') AS value")

@@ -142,3 +142,27 @@ def test_steps_accept_a_stream(spark, wide_path, tmp_path):
     assert streamed.count() == 50
     assert streamed.exceptAll(plan.to_arrays(raw)).count() == 0
     assert confusion_accuracy(streamed.withColumn("prediction", F.col("label"))).first().accuracy == 1.0
+
+
+def test_command_line(spark, wide_path, tmp_path, capsys):
+    from fieldtally.__main__ import main
+
+    main(["count", str(wide_path / "packed.csv.bz2")])
+    assert "1001" in capsys.readouterr().out
+    main(["profile", str(wide_path / "plain.csv")])
+    assert "zeros" in capsys.readouterr().out
+    main(["sample", str(wide_path / "plain.csv"), str(tmp_path / "sample")])
+    assert spark.read.text(str(tmp_path / "sample")).count() > 0
+
+
+def test_shared_folder_is_the_clusters(spark, tmp_path, monkeypatch):
+    from fieldtally import session
+
+    class Conf:
+        def get(self, key, default=None):
+            return str(tmp_path) if key == "spark.checkpoint.dir" else default
+
+    class Session:
+        conf = Conf()
+
+    assert session.shared_folder(Session()) == str(tmp_path)
