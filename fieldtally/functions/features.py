@@ -1,4 +1,7 @@
-"""Engineered features: protocol flags, time slots, elevation, position, year parity."""
+"""Engineered features: protocol flags, time slots, elevation, position, year parity.
+
+Hour, elevations and angles come in as numbers: parse a cell once, in a column of its own, and use it often.
+"""
 
 from __future__ import annotations
 
@@ -27,9 +30,8 @@ def one_hot(cell: Column, vocabulary: Sequence[str] = PROTOCOLS) -> dict[str, Co
     return {word: flag(cell == F.lit(word)) for word in vocabulary}
 
 
-def time_slots(hour_cell: Column) -> dict[str, Column]:
-    """Four flags; a boundary hour sets two, an unparsable hour counts as 0 and so as night."""
-    hour = to_number(hour_cell)
+def time_slots(hour: Column) -> dict[str, Column]:
+    """Four flags from the hour as a number; a boundary hour sets two, 0 (or unparsable) is night."""
     slots = {}
     for name, (start, end) in SLOTS.items():
         inside = hour.between(start, end) if start < end else (hour >= start) | (hour <= end)
@@ -38,12 +40,11 @@ def time_slots(hour_cell: Column) -> dict[str, Column]:
 
 
 def pair_mean(first: Column, second: Column) -> Column:
-    return (to_number(first) + to_number(second)) / F.lit(2.0)
+    return (first + second) / F.lit(2.0)
 
 
-def geo_xyz(lat_cell: Column, lon_cell: Column, radians: bool = False) -> dict[str, Column]:
-    """Cartesian position; ``radians=True`` takes the cells as radians already."""
-    lat, lon = to_number(lat_cell), to_number(lon_cell)
+def geo_xyz(lat: Column, lon: Column, radians: bool = False) -> dict[str, Column]:
+    """Cartesian position; ``radians=True`` takes the angles as radians already."""
     if not radians:
         lat, lon = F.radians(lat), F.radians(lon)
     r = F.lit(EARTH_RADIUS_KM)

@@ -62,9 +62,9 @@ def replace_value(df: DataFrame, value: str = "?", by: str = "0") -> DataFrame:
 
 def impute_columns(df: DataFrame, month: str, climate: Mapping[str, Mapping[int, str]]) -> DataFrame:
     """Each climate column from its monthly siblings: ``{column: {month: sibling}}``."""
-    return df.withColumns(
-        {
-            name: c.impute_monthly(F.col(name), F.col(month), {m: F.col(s) for m, s in siblings.items()})
-            for name, siblings in climate.items()
-        }
-    )
+    numbered = df.withColumn("_month", c.month_number(F.col(month).cast("string")))
+    imputed = {
+        name: c.impute_monthly(F.col(name), F.col("_month"), {m: F.col(s) for m, s in siblings.items()})
+        for name, siblings in climate.items()
+    }
+    return numbered.withColumns(imputed).drop("_month")

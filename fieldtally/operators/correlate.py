@@ -13,13 +13,19 @@ from fieldtally.operators.order import running_total
 from fieldtally.operators.profile import array_moments
 
 # Up to this many columns all pairs are plain aggregates of one job; beyond, the Gramian of a vector column.
-PAIRWISE_LIMIT = 16
+PAIRWISE_LIMIT = 8
+
+
+def _pearson(covariance: Column, first: Column, second: Column) -> Column:
+    spread = first * second
+    return covariance / F.when(spread > 0, spread)
 
 
 def corr(a: str, b: str) -> Column:
-    """Pearson; null when a side is constant."""
-    r = F.corr(a, b)
-    return F.when(~F.isnan(r), r)
+    """Pearson over the rows where both sides are present; null, not an error, when a side is constant."""
+    first = F.stddev_pop(F.when(F.col(b).isNotNull(), F.col(a)))
+    second = F.stddev_pop(F.when(F.col(a).isNotNull(), F.col(b)))
+    return _pearson(F.covar_pop(a, b), first, second)
 
 
 def corr_series(df: DataFrame, a: str, b: str, alias: str = "r") -> DataFrame:
@@ -39,14 +45,22 @@ def corr_target_array(df: DataFrame, label: str, array: Column | str, width: int
 
 
 def corr_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Pearson matrix of named columns in long form ``(i, j, r)``; i and j are names."""
+    """Pearson matrix of named columns in long form ``(i, j, r)``; i and j are names. Rows with a null
+    in any of the columns are left out."""
+    rows = df.select(*columns).dropna()
     if len(columns) > PAIRWISE_LIMIT:
-        vector = _vector(df, columns)
+        vector = _vector(rows, columns)
         positions = corr_matrix_vector(vector, "features")
         names = F.array(*[F.lit(c) for c in columns])
         return positions.select(F.get(names, "i").alias("i"), F.get(names, "j").alias("j"), "r")
     pairs = list(combinations_with_replacement(range(len(columns)), 2))
-    one = df.agg(*[corr(columns[a], columns[b]).alias(f"_{a}_{b}") for a, b in pairs])
+    moments = rows.agg(
+        *[F.stddev_pop(c).alias(f"_{k}") for k, c in enumerate(columns)],
+        *[F.covar_pop(columns[a], columns[b]).alias(f"_{a}_{b}") for a, b in pairs],
+    )
+    one = moments.select(
+        *[_pearson(F.col(f"_{a}_{b}"), F.col(f"_{a}"), F.col(f"_{b}")).alias(f"_{a}_{b}") for a, b in pairs]
+    )
     cells = []
     for a, b in pairs:
         for i, j in {(a, b), (b, a)}:

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fieldtally.functions import features as f
+from fieldtally.functions.cells import to_number
 from fieldtally.operators.columns import as_column
 from fieldtally.operators.profile import array_moments
 
@@ -44,13 +45,21 @@ def engineered_names(vocabulary: Sequence[str] = f.PROTOCOLS) -> list[str]:
     ]
 
 
-def add_features(df: DataFrame, protocol: str, hour: str, elevation: tuple[str, str], lat: str, lon: str,
-                 vocabulary: Sequence[str] = f.PROTOCOLS, radians: bool = False) -> DataFrame:
-    first, second = elevation
-    return df.withColumns(
-        engineered(F.col(protocol), F.col(hour), (F.col(first), F.col(second)), F.col(lat), F.col(lon),
-                   vocabulary, radians)
-    )
+def add_features(
+    df: DataFrame,
+    protocol: str,
+    hour: str,
+    elevation: tuple[str, str],
+    lat: str,
+    lon: str,
+    vocabulary: Sequence[str] = f.PROTOCOLS,
+    radians: bool = False,
+) -> DataFrame:
+    """All engineered columns, from raw cells."""
+    parsed = {f"_{n}": to_number(F.col(n).cast("string")) for n in (hour, *elevation, lat, lon)}
+    numbers = [F.col(n) for n in parsed]
+    added = engineered(F.col(protocol), numbers[0], (numbers[1], numbers[2]), numbers[3], numbers[4], vocabulary, radians)
+    return df.withColumns(parsed).withColumns(added).drop(*parsed)
 
 
 def zscore(df: DataFrame, columns: Sequence[str]) -> DataFrame:

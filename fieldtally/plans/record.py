@@ -69,18 +69,6 @@ class RecordPlan:
     def width(self) -> int:
         return len(self.feature_names)
 
-    def engineered(self) -> dict[str, Column]:
-        cell, spec = self.cells.cell, self.spec
-        return engineered(
-            cell(spec.protocol),
-            cell(spec.hour),
-            (cell(spec.elevation[0]), cell(spec.elevation[1])),
-            cell(spec.position[0]),
-            cell(spec.position[1]),
-            spec.vocabulary,
-            spec.radians,
-        )
-
     def key(self) -> Column:
         return self.cells.cell(self.spec.key)
 
@@ -90,40 +78,56 @@ class RecordPlan:
     def label(self) -> Column:
         return c.target_label(self.target(), self.spec.case_sensitive)
 
-    def _substitutes(self) -> dict[str, Column]:
+    def stage(self, df: DataFrame) -> DataFrame:
+        """Adds what features are made of, each parsed once in a column of its own.
+
+        Written into the final expressions, these parts would be repeated there, and the generated
+        method would outgrow what the JVM compiles.
+        """
         cell, spec = self.cells.cell, self.spec
-        found = {}
+        parsed = {name: c.to_number(cell(source)) for name, source in self._numbers().items()}
+        staged = df.withColumns({**parsed, "_month": c.month_number(cell(spec.month))})
+        replaced = {}
         for name in spec.climate:
             if name in self.catalog:
                 siblings = {m: cell(s) for m, s in self.catalog.siblings(name).items()}
-                found[name] = c.impute_monthly(cell(name), cell(spec.month), siblings)
+                replaced[f"_{name}"] = c.impute_monthly(cell(name), F.col("_month"), siblings)
         if spec.fold_year:
-            found[spec.year] = year_parity(cell(spec.year))
-        return found
+            replaced[f"_{spec.year}"] = year_parity(cell(spec.year))
+        return staged.withColumns(replaced)
+
+    def _numbers(self) -> dict[str, str]:
+        (first, second), (lat, lon) = self.spec.elevation, self.spec.position
+        return {"_hour": self.spec.hour, "_first": first, "_second": second, "_lat": lat, "_lon": lon}
+
+    def _replaced(self) -> set[str]:
+        folded = {self.spec.year} if self.spec.fold_year else set()
+        return {n for n in self.spec.climate if n in self.catalog} | folded
 
     def raw_features(self) -> Column:
-        """Kept cells in file order as ``array<string>``, missing climate imputed."""
-        substitutes, parts, run = self._substitutes(), [], []
+        """Kept cells of a staged frame in file order as ``array<string>``, missing climate imputed."""
+        replaced, parts, run = self._replaced(), [], []
         for entry in self.kept:
-            if entry.name in substitutes:
-                if run:
-                    parts.append(self.cells.run(run))
-                parts.append(F.array(substitutes[entry.name]))
+            if entry.name in replaced:
+                parts += [self.cells.run(run)] if run else []
+                parts.append(F.array(f"_{entry.name}"))
                 run = []
             else:
                 run.append(entry)
-        if run:
-            parts.append(self.cells.run(run))
-        return F.concat(*parts)
+        return F.concat(*parts, *([self.cells.run(run)] if run else []))
 
     def feature_array(self) -> Column:
-        """All features as ``array<double>``; index and row key seed the draws."""
+        """All features of a staged frame as ``array<double>``; index and row key seed the draws."""
         key, strict = self.key(), self.spec.case_sensitive
 
         def rule(cell: Column, index: Column) -> Column:
             return c.clean_count(cell, index.cast("string"), key, strict)
 
-        return F.concat(F.transform(self.raw_features(), rule), F.array(*self.engineered().values()))
+        hour, first, second, lat, lon = [F.col(n) for n in self._numbers()]
+        extra = engineered(
+            self.cells.cell(self.spec.protocol), hour, (first, second), lat, lon, self.spec.vocabulary, self.spec.radians
+        )
+        return F.concat(F.transform(self.raw_features(), rule), F.array(*extra.values()))
 
     def select_rows(self, df: DataFrame, strict: bool = False) -> DataFrame:
         """Rows to train on: primary checklists and, unless ``strict``, all sightings."""
@@ -134,7 +138,7 @@ class RecordPlan:
         columns = [F.col(k) for k in keep] + [self.key().alias(self.spec.key)]
         if labelled:
             columns.append(self.label().alias("label", metadata=LABEL_META))
-        return df.select(*columns, self.feature_array().alias("values"))
+        return self.stage(df).select(*columns, self.feature_array().alias("values"))
 
     def transform(self, df: DataFrame, labelled: bool = True, keep: Sequence[str] = ()) -> DataFrame:
         """(keep…, key, label if ``labelled``, features)."""

@@ -117,8 +117,7 @@ def _impute_sql(column, siblings):
         {_impute_sql('prec_raw', PREC)} AS prec_raw FROM obs""",
 )
 def impute_monthly(spark, d):
-    rows = obs(spark, d).withColumn("month", F.col("month").cast("string"))
-    return clean.impute_columns(rows, "month", {"snow_raw": SNOW, "prec_raw": PREC}).select(
+    return clean.impute_columns(obs(spark, d), "month", {"snow_raw": SNOW, "prec_raw": PREC}).select(
         "event_id", "snow_raw", "prec_raw"
     )
 
@@ -129,8 +128,7 @@ def impute_monthly(spark, d):
         {sql_r6(f"sum({sql_number(_impute_sql('prec_raw', PREC))})")} AS prec FROM obs GROUP BY month""",
 )
 def impute_monthly_sums(spark, d):
-    rows = obs(spark, d).withColumn("raw_month", F.col("month").cast("string"))
-    imputed = clean.impute_columns(rows, "raw_month", {"snow_raw": SNOW, "prec_raw": PREC})
+    imputed = clean.impute_columns(obs(spark, d), "month", {"snow_raw": SNOW, "prec_raw": PREC})
     return imputed.groupBy("month").agg(
         r6(F.sum(c.to_number(F.col("snow_raw")))).alias("snow"),
         r6(F.sum(c.to_number(F.col("prec_raw")))).alias("prec"),

@@ -4,7 +4,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from fieldtally.functions import features as f
-from fieldtally.functions.cells import target_label
+from fieldtally.functions.cells import target_label, to_number
 from fieldtally.operators import clean
 from fieldtally.operators import engineer as e
 from fieldtally.queries.registry import query, r6, sql_clean, sql_label, sql_number, sql_r6
@@ -56,21 +56,18 @@ def one_hot_sums(spark, d):
 
 @query("e2_time_slots", _sql(_SLOT))
 def time_slots(spark, d):
-    return obs(spark, d).select("event_id", *_named(f.time_slots(F.col("time_raw")), "slot_"))
+    rows = obs(spark, d).select("event_id", to_number(F.col("time_raw")).alias("hour"))
+    return rows.select("event_id", *_named(f.time_slots(F.col("hour")), "slot_"))
 
 
 @query("e3_row_mean", _sql(_ELEVATION))
 def row_mean(spark, d):
-    return obs(spark, d).select("event_id", r6(f.pair_mean(F.col("elev_a_raw"), F.col("elev_b_raw"))).alias("elevation"))
-
-
-def _texts():
-    return F.col("lat").cast("string"), F.col("lon").cast("string")
+    return obs(spark, d).select("event_id", r6(f.pair_mean(to_number(F.col("elev_a_raw")), to_number(F.col("elev_b_raw")))).alias("elevation"))
 
 
 @query("e4_geo_xyz", _sql(_GEO))
 def geo_xyz(spark, d):
-    return obs(spark, d).select("event_id", *_named(f.geo_xyz(*_texts()), "geo_", rounded=True))
+    return obs(spark, d).select("event_id", *_named(f.geo_xyz(F.col("lat"), F.col("lon")), "geo_", rounded=True))
 
 
 @query(
@@ -79,7 +76,7 @@ def geo_xyz(spark, d):
         {sql_r6('6371 * cos(lat) * sin(lon)')} AS geo_y, {sql_r6('6371 * sin(lat)')} AS geo_z FROM obs""",
 )
 def geo_xyz_literal(spark, d):
-    return obs(spark, d).select("event_id", *_named(f.geo_xyz(*_texts(), radians=True), "geo_", rounded=True))
+    return obs(spark, d).select("event_id", *_named(f.geo_xyz(F.col("lat"), F.col("lon"), radians=True), "geo_", rounded=True))
 
 
 @query("e5_year_parity", f"{WITH_OBS} SELECT event_id, CAST(year % 2 AS VARCHAR) AS parity FROM obs")
@@ -89,8 +86,7 @@ def year_parity(spark, d):
 
 @query("e6_add_features", _sql(_PROTOCOL, _SLOT, _ELEVATION, _GEO))
 def add_features(spark, d):
-    rows = obs(spark, d).withColumns({"lat": _texts()[0], "lon": _texts()[1]})
-    added = e.add_features(rows, "protocol", "time_raw", ("elev_a_raw", "elev_b_raw"), "lat", "lon", EVENT_TYPES)
+    added = e.add_features(obs(spark, d), "protocol", "time_raw", ("elev_a_raw", "elev_b_raw"), "lat", "lon", EVENT_TYPES)
     rounded = ["elevation", "geo_x", "geo_y", "geo_z"]
     flags = [*_PROTOCOL, *_SLOT]
     return added.select("event_id", *flags, *[r6(F.col(c)).alias(c) for c in rounded])

@@ -53,7 +53,7 @@ def sql_r6(value: str) -> str:
 
 
 def sql_is_number(cell: str) -> str:
-    return f"regexp_matches(trim({cell}), '{NUMBER}')"
+    return f"regexp_matches({cell}, '{NUMBER}')"
 
 
 def sql_is_integer(cell: str) -> str:

@@ -75,7 +75,7 @@ def test_numbers_survive_as_text(spark, items):
 
 def test_time_slots(spark):
     rows = spark.createDataFrame([(h,) for h in ["0", "3", "7.99", "8", "15", "20", "23.5", "?", "-1"]], "hour string")
-    slots = f.time_slots(F.col("hour"))
+    slots = f.time_slots(c.to_number(F.col("hour")))
     got = {r.hour: tuple(int(v) for v in r[1:]) for r in rows.select("hour", *[v.alias(k) for k, v in slots.items()]).collect()}
     assert got == {
         "0": (0, 0, 0, 1), "3": (1, 0, 0, 1), "7.99": (1, 0, 0, 0), "8": (1, 1, 0, 0), "15": (0, 1, 1, 0),
@@ -93,7 +93,7 @@ def test_impute_monthly(spark):
         [("?", "1"), ("?", "5"), ("?", "12"), ("?", "0"), ("?", None), ("?", "99"), ("4", "1")], "cell string, month string"
     )
     siblings = {m: F.lit(f"s{m}") for m in (1, 2, 3, 4, 10, 11, 12)}
-    got = [r[0] for r in rows.select(c.impute_monthly(F.col("cell"), F.col("month"), siblings)).collect()]
+    got = [r[0] for r in rows.select(c.impute_monthly(F.col("cell"), c.month_number(F.col("month")), siblings)).collect()]
     assert got == ["s1", "0", "s12", "s1", "s1", "0", "4"]
 
 
@@ -102,9 +102,9 @@ def test_year_parity(spark):
 
 
 def test_geo(spark):
-    x, y, z = f.geo_xyz(F.lit("0"), F.lit("90")).values()
+    x, y, z = f.geo_xyz(F.lit(0.0), F.lit(90.0)).values()
     assert spark.range(1).select(x, y, z).first()[1] == pytest.approx(6371)
-    literal = f.geo_xyz(F.lit("1"), F.lit("2"), radians=True)["x"]
+    literal = f.geo_xyz(F.lit(1.0), F.lit(2.0), radians=True)["x"]
     assert spark.range(1).select(literal).first()[0] == pytest.approx(6371 * math.cos(1) * math.cos(2))
 
 
@@ -122,7 +122,7 @@ def test_known_figures(spark, sf_centi):
         F.sum(c.clean_count(F.col("sp1_raw"), "sp1", key)),
         F.sum(c.clean_count(F.col("sp2_raw"), "sp2", key)),
         F.sum(c.clean_count(F.col("target_raw"), "t", key, case_sensitive=True)),
-        *[F.sum(v) for v in f.time_slots(F.col("time_raw")).values()],
+        *[F.sum(v) for v in f.time_slots(c.to_number(F.col("time_raw"))).values()],
     )
     assert tuple(sums.first()) == (20423, 11509, 15702, 2394, 3192, 2389, 3620)
     monthly = rows.withColumn("month", F.col("month").cast("string"))
