@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.ml import Estimator, PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fieldtally.catalog import ArrayCells
+from fieldtally.catalog import KEY, TARGET, ArrayCells
 from fieldtally.operators.correlate import corr_matrix_vector, corr_target_array
 from fieldtally.operators.engineer import sparse_vector
 from fieldtally.operators.evaluate import confusion_accuracy, parse_predictions
@@ -37,9 +39,15 @@ SAMPLE = {"rest": 9.0, "sample": 1.0}
 SAMPLE_SEED = 17
 
 
-def open_wide(spark: SparkSession, path: str, spec: RecordSpec | None = None, in_order: bool = False):
-    """(raw frame with ``cells``, its plan)."""
-    raw, catalog = read_wide(spark, path, in_order)
+def open_wide(
+    spark: SparkSession,
+    path: str,
+    spec: RecordSpec | None = None,
+    in_order: bool = False,
+    needed: Sequence[str] | None = None,
+) -> tuple[DataFrame, RecordPlan]:
+    """(raw frame with ``cells``, its plan); with ``needed`` only cells up to those columns are cut."""
+    raw, catalog = read_wide(spark, path, in_order, needed)
     return raw, RecordPlan(spec or RecordSpec(), ArrayCells(catalog))
 
 
@@ -114,13 +122,13 @@ def accuracy_job(spark: SparkSession, path: str) -> DataFrame:
 
 def sample_job(spark: SparkSession, path: str, out: str) -> None:
     """About 1 % of the data lines, without the header."""
-    raw, plan = open_wide(spark, path)
+    raw, plan = open_wide(spark, path, needed=[KEY])
     sample = nested_sample(raw, plan.key(), SAMPLE, SAMPLE, (SAMPLE_SEED, f"{SAMPLE_SEED}b"))
     write_lines(sample.select(F.concat_ws(",", "cells")), out)
 
 
 def profile_job(spark: SparkSession, path: str) -> DataFrame:
-    raw, plan = open_wide(spark, path)
+    raw, plan = open_wide(spark, path, needed=[TARGET])
     return target_profile(raw, plan.target())
 
 

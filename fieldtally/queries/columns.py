@@ -134,7 +134,9 @@ def _record_sql(fold_year=False):
         f"{EARTH_RADIUS_KM} * cos(radians(LATITUDE)) * sin(radians(LONGITUDE))",
         f"{EARTH_RADIUS_KM} * sin(radians(LATITUDE))",
     ]
-    features = ", ".join(f"{sql_r6(x)} AS f{i}" for i, x in enumerate(out))
+    features = ", ".join(
+        f"{sql_r6(x) if i >= len(out) - 4 else f'CAST({x} AS DOUBLE)'} AS f{i}" for i, x in enumerate(out)
+    )
     label = sql_label("Agelaius_phoeniceus")
     return f"""{WITH_CHECKLIST} SELECT CAST(SAMPLING_EVENT_ID AS VARCHAR) AS SAMPLING_EVENT_ID, {label} AS label,
         {features} FROM checklist"""
@@ -143,7 +145,9 @@ def _record_sql(fold_year=False):
 def _record(spark, d, **changes):
     plan = checklist_plan(**changes)
     arrays = plan.to_arrays(checklist(spark, d))
-    values = [r6(F.get("values", F.lit(i))).alias(f"f{i}") for i in range(plan.width)]
+    values = [F.get("values", F.lit(i)) for i in range(plan.width)]
+    # Elevation and position are the only features that are not whole numbers here.
+    values = [(r6(v) if i >= plan.width - 4 else v).alias(f"f{i}") for i, v in enumerate(values)]
     return arrays.select("SAMPLING_EVENT_ID", F.col("label"), *values)
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -53,24 +54,22 @@ def to_columns(split: DataFrame, width: int, cells: str = "cells") -> DataFrame:
 
 
 def read_wide(
-    spark: SparkSession, path: str, in_order: bool = False, prune: bool = True
+    spark: SparkSession, path: str, in_order: bool = False, needed: Sequence[str] | None = None
 ) -> tuple[DataFrame, ColumnCatalog]:
     """A wide file with a header row → (frame with ``cells``, its catalog).
 
-    Header rows are removed from every file of the folder. With ``prune`` the cells after the last
-    column that the default drop lists keep stay uncut.
+    Header rows are removed from every file of the folder. Cells after the last ``needed`` column
+    (default: the last one that is no land cover, which nothing reads) stay one uncut cell.
     """
     header = read_header(spark, path)
     catalog = ColumnCatalog.from_header(header)
+    if needed is None:
+        upto = max((e.position for e in catalog.entries if e.family != "land_cover"), default=0)
+    else:
+        upto = max(catalog.position(n) for n in needed)
     lines = read_lines(spark, path, in_order).filter(F.col("value") != F.lit(header))
-    upto = max(_last_used(catalog), 0) if prune else None
     return split_cells(lines, upto=upto), catalog
 
 
-def _last_used(catalog: ColumnCatalog) -> int:
-    # Dropped columns still feed features, but land cover feeds none.
-    return max((e.position for e in catalog.entries if e.family != "land_cover"), default=-1)
-
-
 def count_records(spark: SparkSession, path: str) -> int:
     return spark.read.text(path).count()
