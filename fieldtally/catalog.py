@@ -138,12 +138,18 @@ class ArrayCells:
     """Raw cells held as one ``array<string>`` (wide tables: a thousand named columns would leave
     whole-stage codegen and blow up the plan)."""
 
-    def __init__(self, catalog: ColumnCatalog, cells: str = "cells"):
+    def __init__(self, catalog: ColumnCatalog, cells: str = "cells", head: str = "head", head_upto: int = -1):
+        """``head`` may hold the cells up to ``head_upto`` once more, cut from the line by themselves.
+
+        A filter is pushed below the projection that cuts the line and then cuts it anew for each cell it
+        tests: on the short head that is cheap, and rejected rows are never cut to full width.
+        """
         self.catalog = catalog
-        self.cells = cells
+        self.cells, self.head, self.head_upto = cells, head, head_upto
 
     def cell(self, name: str) -> Column:
-        return F.get(F.col(self.cells), F.lit(self.catalog.position(name)))
+        position = self.catalog.position(name)
+        return F.get(F.col(self.head if position <= self.head_upto else self.cells), F.lit(position))
 
     def run(self, entries: Sequence[Entry]) -> Column:
         """The entries' cells as an array, one ``slice`` for each stretch of neighbouring positions."""

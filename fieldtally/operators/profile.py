@@ -62,19 +62,19 @@ def mean_variance(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 def array_moments(df: DataFrame, array: Column | str, width: int, label: Column | str | None = None) -> DataFrame:
     """Per position of an ``array<double>``: n, mean, variance and, with a label, its correlation.
 
-    One pass. Only non-zero entries are exploded, which for species counts is a few per cent of the
-    cells; the zeros are added back afterwards from the row count by the pairwise update of moments, which is
-    centred and so loses no digits. At most one partial row per position and task is shuffled.
+    One pass. Zero entries, most of a species array, are filtered out as soon as they are exploded and added
+    back afterwards from the row count by the pairwise update of moments, which is centred and so loses
+    no digits. At most one partial row per position and task is shuffled.
     """
-    values = as_column(array)
+    values = as_column(array).cast("array<double>")
     y = F.lit(0.0) if label is None else as_column(label).cast("double")
-    indexed = F.transform(values, lambda v, i: F.struct(i.alias("pos"), v.cast("double").alias("v")))
-    entries = F.filter(indexed, lambda e: e["v"] != F.lit(0.0))
-    # Position -1 is in every row and so carries the moments of the label over all rows.
-    every_row = F.array(F.struct(F.lit(-1).alias("pos"), F.lit(1.0).alias("v")))
+    # A leading 1 in every row carries the row count and the moments of the label over all rows. The
+    # outer form keeps the optimizer from adding a size test, which would compute the array twice.
+    led = F.concat(F.array(F.lit(1.0)), values)
     part = (
-        df.select(y.alias("y"), F.inline(F.concat(every_row, entries)))
-        .groupBy("pos")
+        df.select(y.alias("y"), F.posexplode_outer(led).alias("pos", "v"))
+        .filter(F.col("v") != F.lit(0.0))
+        .groupBy((F.col("pos") - 1).alias("pos"))
         .agg(
             F.count("v").alias("n1"),
             F.avg("v").alias("mean1"),

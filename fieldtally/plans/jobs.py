@@ -8,7 +8,7 @@ from pyspark.ml import Estimator, PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fieldtally.catalog import KEY, TARGET, ArrayCells
+from fieldtally.catalog import KEY, TARGET
 from fieldtally.operators.correlate import corr_matrix_vector, corr_target_array
 from fieldtally.operators.engineer import sparse_vector
 from fieldtally.operators.evaluate import confusion_accuracy, parse_predictions
@@ -47,8 +47,9 @@ def open_wide(
     needed: Sequence[str] | None = None,
 ) -> tuple[DataFrame, RecordPlan]:
     """(raw frame with ``cells``, its plan); with ``needed`` only cells up to those columns are cut."""
-    raw, catalog = read_wide(spark, path, in_order, needed)
-    return raw, RecordPlan(spec or RecordSpec(), ArrayCells(catalog))
+    spec = spec or RecordSpec()
+    raw, cells = read_wide(spark, path, in_order, needed, tested=(spec.key, spec.primary, spec.target))
+    return raw, RecordPlan(spec, cells)
 
 
 def training_frame(raw: DataFrame, plan: RecordPlan, rates: Rates = BALANCE, strict: bool = False) -> DataFrame:

@@ -149,7 +149,8 @@ _FLAT = f"""{WITH_OBS}, t AS (SELECT event_id, {sql_label('target_raw')} AS labe
 )
 def sparse_triplet(spark, d):
     rows = e.sparse_triplet(_labelled(spark, d), "values")
-    return rows.select("event_id", "label", F.col("size").cast("bigint").alias("size"), F.inline("entries"))
+    flat = rows.select("event_id", "label", F.col("size").cast("bigint").alias("size"), F.inline_outer("entries"))
+    return flat.filter(F.col("value").isNotNull())
 
 
 def _unpacked(df, *columns):

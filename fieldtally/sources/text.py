@@ -5,10 +5,10 @@ from __future__ import annotations
 import re
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fieldtally.catalog import ColumnCatalog
+from fieldtally.catalog import ArrayCells, ColumnCatalog
 
 
 def read_lines(
@@ -35,12 +35,18 @@ def read_header(spark: SparkSession, path: str) -> str:
     return spark.read.text(path).first()["value"]
 
 
-def split_cells(lines: DataFrame, line: str = "value", upto: int | None = None, sep: str = ",") -> DataFrame:
+def split_cells(
+    lines: DataFrame, line: str = "value", upto: int | None = None, sep: str = ",", head_upto: int = -1
+) -> DataFrame:
     """Replace ``line`` by ``cells``. Beyond position ``upto`` the rest stays one uncut cell, which
-    spares the work on trailing columns that nothing reads."""
-    limit = -1 if upto is None else upto + 2
+    spares the work on trailing columns that nothing reads. ``head_upto`` adds ``head``, the first cells only."""
+
+    def cut(last: int | None, alias: str) -> Column:
+        return F.split(F.col(line), re.escape(sep), -1 if last is None else last + 2).alias(alias)
+
     kept = [F.col(c) for c in lines.columns if c != line]
-    return lines.select(*kept, F.split(F.col(line), re.escape(sep), limit).alias("cells"))
+    head = [cut(head_upto, "head")] if head_upto >= 0 else []
+    return lines.select(*kept, *head, cut(upto, "cells"))
 
 
 def cast_row(split: DataFrame, cells: str = "cells", alias: str = "numbers") -> DataFrame:
@@ -54,12 +60,17 @@ def to_columns(split: DataFrame, width: int, cells: str = "cells") -> DataFrame:
 
 
 def read_wide(
-    spark: SparkSession, path: str, in_order: bool = False, needed: Sequence[str] | None = None
-) -> tuple[DataFrame, ColumnCatalog]:
-    """A wide file with a header row → (frame with ``cells``, its catalog).
+    spark: SparkSession,
+    path: str,
+    in_order: bool = False,
+    needed: Sequence[str] | None = None,
+    tested: Sequence[str] = (),
+) -> tuple[DataFrame, ArrayCells]:
+    """A wide file with a header row → (frame with ``cells``, the layout of its cells).
 
     Header rows are removed from every file of the folder. Cells after the last ``needed`` column
-    (default: the last one that is no land cover, which nothing reads) stay one uncut cell.
+    (default: the last one that is no land cover, which nothing reads) stay one uncut cell. The columns
+    that filters will test go into ``tested``; cells up to the last of them are cut separately.
     """
     header = read_header(spark, path)
     catalog = ColumnCatalog.from_header(header)
@@ -67,8 +78,9 @@ def read_wide(
         upto = max((e.position for e in catalog.entries if e.family != "land_cover"), default=0)
     else:
         upto = max(catalog.position(n) for n in needed)
+    head_upto = max((catalog.position(n) for n in tested), default=-1)
     lines = read_lines(spark, path, in_order).filter(F.col("value") != F.lit(header))
-    return split_cells(lines, upto=upto), catalog
+    return split_cells(lines, upto=upto, head_upto=head_upto), ArrayCells(catalog, head_upto=head_upto)
 
 
 def count_records(spark: SparkSession, path: str) -> int:

@@ -25,8 +25,8 @@ def wide_path(spark, sf, tmp_path_factory):
 
 
 def test_read_wide(spark, wide_path):
-    raw, catalog = read_wide(spark, str(wide_path / "plain.csv"))
-    assert len(catalog) == 1657 and raw.count() == 1000
+    raw, cells = read_wide(spark, str(wide_path / "plain.csv"))
+    assert len(cells.catalog) == 1657 and raw.count() == 1000
     packed, _ = read_wide(spark, str(wide_path / "packed.csv.bz2"))
     assert raw.exceptAll(packed).count() == 0
     assert count_records(spark, str(wide_path / "packed.csv.bz2")) == 1001
@@ -35,13 +35,20 @@ def test_read_wide(spark, wide_path):
 def test_pruned_split_keeps_the_features(spark, wide_path):
     frames = []
     for needed in (None, wide_header()[-1:]):
-        raw, catalog = read_wide(spark, str(wide_path / "plain.csv"), needed=needed)
-        plan = jobs.RecordPlan(RecordSpec(), jobs.ArrayCells(catalog))
+        raw, cells = read_wide(spark, str(wide_path / "plain.csv"), needed=needed)
+        plan = jobs.RecordPlan(RecordSpec(), cells)
         frames.append(plan.to_arrays(raw))
     assert frames[0].exceptAll(frames[1]).count() == 0
     assert frames[0].select(F.size("values")).distinct().collect()[0][0] == 995
 
 
+def test_filters_cut_only_the_head(spark, wide_path):
+    """Filters pushed below the projection must not cut whole lines."""
+    raw, plan = jobs.open_wide(spark, str(wide_path / "plain.csv"))
+    text = jobs.training_frame(raw, plan)._jdf.queryExecution().optimizedPlan().toString()
+    assert text.count(", 1103)") == 1
+
+
 def test_features_against_plain_python(spark, wide_path):
     raw, plan = jobs.open_wide(spark, str(wide_path / "plain.csv"))
     rows = plan.to_arrays(raw).orderBy("SAMPLING_EVENT_ID").limit(40).collect()
@@ -133,7 +140,7 @@ def test_steps_accept_a_stream(spark, wide_path, tmp_path):
 
     lines = spark.readStream.text(str(tmp_path / "in"))
     query = (
-        plan.to_arrays(split_cells(lines, upto=1101))
+        plan.to_arrays(split_cells(lines, upto=1101, head_upto=26))
         .writeStream.format("memory").queryName("streamed").option("checkpointLocation", str(tmp_path / "check")).start()
     )
     query.processAllAvailable()
