@@ -28,7 +28,7 @@ from fieldtally.operators.score import score_test, score_validation
 from fieldtally.operators.train import ENSEMBLE, ENSEMBLE_SIZE, deep_forest, fit, fit_ensemble, logistic_l1
 from fieldtally.operators.vote import Vote
 from fieldtally.plans.record import RecordPlan, RecordSpec
-from fieldtally.session import materialize, spread
+from fieldtally.session import materialize
 from fieldtally.sources.sinks import write_corr_matrix, write_corr_pairs, write_lines, write_submission
 from fieldtally.sources.text import read_wide
 
@@ -60,7 +60,7 @@ def training_frame(raw: DataFrame, plan: RecordPlan, rates: Rates = BALANCE, str
 
 def train(raw: DataFrame, plan: RecordPlan, estimator: Estimator | None = None, rates: Rates = BALANCE) -> PipelineModel:
     """Filter → balance → clean → fit. The cleaned frame is cached, the raw text is not."""
-    frame = cache_input(spread(training_frame(raw, plan, rates)))
+    frame = cache_input(training_frame(raw, plan, rates))
     try:
         return fit(estimator or logistic_l1(), frame)
     finally:
@@ -91,7 +91,7 @@ def train_job(spark: SparkSession, path: str, model_path: str, spec: RecordSpec
 def ensemble_job(spark: SparkSession, path: str, model_path: str, kinds: tuple[str, ...] = ENSEMBLE[:ENSEMBLE_SIZE],
                  overrides: dict[str, dict] | None = None) -> None:
     raw, plan = open_wide(spark, path)
-    frame = cache_input(spread(training_frame(raw, plan)))
+    frame = cache_input(training_frame(raw, plan))
     try:
         save_model(spark, fit_ensemble(frame, kinds, overrides), plan.spec, model_path)
     finally:
@@ -161,7 +161,7 @@ def combined_job(spark: SparkSession, path: str, validation_path: str, model_pat
     held = parts.filter(F.col("split") == "validation")
     write_lines(held.select(F.concat_ws(",", "cells").alias("value")), validation_path)
     frame = cache_input(
-        spread(training_frame(parts.filter(F.col("split") == "train"), plan, BALANCE_TWO_THIRDS, strict=True))
+        training_frame(parts.filter(F.col("split") == "train"), plan, BALANCE_TWO_THIRDS, strict=True)
     )
     try:
         model = fit(deep_forest(), frame)

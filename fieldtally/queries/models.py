@@ -6,7 +6,6 @@ trips) has an exact SQL twin. Boosting and perceptron queries run fewer rounds t
 
 from pyspark.sql import functions as F
 
-from fieldtally.functions.cells import to_number
 from fieldtally.operators import shards, train, vote
 from fieldtally.operators.boost import fit_adaboost
 from fieldtally.operators.engineer import sparse_vector
@@ -14,12 +13,11 @@ from fieldtally.operators.evaluate import auc_roc, confusion_accuracy
 from fieldtally.operators.order import cache_input, zip_index
 from fieldtally.operators.sampling import class_balance, random_split
 from fieldtally.operators.score import score_test, score_validation, with_score
-from fieldtally.operators.vote import Vote
 from fieldtally.plans import jobs
 from fieldtally.queries.columns import checklist_plan
 from fieldtally.queries.registry import query, r6, sql_r6
 from fieldtally.queries.tables import WITH_OBS, checklist, obs, table
-from fieldtally.session import fresh_folder, materialize, spread
+from fieldtally.session import fresh_folder, materialize
 
 QUICK = {"gbt": {"maxIter": 5}, "adaboost": {"rounds": 5}, "mlp": {"maxIter": 10}}
 

@@ -6,7 +6,7 @@ from fieldtally.catalog import ColumnCatalog
 from fieldtally.operators import correlate
 from fieldtally.queries.registry import query, r6, sql_r6
 from fieldtally.queries.statistics import MEASURES, _matrix_sql
-from fieldtally.queries.tables import obs, table
+from fieldtally.queries.tables import table
 from fieldtally.session import fresh_folder
 from fieldtally.sources import sinks, text
 

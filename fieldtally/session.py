@@ -50,13 +50,3 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     path = fresh_folder(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """At least as many partitions as the cluster has cores; large inputs pass unchanged.
-
-    For frames without a shuffle, before they are cached for training: a file of one split would
-    otherwise be trained on by one core.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
