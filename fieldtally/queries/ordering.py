@@ -25,13 +25,12 @@ def zip_index_pair(spark, d):
 
 @query(
     "o1_running_total",
-    f"""SELECT l_shipdate, n, CAST(sum(n) OVER (ORDER BY l_shipdate) - n AS BIGINT) AS before
-        FROM (SELECT CAST(l_shipdate AS VARCHAR) AS l_shipdate, count(*) AS n FROM lineitem GROUP BY l_shipdate) AS t""",
+    """SELECT l_partkey, n, CAST(sum(n) OVER (ORDER BY l_partkey) - n AS BIGINT) AS before
+       FROM (SELECT l_partkey, count(*) AS n FROM lineitem GROUP BY l_partkey) AS t""",
 )
 def running_total(spark, d):
-    days = table(spark, d, "lineitem").groupBy("l_shipdate").agg(F.count(F.lit(1)).alias("n"))
-    totals = o.running_total(days, "l_shipdate", amount="n")
-    return totals.select(F.date_format("l_shipdate", "yyyy-MM-dd HH:mm:ss").alias("l_shipdate"), "n", "before")
+    parts = table(spark, d, "lineitem").groupBy("l_partkey").agg(F.count(F.lit(1)).alias("n"))
+    return o.running_total(parts, "l_partkey", amount="n")
 
 
 @query(
