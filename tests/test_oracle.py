@@ -4,8 +4,9 @@ import pytest
 
 import __spark_entry__ as entry
 from check import duck, same
+from fieldtally import queries as registry
 
-RUNS, SQL = entry.queries(), entry.oracle_sql()
+RUNS, SQL = registry.queries(), registry.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -31,4 +32,5 @@ def test_entry(spark):
 
 def test_names():
     assert set(SQL) <= set(RUNS)
-    assert not [n for n in RUNS if "pipeline" in n or "llm" in n]
+    assert set(RUNS) <= set(entry.queries())
+    assert set(entry.oracle_sql()) <= set(entry.queries())
