@@ -4,24 +4,32 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from .bpe import bpe_decode, bpe_encode, token_digests
 from .common import table
 from .exact_dedup import exact_dedup
 from .secrets import scan_report, secret_scan
 from .secrets_sql import SECRETS_SQL
 
+BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
+
 
 def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_report(secret_scan(table(spark, sf_dir, "documents")))
 
 
+def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_digests(bpe_decode(bpe_encode(table(spark, sf_dir, "documents"), BYTE_BPE), BYTE_BPE))
+
+
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(table(spark, sf_dir, "documents"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op3_secret_scan, op10_exact_dedup)}
+    return {f.__name__: f for f in (op3_secret_scan, op4_bpe, op10_exact_dedup)}
 
 
 EXACT_DEDUP_SQL = """
