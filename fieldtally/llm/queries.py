@@ -10,12 +10,17 @@ from pyspark.sql import DataFrame, SparkSession
 from .bpe import bpe_decode, bpe_encode, token_digests
 from .common import table
 from .exact_dedup import exact_dedup
+from .line_dedup import LINE_DEDUP_SQL, line_dedup, line_report
 from .secrets import scan_report, secret_scan
 from .secrets_sql import SECRETS_SQL
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 
 
+def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_report(line_dedup(table(spark, sf_dir, "documents")))
+
+
 def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_report(secret_scan(table(spark, sf_dir, "documents")))
 
@@ -29,7 +34,7 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op3_secret_scan, op4_bpe, op10_exact_dedup)}
+    return {f.__name__: f for f in (op1_line_dedup, op3_secret_scan, op4_bpe, op10_exact_dedup)}
 
 
 EXACT_DEDUP_SQL = """
@@ -44,4 +49,4 @@ WINDOW same AS (PARTITION BY t)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_secret_scan": SECRETS_SQL, "op10_exact_dedup": EXACT_DEDUP_SQL}
+    return {"op1_line_dedup": LINE_DEDUP_SQL, "op3_secret_scan": SECRETS_SQL, "op10_exact_dedup": EXACT_DEDUP_SQL}
