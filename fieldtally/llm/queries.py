@@ -6,13 +6,16 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from .bpe import bpe_decode, bpe_encode, token_digests
 from .common import table
 from .exact_dedup import exact_dedup
 from .line_dedup import LINE_DEDUP_SQL, line_dedup, line_report
 from .secrets import scan_report, secret_scan
+from .quality import GRADES, grade, rated, train
 from .secrets_sql import SECRETS_SQL
+from .toxicity import learnable, toxicity
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -29,12 +32,25 @@ def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_digests(bpe_decode(bpe_encode(table(spark, sf_dir, "documents"), BYTE_BPE), BYTE_BPE))
 
 
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Learns from the label rows that are not held out, and scores all documents."""
+    labels = table(spark, sf_dir, "labels").filter(learnable(F.col("doc_id"))).select("doc_id", F.col("toxic").alias("label"))
+    found = toxicity(table(spark, sf_dir, "documents"), labels)
+    return found.select("doc_id", (~learnable(F.col("doc_id"))).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"), "evidence")
+
+
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = grade(docs, train(docs, rated(table(spark, sf_dir, "labels")), GRADES))
+    return found.select("doc_id", "expected_grade", F.col("tails")[0].alias("p_fair"), F.col("tails")[1].alias("p_good"), "keep")
+
+
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(table(spark, sf_dir, "documents"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_line_dedup, op3_secret_scan, op4_bpe, op10_exact_dedup)}
+    return {f.__name__: f for f in (op1_line_dedup, op3_secret_scan, op4_bpe, op5_toxicity, op9_quality, op10_exact_dedup)}
 
 
 EXACT_DEDUP_SQL = """

@@ -80,6 +80,7 @@ class Words:
     bounds: np.ndarray  # text i has the words bounds[i]:bounds[i + 1]
     offsets: np.ndarray  # and the bytes offsets[i]:offsets[i + 1]
     data: np.ndarray
+    sums: np.ndarray  # of the weighted bytes before each place
 
     def __len__(self) -> int:
         return len(self.bounds) - 1
@@ -90,7 +91,7 @@ def words(column: pa.Array) -> Words:
     n = len(data)
     if n == 0:
         none = np.zeros(0, dtype=np.int64)
-        return Words(none.astype(np.uint64), none, none, np.zeros(len(offsets), dtype=np.int64), offsets, data)
+        return Words(none.astype(np.uint64), none, none, np.zeros(len(offsets), dtype=np.int64), offsets, data, np.zeros(1, dtype=np.uint64))
     solid = ~_SPACE[data]
     cut = np.zeros(n + 1, dtype=bool)  # a text begins or ends here
     cut[offsets] = True
@@ -103,7 +104,14 @@ def words(column: pa.Array) -> Words:
     sums = np.zeros(n + 1, dtype=np.uint64)
     np.cumsum(_VALUE[data] * _UP.upto(n), out=sums[1:])
     hashes = mix((sums[ends] - sums[starts]) * _DOWN.upto(n)[starts])
-    return Words(hashes, starts, ends, np.searchsorted(starts, offsets), offsets, data)
+    return Words(hashes, starts, ends, np.searchsorted(starts, offsets), offsets, data, sums)
+
+
+def prefixes(found: Words, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the first ``size`` bytes of the words that are longer, and which words these are."""
+    which = np.flatnonzero(found.ends - found.starts > size)
+    starts = found.starts[which]
+    return mix(mix((found.sums[starts + size] - found.sums[starts]) * _DOWN.upto(len(found.data))[starts]) + np.uint64(size)), which
 
 
 def runs(found: Words, k: int) -> tuple[np.ndarray, np.ndarray]:
