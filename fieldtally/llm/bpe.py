@@ -23,22 +23,23 @@ read.
 from __future__ import annotations
 
 import json
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from concurrent.futures import ThreadPoolExecutor
-from functools import lru_cache
-from hashlib import sha256
+from functools import cached_property, lru_cache
 
 import numpy as np
 import pyarrow as pa
 import regex
 import tiktoken
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from .common import id_and_text
 
 # Fixed value: the pre-tokenizer of byte-level vocabularies of this kind.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 LEAF_CHARS = 8192
+ROWS = 200  # that are Python objects at a time
 WINDOW_TOKENS = 8
 MARGIN_BYTES = 16  # more than the pre-tokenizer looks ahead
 _RUN = regex.compile(r"\p{L}+|\p{N}+|[^\s\p{L}\p{N}']+")
@@ -75,12 +76,20 @@ class Codec:
             self.bytes_of[i] = token
         for token, i in added.items():
             self.bytes_of[i] = token.encode()
-        self.sizes = np.array([len(b) for b in self.bytes_of], dtype=np.int64)
         self.begins = [len(b) > 1 and b[0] == 0x20 and 0x20 < b[1] < 0x7F for b in self.bytes_of]
         self.inside = [bool(b) and b[0] & 0xC0 == 0x80 for b in self.bytes_of]
-        self.names = [str(i).encode() for i in range(len(self.bytes_of))]
+        self.special_ids = set(added.values())
         self.leaf_chars, self.threads = leaf_chars, threads
-        self.merge = tiktoken.Encoding("file", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
+
+    @cached_property
+    def merge(self) -> Callable[[str], list[int]]:
+        """Encoding of a text as a whole; built at the first use, since decoding needs none."""
+        ranks = {token: i for i, token in enumerate(self.bytes_of) if token and i not in self.special_ids}
+        return tiktoken.Encoding("file", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
+
+    @cached_property
+    def pool(self) -> ThreadPoolExecutor:
+        return ThreadPoolExecutor(self.threads)
 
     def encode(self, text: str) -> list[int]:
         if not text:
@@ -99,10 +108,9 @@ class Codec:
         parts = [text]
         while max(map(len, parts)) > self.leaf_chars:
             parts = [half for p in parts for half in (p[: len(p) // 2], p[len(p) // 2 :])]
-        with ThreadPoolExecutor(self.threads) as pool:
-            level = list(pool.map(self.merge, parts))
-            while len(level) > 1:
-                level = list(pool.map(self.join, level[::2], level[1::2]))
+        level = list(self.pool.map(self.merge, parts))
+        while len(level) > 1:
+            level = list(self.pool.map(self.join, level[::2], level[1::2]))
         return level[0]
 
     def text_of(self, ids: list[int]) -> bytes:
@@ -152,8 +160,8 @@ class Codec:
         return self.text_of(ids).decode("utf-8", "replace")
 
 
-@lru_cache(maxsize=2)
-def codec(path: str, leaf_chars: int = LEAF_CHARS) -> Codec:
+@lru_cache(maxsize=1)
+def codec(path: str, leaf_chars: int) -> Codec:
     return Codec(path, leaf_chars)
 
 
@@ -170,8 +178,8 @@ def bpe_encode(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str = "
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = codec(path, leaf_chars).encode
         for batch in batches:
-            for first in range(0, batch.num_rows, 1000):
-                part = batch.slice(first, 1000)
+            for first in range(0, batch.num_rows, ROWS):
+                part = batch.slice(first, ROWS)
                 ids = _lists([encode(t.as_py()) for t in part.column("text")])
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), ids], names=["doc_id", "ids"])
 
@@ -182,10 +190,10 @@ def bpe_decode(encoded: DataFrame, path: str) -> DataFrame:
     """(doc_id, ids, text) of the rows of ``bpe_encode``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        decode = codec(path).decode
+        decode = codec(path, LEAF_CHARS).decode
         for batch in batches:
-            for first in range(0, batch.num_rows, 1000):
-                part = batch.slice(first, 1000)
+            for first in range(0, batch.num_rows, ROWS):
+                part = batch.slice(first, ROWS)
                 texts = pa.array([decode(x.values.to_numpy().tolist()) if x.is_valid else "" for x in part.column("ids")], type=pa.string())
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("ids"), texts], names=["doc_id", "ids", "text"])
 
@@ -194,21 +202,9 @@ def bpe_decode(encoded: DataFrame, path: str) -> DataFrame:
 
 def token_digests(decoded: DataFrame) -> DataFrame:
     """(doc_id, n_tokens, ids_sha256, decoded_sha256) of the rows of ``bpe_decode``."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names: list[bytes] = []
-        for batch in batches:
-            rows = [x.values.to_numpy().tolist() if x.is_valid else [] for x in batch.column("ids")]
-            most = max((max(r) for r in rows if r), default=-1)
-            names += [str(i).encode() for i in range(len(names), most + 1)]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column("doc_id"),
-                    pa.array([len(r) for r in rows], type=pa.int64()),
-                    pa.array([sha256(b",".join(map(names.__getitem__, r))).hexdigest() for r in rows], type=pa.string()),
-                    pa.array([sha256(t.as_buffer()).hexdigest() for t in batch.column("text")], type=pa.string()),
-                ],
-                names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
-            )
-
-    return decoded.mapInArrow(run, "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string")
+    return decoded.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+        F.sha2("text", 256).alias("decoded_sha256"),
+    )
