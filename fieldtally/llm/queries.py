@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from .bpe import bpe_decode, bpe_encode, token_digests
 from .common import table
+from .decontaminate import overlaps
 from .exact_dedup import exact_dedup
 from .line_dedup import LINE_DEDUP_SQL, line_dedup, line_report
 from .secrets import scan_report, secret_scan
@@ -39,6 +40,10 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", (~learnable(F.col("doc_id"))).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"), "evidence")
 
 
+def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return overlaps(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     found = grade(docs, train(docs, rated(table(spark, sf_dir, "labels")), GRADES))
@@ -50,7 +55,7 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_line_dedup, op3_secret_scan, op4_bpe, op5_toxicity, op9_quality, op10_exact_dedup)}
+    return {f.__name__: f for f in (op1_line_dedup, op3_secret_scan, op4_bpe, op5_toxicity, op8_decontamination, op9_quality, op10_exact_dedup)}
 
 
 EXACT_DEDUP_SQL = """
