@@ -14,6 +14,7 @@ from .decontaminate import overlaps
 from .exact_dedup import exact_dedup
 from .line_dedup import LINE_DEDUP_SQL, line_dedup, line_report
 from .secrets import scan_report, secret_scan
+from .ngram_join import ngram_join
 from .quality import GRADES, grade, rated, train
 from .secrets_sql import SECRETS_SQL
 from .toxicity import learnable, toxicity
@@ -40,6 +41,10 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", (~learnable(F.col("doc_id"))).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"), "evidence")
 
 
+def op7_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
+
+
 def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return overlaps(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -55,7 +60,7 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_line_dedup, op3_secret_scan, op4_bpe, op5_toxicity, op8_decontamination, op9_quality, op10_exact_dedup)}
+    return {f.__name__: f for f in (op1_line_dedup, op3_secret_scan, op4_bpe, op5_toxicity, op7_ngram_join, op8_decontamination, op9_quality, op10_exact_dedup)}
 
 
 EXACT_DEDUP_SQL = """
