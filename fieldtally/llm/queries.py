@@ -17,6 +17,8 @@ from .secrets import scan_report, secret_scan
 from .ngram_join import ngram_join
 from .quality import GRADES, grade, rated, train
 from .secrets_sql import SECRETS_SQL
+from .substrings import repeated_passages
+from .token_counts import token_counts, token_report
 from .toxicity import learnable, toxicity
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -26,6 +28,10 @@ def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_report(line_dedup(table(spark, sf_dir, "documents")))
 
 
+def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_report(token_counts(table(spark, sf_dir, "documents"), BYTE_BPE))
+
+
 def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_report(secret_scan(table(spark, sf_dir, "documents")))
 
@@ -41,6 +47,10 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", (~learnable(F.col("doc_id"))).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"), "evidence")
 
 
+def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeated_passages(table(spark, sf_dir, "documents"))
+
+
 def op7_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
 
@@ -60,7 +70,7 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_line_dedup, op3_secret_scan, op4_bpe, op5_toxicity, op7_ngram_join, op8_decontamination, op9_quality, op10_exact_dedup)}
+    return {f.__name__: f for f in (op1_line_dedup, op2_token_counts, op3_secret_scan, op4_bpe, op5_toxicity, op6_substring_dedup, op7_ngram_join, op8_decontamination, op9_quality, op10_exact_dedup)}
 
 
 EXACT_DEDUP_SQL = """
