@@ -27,10 +27,4 @@ def let(value: Column, body) -> Column:
     return F.transform(F.array(value), body)[0]
 
 
-def drop_ids(docs: DataFrame, gone: DataFrame, doc_id: str = "doc_id") -> DataFrame:
-    """``docs`` without the rows whose id is in ``gone.doc_id``; a null id equals a null id."""
-    gone = gone.select(F.col("doc_id").alias("__gone")).distinct()
-    return docs.join(gone, docs[doc_id].eqNullSafe(gone["__gone"]), "left_anti")
-
-
-__all__ = ["drop_ids", "id_and_text", "let", "materialize", "table", "whole_text"]
+__all__ = ["id_and_text", "let", "materialize", "table", "whole_text"]

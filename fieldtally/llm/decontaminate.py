@@ -22,10 +22,11 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import drop_ids, id_and_text, materialize, whole_text
+from .common import id_and_text, whole_text
 from .words import Words, mix, slices, words
 
 MASKS = ("1101100101", "11100010011", "101001110001")
@@ -123,6 +124,15 @@ class TestSide:
         return [(d, i, -r[1], -r[2], r[0], r[3]) for (d, i), r in sorted(best.items())]
 
 
+def test_sides(benchmark: DataFrame, item_id: str, item_text: str, masks: tuple[str, ...], block_chars: int) -> Iterator[Broadcast]:
+    """The items in blocks of about ``block_chars`` characters, sent to all tasks one after the other."""
+    items = benchmark.select(F.col(item_id).cast("long").alias("item_id"), whole_text(item_text).alias("item_text"))
+    blocks = -(-(items.agg(F.sum(F.length("item_text"))).first()[0] or 0) // block_chars)
+    for block in range(blocks):
+        mine = items.filter(F.pmod(F.xxhash64("item_id", "item_text"), F.lit(blocks)) == block).distinct().orderBy("item_id", "item_text").collect()
+        yield benchmark.sparkSession.sparkContext.broadcast(TestSide([r.item_id for r in mine], [r.item_text for r in mine], masks))
+
+
 def overlaps(
     docs: DataFrame,
     benchmark: DataFrame,
@@ -137,15 +147,9 @@ def overlaps(
 ) -> DataFrame:
     """(doc_id, item_id, doc_start, item_start, n_words, n_equal) of the longest overlap of each document and item."""
     rows = id_and_text(docs, doc_id, text)
-    items = benchmark.select(F.col(item_id).cast("long").alias("item_id"), whole_text(item_text).alias("item_text"))
-    blocks = -(-(items.agg(F.sum(F.length("item_text"))).first()[0] or 0) // block_chars)
     schema = "doc_id bigint, item_id bigint, doc_start bigint, item_start bigint, n_words bigint, n_equal bigint"
-    context = rows.sparkSession.sparkContext
-
-    def against(block: int) -> DataFrame:
-        mine = items.filter(F.pmod(F.xxhash64("item_id", "item_text"), F.lit(blocks)) == block).distinct().orderBy("item_id", "item_text").collect()
-        side = context.broadcast(TestSide([r.item_id for r in mine], [r.item_text for r in mine], masks))  # about block_chars
 
+    def against(side: Broadcast) -> DataFrame:
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 for part in slices(batch, "text"):
@@ -158,14 +162,31 @@ def overlaps(
 
         return rows.mapInArrow(run, schema)
 
-    if not blocks:
-        return rows.sparkSession.createDataFrame([], schema)
-    return reduce(DataFrame.unionByName, map(against, range(blocks))).distinct()
+    found = [against(s) for s in test_sides(benchmark, item_id, item_text, masks, block_chars)]
+    return reduce(DataFrame.unionByName, found).distinct() if found else rows.sparkSession.createDataFrame([], schema)
 
 
-def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that overlap with no item, with all their columns.
+def drop_contaminated(
+    docs: DataFrame,
+    benchmark: DataFrame,
+    text: str = "text",
+    item_id: str = "item_id",
+    item_text: str = "text",
+    masks: tuple[str, ...] = MASKS,
+    min_words: int = MIN_WORDS,
+    identity: float = IDENTITY,
+    block_chars: int = BLOCK_CHARS,
+) -> DataFrame:
+    """The rows of ``docs`` that overlap with no item, with all their columns. Each row goes by its own text, without a join."""
+
+    def clean(rows: DataFrame, side: Broadcast) -> DataFrame:
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                for part in slices(batch, text):
+                    keep = np.ones(part.num_rows, dtype=bool)
+                    keep[[r[0] for r in side.value.overlaps(words(part.column(text)), min_words, identity)]] = False
+                    yield part.filter(pa.array(keep))
+
+        return rows.mapInArrow(run, docs.schema)
 
-    Of rows that repeat an identifier, all go if one of them overlaps.
-    """
-    return drop_ids(docs, materialize(overlaps(docs, benchmark).select("doc_id").distinct(), "contaminated"))
+    return reduce(clean, test_sides(benchmark, item_id, item_text, masks, block_chars), docs)

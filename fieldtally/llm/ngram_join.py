@@ -333,3 +333,17 @@ def ngram_join(
         .unionByName(cold.select(*names, "component_id"))
         .unionByName(every.filter("n = 0").select(*names, F.col("doc_id").alias("component_id")))
     )
+
+
+def keep_one(docs: DataFrame, size: int = 5, percent: int = 80, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """The rows of ``docs`` that stay, with all their columns: of each component the one with the smallest identifier.
+
+    Rows that repeat identifier and text go or stay together. Rows without an identifier go before others.
+    """
+    named = docs.withColumn("__llm_key", F.xxhash64(F.coalesce(F.col(doc_id).cast("string"), F.lit("-")), F.lit("|"), F.coalesce(F.col(text), F.lit(""))))
+    found = ngram_join(named, "__llm_key", text, size, percent).select(F.col("doc_id").alias("key"), F.col("component_id").alias("component"))
+    first = F.struct(F.col(doc_id).isNull().alias("none"), F.col(doc_id).cast("long").alias("id"), F.col("__llm_key").alias("key"))
+    grouped = materialize(found.distinct().join(named.select(F.col("__llm_key").alias("key"), first.alias("first")).distinct(), "key"), "grouped")
+    stays = grouped.groupBy("component").agg(F.min("first").alias("first"), F.count("*").alias("held")).filter("held > 1")
+    gone = grouped.select("key", "component").join(stays.select("component", F.col("first.key").alias("stay")), "component").filter("key <> stay")
+    return named.join(gone.select(F.col("key").alias("__llm_key")), "__llm_key", "left_anti").drop("__llm_key")
