@@ -23,6 +23,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -33,7 +34,8 @@ from .common import id_and_text, materialize
 from .words import prefixes, slices, words
 
 SIZES = (4, 5, 6)
-BLOCK = 128
+BLOCK = 1024
+REMEMBERED = 20_000  # results of equal vectors that a task keeps
 NEIGHBOURS = 25
 DISTANCE = 0.1
 PRIOR = 1.0
@@ -140,9 +142,13 @@ class Index:
             for t, q in zip(terms, query, strict=True):
                 a, b = self.pointers[t * blocks + block], self.pointers[t * blocks + block + 1]
                 sums[self.examples[a:b] - block * BLOCK] += q * self.weights[a:b]
-            here = np.flatnonzero(sums > 0)
+            sums = np.round(sums, 12)
+            floor = max(cosines[-1] if len(best) == k else 0.0, np.partition(sums, -k)[-k])
+            here = np.flatnonzero((sums >= floor) & (sums > 0))
+            if not len(here):
+                continue
             best = np.concatenate((best, here + block * BLOCK))
-            cosines = np.concatenate((cosines, np.round(sums[here], 12)))
+            cosines = np.concatenate((cosines, sums[here]))
             order = np.lexsort((best, -cosines))[:k]
             best, cosines = best[order], cosines[order]
         return best, cosines
@@ -164,9 +170,12 @@ def telling_terms(examples: DataFrame, max_terms: int) -> np.ndarray:
             for part in slices(batch, "text"):
                 hashes, texts = text_terms(part.column("text"))
                 labels = part.column("label").to_numpy()
-                pairs = np.unique(np.stack((hashes, texts.astype(np.uint64))), axis=1) if len(hashes) else np.zeros((2, 0), dtype=np.uint64)
-                terms, at = np.unique(pairs[0], return_inverse=True)
-                toxic = np.bincount(at, labels[pairs[1].astype(np.int64)], minlength=len(terms)).astype(np.int64)
+                order = np.lexsort((texts, hashes))
+                hashes, texts = hashes[order], texts[order]
+                first = np.ones(len(hashes), dtype=bool)
+                first[1:] = (hashes[1:] != hashes[:-1]) | (texts[1:] != texts[:-1])
+                terms, at = np.unique(hashes[first], return_inverse=True)
+                toxic = np.bincount(at, labels[texts[first]], minlength=len(terms)).astype(np.int64)
                 every = np.bincount(at, minlength=len(terms))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(terms.view(np.int64)), pa.array(toxic), pa.array(every, type=pa.int64())], names=["term", "toxic", "every"]
@@ -240,11 +249,13 @@ def toxicity(
     shared = spark.sparkContext.broadcast(index)
 
     def voted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        @lru_cache(maxsize=REMEMBERED)
+        def scored(terms: tuple[int, ...], counts: tuple[int, ...]) -> tuple[float, list[int]]:
+            return shared.value.score(np.array(terms, dtype=np.int64), np.array(counts, dtype=np.int64))
+
         for batch in batches:
-            found = [
-                shared.value.score(np.array(t.as_py(), dtype=np.int64), np.array(c.as_py(), dtype=np.int64))
-                for t, c in zip(batch.column("terms"), batch.column("counts"), strict=True)
-            ]
+            rows = zip(batch.column("terms").to_pylist(), batch.column("counts").to_pylist(), strict=True)
+            found = [scored(tuple(t), tuple(c)) for t, c in rows]
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("doc_id"),
