@@ -7,10 +7,11 @@ tell most others (as in the n-gram join), and stretches with too few of them can
    hash: the nodes of a Cartesian tree. A window (l, c, r) stands for all subsequences from l..c to c..r. Its signature
    is the shingle at c. Shared shingles come before frequent ones, and those before the ones that come once.
 2. Windows with equal signature are compared with the one of the smallest document, so a passage in a third of all
-   documents gives one pair for each. The windows of a pair of documents are joined as intervals along a diagonal; where ``NEED``
+   documents gives one pair for each. Shingles that come once are in the union of a pair but not shared, so a window that has
+   too many of them, beside the least of its signature's windows, has no partner. The windows of a pair of documents are joined as intervals along a diagonal; where ``NEED``
    hashes agree so far, the passages are verified: the Jaccard similarity of their shingle sets is ``similarity`` or more.
-3. Windows that were not found repeated, but have others of their signature, go into another round without the one they were
-   compared with, until every window is repeated or alone.
+3. Windows that were not found repeated, but have others of their signature, go into another round with other windows to be
+   compared with, four times as many in each round, until every window is repeated or was compared with all others left.
 
 Defined results: a null text is an empty text and has no passage. Rows that repeat an identifier are documents of their own, of
 which the first read counts as smaller; a null identifier is the smallest. An empty table gives no rows. Other columns are not read.
@@ -35,7 +36,7 @@ SIZE, MIN_WORDS, SIMILARITY = 5, 50, 0.8
 HASHES, NEED = 4, 2
 DRIFT = 8  # words by which the parts of a passage may be shifted
 _SEEDS = mix(np.arange(1, HASHES + 1, dtype=np.uint64))
-_WINDOW = "array<struct<f:int,value:bigint,c:int,l:int,r:int>>"
+_WINDOW = "array<struct<f:int,value:bigint,c:int,l:int,r:int,once:int>>"
 _PIECES = f"row bigint, doc_id bigint, sequence binary, windows {_WINDOW}"
 _FOUND = (
     "row bigint, doc_id bigint, start_word bigint, n_words bigint, other bigint, of_doc_id bigint, of_start_word bigint, of_n_words bigint, similarity double"
@@ -127,11 +128,15 @@ def pieces(rows: DataFrame, filters: dict, filter_bits: int, size: int, min_word
                 if repeated[c]:
                     own = int(text_of[c])
                     r = min(r, int(stops[np.searchsorted(begins, c, side="right") - 1]) - 1)
-                    base = int(bounds[own])
-                    windows.setdefault(own, []).append({"f": f, "value": int(shingles[c].view(np.int64)), "c": c - base, "l": l - base, "r": r - base})
+                    base, at = int(bounds[own]), np.arange(max(l, c - width + 1), min(c, r - width + 1) + 1)
+                    once = width - int((shared[at + width] - shared[at]).max()) if len(at) else width
+                    if once <= (1 - similarity) * width:
+                        windows.setdefault(own, []).append(
+                            {"f": f, "value": int(shingles[c].view(np.int64)), "c": c - base, "l": l - base, "r": r - base, "once": once}
+                        )
         texts = sorted(windows)
         chosen = pa.array(texts, type=pa.int64())
-        kind = pa.list_(pa.struct([("f", pa.int32()), ("value", pa.int64()), ("c", pa.int32()), ("l", pa.int32()), ("r", pa.int32())]))
+        kind = pa.list_(pa.struct([("f", pa.int32()), ("value", pa.int64()), ("c", pa.int32()), ("l", pa.int32()), ("r", pa.int32()), ("once", pa.int32())]))
         yield pa.RecordBatch.from_arrays(
             [
                 part.column("row").take(chosen),
@@ -229,17 +234,18 @@ def repeated_passages(
     filters = repeated_filters(rows, size, total // 6, filter_bits)
     parts = materialize(pieces(rows, filters, filter_bits, size, min_words, similarity), "pieces")
     sides = parts.select("row", "doc_id", "sequence"), parts.select(F.col("row").alias("other"), F.col("doc_id").alias("of_doc_id"), F.col("sequence").alias("of_sequence"))
-    left = parts.select("doc_id", "row", F.explode("windows").alias("w")).select("doc_id", "row", "w.*")
-    found = seen = None
+    width, found, seen, leads = min_words - size + 1, None, None, 1
+    left = parts.select("doc_id", "row", F.explode("windows").alias("w")).select("doc_id", "row", "w.*", F.lit(False).alias("led"))
+    me = F.struct("doc_id", "row", "c", "l", "r")
     while True:
-        lead = (
-            left.groupBy("f", "value")
-            .agg(F.min(F.struct("doc_id", "row", "c", "l", "r")).alias("lead"), F.min("row").alias("low"), F.max("row").alias("high"))
-            .filter("high > low")
-            .select("f", "value", "lead")
-        )
-        met = materialize(left.join(lead, ["f", "value"]).filter(F.col("row") != F.col("lead.row")), "windows")
-        if met.isEmpty():
+        least = left.groupBy("f", "value").agg(F.min("once").alias("least"), F.min("row").alias("low"), F.max("row").alias("high"))
+        able = left.join(least.filter("high > low").select("f", "value", "least"), ["f", "value"])
+        able = materialize(able.filter((F.col("once") + F.col("least")) * similarity <= (1 - similarity) * (width - F.col("once"))).drop("least"), "windows")
+        share = F.pmod(F.xxhash64("row"), F.lit(leads))
+        lead = able.filter("NOT led").groupBy("f", "value", share.alias("share")).agg(F.min(me).alias("lead")).drop("share")
+        met = able.join(lead, ["f", "value"]).filter((F.col("row") != F.col("lead.row")) & (F.col("lead") < me))
+        met = materialize(met.select("doc_id", "row", "f", "value", "c", "l", "r", "lead"), "met")
+        if lead.isEmpty():
             break
         seen = met if seen is None else seen.unionByName(met)
         pairs = met.select("row", F.col("lead.row").alias("other")).distinct()
@@ -247,14 +253,19 @@ def repeated_passages(
             seen.withColumn("other", F.col("lead.row"))
             .join(pairs, ["row", "other"], "left_semi")
             .groupBy("row", "other")
-            .agg(F.collect_list(F.struct("f", "c", "l", "r", "lead")).alias("hits"), F.size(F.collect_set("f")).alias("hashes"))
+            .agg(F.collect_set(F.struct("f", "c", "l", "r", "lead")).alias("hits"), F.size(F.collect_set("f")).alias("hashes"))
             .filter(F.col("hashes") >= NEED)
             .drop("hashes")
         )
         now = materialize(verified(hits.join(sides[0], "row").join(sides[1], "other"), size, min_words, similarity), "passages")
         found = now if found is None else found.unionByName(now)
         spans = now.select(F.col("row").alias("of"), F.col("start_word").alias("from"), (F.col("start_word") + F.col("n_words") - size + 1).alias("to"))
-        left = met.join(spans, (F.col("row") == F.col("of")) & (F.col("c") >= F.col("from")) & (F.col("c") < F.col("to")), "left_anti").drop("lead")
+        spans = spans.distinct()
+        rest = able.join(spans, (F.col("row") == F.col("of")) & (F.col("c") >= F.col("from")) & (F.col("c") < F.col("to")), "left_anti")
+        used = lead.select(F.col("f").alias("of_f"), F.col("value").alias("of_value"), F.col("lead.row").alias("of_row"), F.col("lead.c").alias("of_c"))
+        same = (F.col("f") == F.col("of_f")) & (F.col("value") == F.col("of_value")) & (F.col("row") == F.col("of_row")) & (F.col("c") == F.col("of_c"))
+        left = rest.join(used, same, "left").withColumn("led", F.col("led") | F.col("of_row").isNotNull()).select(*able.columns)
+        leads *= 4
     if found is None:
         return docs.sparkSession.createDataFrame([], _FOUND).drop("row", "other")
     return found.drop("row", "other").distinct()
