@@ -4,10 +4,10 @@ from __future__ import annotations
 
 import argparse
 
-from fieldtally.operators.train import ENSEMBLE, ENSEMBLE_SIZE
+from fieldtally.operators.train import ENSEMBLE, ENSEMBLE_SIZE, KINDS
 from fieldtally.plans import jobs
 from fieldtally.session import get_session
-from fieldtally.sources.text import count_records
+from fieldtally.sources.text import count_records, read_header
 
 
 def parser() -> argparse.ArgumentParser:
@@ -25,14 +25,21 @@ def parser() -> argparse.ArgumentParser:
     job("profile", "count the target's zeros, ones, missing and other cells", "input")
     job("sample", "write a one per cent sample", "input", "output")
     job("correlate", "write the correlation matrix and the target's pairs", "input", "matrix", "pairs")
-    job("train", "fit and save the logistic model", "input", "model")
+    train = job("train", "fit and save a model on the training part", "input", "model")
+    train.add_argument("--kind", choices=sorted(KINDS), default="logistic_l1")
+    train.add_argument("--all-rows", action="store_true", help="hold nothing out")
     ensemble = job("ensemble", "fit and save an ensemble", "input", "model")
     ensemble.add_argument("--members", nargs="+", default=list(ENSEMBLE[:ENSEMBLE_SIZE]))
+    ensemble.add_argument("--hold-out", action="store_true", help="train on the training part only")
+    for one in (train, ensemble):
+        one.add_argument("--header", help="file whose first line has the column names, for an input without them")
     for name, about in (("score", "score an unlabelled file in input order"), ("validate", "score a labelled file")):
         scoring = job(name, about, "input", "model", "output")
         scoring.add_argument("--vote", action="store_true", help="the model is an ensemble")
         if name == "score":
             scoring.add_argument("--single-file", action="store_true")
+        else:
+            scoring.add_argument("--held-out", action="store_true", help="only the rows that training held out")
     job("accuracy", "confusion counts of id,label,prediction lines", "input")
     job("combined", "split, train a forest, score the rest, report", "input", "validation", "model", "predictions")
     return top
@@ -51,13 +58,15 @@ def main(argv: list[str] | None = None) -> None:
         case "correlate":
             jobs.correlation_job(spark, args.input, args.matrix, args.pairs)
         case "train":
-            jobs.train_job(spark, args.input, args.model)
+            header = read_header(spark, args.header) if args.header else None
+            jobs.train_job(spark, args.input, args.model, hold_out=not args.all_rows, kind=args.kind, header=header)
         case "ensemble":
-            jobs.ensemble_job(spark, args.input, args.model, tuple(args.members))
+            header = read_header(spark, args.header) if args.header else None
+            jobs.ensemble_job(spark, args.input, args.model, tuple(args.members), hold_out=args.hold_out, header=header)
         case "score":
             jobs.score_job(spark, args.input, args.model, args.output, args.vote, args.single_file)
         case "validate":
-            jobs.validation_job(spark, args.input, args.model, args.output, args.vote)
+            jobs.validation_job(spark, args.input, args.model, args.output, args.vote, "validation" if args.held_out else "all")
         case "accuracy":
             jobs.accuracy_job(spark, args.input).show()
         case "combined":

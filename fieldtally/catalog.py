@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 # The raw files' schema.
 TARGET = "Agelaius_phoeniceus"
 KEY = "SAMPLING_EVENT_ID"
+MISSING = "?"
 DROP_NAMES = (
     "SAMPLING_EVENT_ID", "LOC_ID", "YEAR", "DAY", "COUNTRY", "STATE_PROVINCE", "COUNTY", "COUNT_TYPE",
     "OBSERVER_ID", "ELEV_GT", "ELEV_NED", "GROUP_ID", "BAILEY_ECOREGION", "OMERNIK_L3_ECOREGION",
@@ -125,6 +126,9 @@ class NamedCells:
     def __init__(self, catalog: ColumnCatalog):
         self.catalog = catalog
 
+    def padded(self, df: DataFrame, upto: int) -> DataFrame:
+        return df
+
     def cell(self, name: str) -> Column:
         return F.col(self.catalog.entries[self.catalog.position(name)].unique_name).cast("string")
 
@@ -151,6 +155,12 @@ class ArrayCells:
         position = self.catalog.position(name)
         return F.get(F.col(self.head if position <= self.head_upto else self.cells), F.lit(position))
 
+    def padded(self, df: DataFrame, upto: int) -> DataFrame:
+        """``cells`` of short lines filled up to a position with missing cells, so that every stretch has its length."""
+        cells = F.col(self.cells)
+        lacking = F.lit(upto + 1) - F.size(cells)
+        return df.withColumn(self.cells, F.when(lacking > 0, F.concat(cells, F.array_repeat(F.lit(MISSING), lacking))).otherwise(cells))
+
     def run(self, entries: Sequence[Entry]) -> Column:
         """The entries' cells as an array, one ``slice`` for each stretch of neighbouring positions."""
         stretches: list[list[int]] = []

@@ -8,7 +8,7 @@ from pyspark.ml import Estimator, PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fieldtally.catalog import KEY, TARGET
+from fieldtally.catalog import KEY, TARGET, ArrayCells, ColumnCatalog
 from fieldtally.operators.correlate import corr_matrix_vector, corr_target_array
 from fieldtally.operators.engineer import sparse_vector
 from fieldtally.operators.evaluate import confusion_accuracy, parse_predictions
@@ -25,12 +25,13 @@ from fieldtally.operators.sampling import (
     target_sample,
 )
 from fieldtally.operators.score import score_test, score_validation
-from fieldtally.operators.train import ENSEMBLE, ENSEMBLE_SIZE, deep_forest, fit, fit_ensemble, logistic_l1
+from fieldtally.operators.train import ENSEMBLE, ENSEMBLE_SIZE, deep_forest, fit, fit_ensemble, fit_kind, logistic_l1
+from fieldtally.operators.stumps import Stumps
 from fieldtally.operators.vote import Vote
 from fieldtally.plans.record import RecordPlan, RecordSpec
 from fieldtally.session import materialize
 from fieldtally.sources.sinks import write_corr_matrix, write_corr_pairs, write_lines, write_submission
-from fieldtally.sources.text import read_wide
+from fieldtally.sources.text import read_header, read_wide
 
 # Split weights and seeds.
 SPLIT = {"train": 0.8, "validation": 0.2}
@@ -45,16 +46,24 @@ def open_wide(
     spec: RecordSpec | None = None,
     in_order: bool = False,
     needed: Sequence[str] | None = None,
+    header: str | None = None,
 ) -> tuple[DataFrame, RecordPlan]:
-    """(raw frame with ``cells``, its plan); with ``needed`` only cells up to those columns are cut."""
+    """(raw frame with ``cells``, its plan); cells are cut up to the last one that the plan reads, or up to ``needed``.
+
+    ``header`` is the line of names of a file without one.
+    """
     spec = spec or RecordSpec()
-    raw, cells = read_wide(spark, path, in_order, needed, tested=(spec.key, spec.primary, spec.target))
+
+    def last(catalog: ColumnCatalog) -> int:
+        return RecordPlan(spec, ArrayCells(catalog)).last_position()
+
+    raw, cells = read_wide(spark, path, in_order, last if needed is None else needed, tested=(spec.key, spec.primary, spec.target), header=header)
     return raw, RecordPlan(spec, cells)
 
 
 def training_frame(raw: DataFrame, plan: RecordPlan, rates: Rates = BALANCE, strict: bool = False) -> DataFrame:
     """Rows to train on, balanced, cleaned: (key, label, features)."""
-    rows = class_balance(plan.select_rows(raw, strict), plan.target(), plan.key(), rates)
+    rows = class_balance(plan.select_rows(raw, strict), plan.target(), plan.key(), rates, case_sensitive=plan.spec.case_sensitive)
     return plan.transform(rows)
 
 
@@ -67,41 +76,62 @@ def train(raw: DataFrame, plan: RecordPlan, estimator: Estimator | None = None,
         frame.unpersist()
 
 
-def save_model(spark: SparkSession, model: PipelineModel | Vote, spec: RecordSpec, path: str) -> None:
+def save_model(spark: SparkSession, model: PipelineModel | Vote | Stumps, plan: RecordPlan, path: str) -> None:
+    """The model, and beside it the record's spec and column names, for files without a header."""
+    if isinstance(model, Stumps):
+        model = Vote(["stumps"], [model])
     if isinstance(model, Vote):
         model.save(spark, f"{path}/vote")
     else:
         model.write().overwrite().save(f"{path}/model")
-    spark.createDataFrame([(spec.to_json(),)], "value string").coalesce(1).write.mode("overwrite").text(f"{path}/spec")
+    names = ",".join(e.name for e in plan.catalog.entries)
+    for part, line in (("spec", plan.spec.to_json()), ("header", names)):
+        spark.createDataFrame([(line,)], "value string").coalesce(1).write.mode("overwrite").text(f"{path}/{part}")
 
 
-def load_model(spark: SparkSession, path: str, vote: bool = False) -> tuple[PipelineModel | Vote, RecordSpec]:
+def load_model(spark: SparkSession, path: str, vote: bool = False) -> tuple[PipelineModel | Vote | Stumps, RecordSpec]:
+    """The model and its spec; ``vote`` for ensembles and boosted stumps."""
     spec = RecordSpec.from_json(spark.read.text(f"{path}/spec").first()["value"])
-    return (Vote.load(spark, f"{path}/vote") if vote else PipelineModel.load(f"{path}/model")), spec
+    if not vote:
+        return PipelineModel.load(f"{path}/model"), spec
+    model = Vote.load(spark, f"{path}/vote")
+    return (model.members[0] if model.names == ["stumps"] else model), spec
+
 
+def saved_header(spark: SparkSession, path: str) -> str:
+    return read_header(spark, f"{path}/header")
 
-def train_job(spark: SparkSession, path: str, model_path: str, spec: RecordSpec | None = None, hold_out: bool = True) -> None:
-    """Train the L1 logistic model on the 80 % part of a wide file and save it."""
-    raw, plan = open_wide(spark, path, spec)
-    if hold_out:
-        raw = random_split(raw, plan.key(), SPLIT, SPLIT_SEED).filter(F.col("split") == "train")
-    save_model(spark, train(raw, plan), plan.spec, model_path)
+
+def split_part(raw: DataFrame, plan: RecordPlan, part: str) -> DataFrame:
+    """``train`` or ``validation`` rows of the fixed split, ``all`` rows otherwise."""
+    return raw if part == "all" else random_split(raw, plan.key(), SPLIT, SPLIT_SEED).filter(F.col("split") == part)
+
+
+def train_job(spark: SparkSession, path: str, model_path: str, spec: RecordSpec | None = None, hold_out: bool = True,
+              kind: str = "logistic_l1", overrides: dict | None = None, header: str | None = None) -> None:
+    """Train a model of any kind on the 80 % part of a wide file, or all of it, and save it."""
+    raw, plan = open_wide(spark, path, spec, header=header)
+    frame = cache_input(training_frame(split_part(raw, plan, "train" if hold_out else "all"), plan))
+    try:
+        save_model(spark, fit_kind(kind, frame, **(overrides or {})), plan, model_path)
+    finally:
+        frame.unpersist()
 
 
 def ensemble_job(spark: SparkSession, path: str, model_path: str, kinds: tuple[str, ...] = ENSEMBLE[:ENSEMBLE_SIZE],
-                 overrides: dict[str, dict] | None = None) -> None:
-    raw, plan = open_wide(spark, path)
-    frame = cache_input(training_frame(raw, plan))
+                 overrides: dict[str, dict] | None = None, hold_out: bool = False, header: str | None = None) -> None:
+    raw, plan = open_wide(spark, path, header=header)
+    frame = cache_input(training_frame(split_part(raw, plan, "train" if hold_out else "all"), plan))
     try:
-        save_model(spark, fit_ensemble(frame, kinds, overrides), plan.spec, model_path)
+        save_model(spark, fit_ensemble(frame, kinds, overrides), plan, model_path)
     finally:
         frame.unpersist()
 
 
 def score_job(spark: SparkSession, path: str, model_path: str, result_path: str, vote: bool = False, single_file: bool = False) -> None:
-    """Unlabelled file → submission in input order."""
+    """Unlabelled file, with a header line or without one → submission in input order.    """
     model, spec = load_model(spark, model_path, vote)
-    raw, plan = open_wide(spark, path, spec, in_order=True)
+    raw, plan = open_wide(spark, path, spec, in_order=True, header=header_of(spark, path, model_path))
     order = ("_file", "_block", "_row")
     scored = score_test(model, plan.transform(raw, labelled=False, keep=order), spec.key, *order)
     # The sort samples its input before it shuffles: pin the narrow result, so that rows are scored once.
@@ -109,12 +139,19 @@ def score_job(spark: SparkSession, path: str, model_path: str, result_path: str,
     write_submission(scored, result_path, order, spec.key, single_file=single_file)
 
 
-def validation_job(spark: SparkSession, path: str, model_path: str, result_path: str, vote: bool = False) -> None:
-    """Labelled file → ``id,label,prediction`` lines."""
+def header_of(spark: SparkSession, path: str, model_path: str) -> str:
+    """The file's own header if it begins with one, that is, names the same key; else that of the training file."""
+    own, saved = read_header(spark, path), saved_header(spark, model_path)
+    spec = RecordSpec.from_json(spark.read.text(f"{model_path}/spec").first()["value"])
+    return own if spec.key in own.split(",") else saved
+
+
+def validation_job(spark: SparkSession, path: str, model_path: str, result_path: str, vote: bool = False, part: str = "all") -> None:
+    """Labelled file → ``id,label,prediction,score`` lines; ``part="validation"`` scores only what training held out."""
     model, spec = load_model(spark, model_path, vote)
-    raw, plan = open_wide(spark, path, spec)
-    scored = score_validation(model, plan.transform(raw), spec.key)
-    write_lines(scored.select(spec.key, "label", "prediction"), result_path)
+    raw, plan = open_wide(spark, path, spec, header=header_of(spark, path, model_path))
+    scored = score_validation(model, plan.transform(split_part(raw, plan, part)), spec.key)
+    write_lines(scored.select(spec.key, "label", "prediction", "score"), result_path)
 
 
 def accuracy_job(spark: SparkSession, path: str) -> DataFrame:
@@ -136,7 +173,7 @@ def profile_job(spark: SparkSession, path: str) -> DataFrame:
 def correlation_job(spark: SparkSession, path: str, matrix_path: str, pairs_path: str | None = None) -> None:
     """Pearson matrix of the cleaned columns of a sampled file, label first; optionally target pairs."""
     raw, plan = open_wide(spark, path)
-    rows = target_sample(plan.select_rows(raw), plan.target(), plan.key(), CORRELATION)
+    rows = target_sample(plan.select_rows(raw), plan.target(), plan.key(), CORRELATION, case_sensitive=plan.spec.case_sensitive)
     joint = plan.to_arrays(rows).select(F.concat(F.array("label"), "values").alias("values"))
     vectors = sparse_vector(joint, "values", plan.width + 1).select("features")
     write_corr_matrix(corr_matrix_vector(vectors), matrix_path)
@@ -167,7 +204,7 @@ def combined_job(spark: SparkSession, path: str, validation_path: str, model_pat
         model = fit(deep_forest(), frame)
     finally:
         frame.unpersist()
-    save_model(spark, model, plan.spec, model_path)
+    save_model(spark, model, plan, model_path)
     scored = score_validation(model, plan.transform(held), plan.spec.key)
     write_lines(scored.select(plan.spec.key, "label", "prediction"), prediction_path)
     return accuracy_job(spark, prediction_path)

@@ -69,6 +69,14 @@ class RecordPlan:
     def width(self) -> int:
         return len(self.feature_names)
 
+    def last_position(self) -> int:
+        """Of the cells that the plan reads; what comes after it need not be cut."""
+        spec = self.spec
+        roles = [spec.key, spec.target, spec.primary, spec.protocol, spec.hour, spec.month, spec.year, *spec.elevation, *spec.position]
+        roles += [s for name in spec.climate for s in (name, *self.catalog.siblings(name).values())]
+        read = [p for name in roles if name in self.catalog for p in self.catalog.positions(name)]
+        return max([0, *read, *(e.position for e in self.kept)])
+
     def key(self) -> Column:
         return self.cells.cell(self.spec.key)
 
@@ -85,6 +93,7 @@ class RecordPlan:
         method would outgrow what the JVM compiles.
         """
         cell, spec = self.cells.cell, self.spec
+        df = self.cells.padded(df, self.last_position())
         parsed = {name: c.to_number(cell(source)) for name, source in self._numbers().items()}
         staged = df.withColumns({**parsed, "_month": c.month_number(cell(spec.month))})
         replaced = {}

@@ -71,10 +71,10 @@ def except_rows(spark, d):
     return subtract_lines(lines, ends)
 
 
-@query("o6_cache_input", "SELECT primary_flag, count(*) AS n FROM (SELECT CASE WHEN event_id % 7 = 0 THEN '0' ELSE '1' END AS primary_flag FROM events) AS t GROUP BY primary_flag")
+@query("o6_cache_input", "SELECT primary_flag, count(*) AS n, round(count(*) / (SELECT count(*) FROM events), 6) AS share FROM (SELECT CASE WHEN event_id % 7 = 0 THEN '0' ELSE '1' END AS primary_flag FROM events) AS t GROUP BY primary_flag")
 def cache_input(spark, d):
+    """Two results from one cached frame; it stays cached, since the second is not computed yet."""
     cached = o.cache_input(obs(spark, d).select("event_id", "primary_flag"))
-    try:
-        return cached.groupBy("primary_flag").agg(F.count(F.lit(1)).alias("n"))
-    finally:
-        cached.unpersist()
+    total = cached.count()
+    flags = cached.groupBy("primary_flag").agg(F.count(F.lit(1)).alias("n"))
+    return flags.withColumn("share", F.round(F.col("n") / F.lit(total), 6))

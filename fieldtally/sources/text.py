@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -63,19 +63,23 @@ def read_wide(
     spark: SparkSession,
     path: str,
     in_order: bool = False,
-    needed: Sequence[str] | None = None,
+    needed: Sequence[str] | Callable[[ColumnCatalog], int] | None = None,
     tested: Sequence[str] = (),
+    header: str | None = None,
 ) -> tuple[DataFrame, ArrayCells]:
-    """A wide file with a header row → (frame with ``cells``, the layout of its cells).
+    """A wide file → (frame with ``cells``, the layout of its cells).
 
-    Header rows are removed from every file of the folder. Cells after the last ``needed`` column
-    (default: the last one that is no land cover, which nothing reads) stay one uncut cell. The columns
-    that filters will test go into ``tested``; cells up to the last of them are cut separately.
+    ``header`` is the line of column names of a file that has none; by default it is the file's first line. Lines equal to
+    it are removed from every file of the folder. Cells after the last ``needed`` column stay one uncut cell; ``needed``
+    may also tell the last position from the catalog, and by default all cells are cut. The columns that filters will test go
+    into ``tested``; cells up to the last of them are cut separately.
     """
-    header = read_header(spark, path)
+    header = read_header(spark, path) if header is None else header
     catalog = ColumnCatalog.from_header(header)
     if needed is None:
-        upto = max((e.position for e in catalog.entries if e.family != "land_cover"), default=0)
+        upto = len(catalog) - 1
+    elif callable(needed):
+        upto = needed(catalog)
     else:
         upto = max(catalog.position(n) for n in needed)
     head_upto = max((catalog.position(n) for n in tested), default=-1)
