@@ -1,19 +1,21 @@
-"""Pearson and Spearman correlation, each from one pass over the data."""
+"""Pearson and Spearman correlation."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
-from itertools import combinations_with_replacement
 
-from pyspark.ml.stat import Correlation
+import numpy as np
+from pyspark.ml.functions import vector_to_array
+from pyspark.ml.stat import Correlation, Summarizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from fieldtally.operators.engineer import sparse_vector
 from fieldtally.operators.order import running_total
 from fieldtally.operators.profile import array_moments
 
-# Up to this many columns all pairs are plain aggregates of one job; beyond, the Gramian of a vector column.
-PAIRWISE_LIMIT = 8
+# A column whose mean is larger than this many deviations is centred before the Gramian; others stay sparse.
+CENTRE_FROM = 0.1
 
 
 def _pearson(covariance: Column, first: Column, second: Column) -> Column:
@@ -47,50 +49,59 @@ def corr_target_array(df: DataFrame, label: str, array: Column | str, width: int
 def corr_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Pearson matrix of named columns in long form ``(i, j, r)``; i and j are names. Rows with a null
     in any of the columns are left out."""
-    rows = df.select(*columns).dropna()
-    if len(columns) > PAIRWISE_LIMIT:
-        vector = _vector(rows, columns)
-        positions = corr_matrix_vector(vector, "features")
-        names = F.array(*[F.lit(c) for c in columns])
-        return positions.select(F.get(names, "i").alias("i"), F.get(names, "j").alias("j"), "r")
-    pairs = list(combinations_with_replacement(range(len(columns)), 2))
-    moments = rows.agg(
-        *[F.stddev_pop(c).alias(f"_{k}") for k, c in enumerate(columns)],
-        *[F.covar_pop(columns[a], columns[b]).alias(f"_{a}_{b}") for a, b in pairs],
-    )
-    one = moments.select(
-        *[_pearson(F.col(f"_{a}_{b}"), F.col(f"_{a}"), F.col(f"_{b}")).alias(f"_{a}_{b}") for a, b in pairs]
-    )
-    cells = []
-    for a, b in pairs:
-        for i, j in {(a, b), (b, a)}:
-            cells.append(
-                F.struct(F.lit(columns[i]).alias("i"), F.lit(columns[j]).alias("j"), F.col(f"_{a}_{b}").alias("r"))
-            )
-    return one.select(F.inline(F.array(*cells)))
+    rows = df.select(*[F.col(c).cast("double").alias(c) for c in columns]).dropna()
+    positions = _matrix(rows.select(F.array(*columns).alias("values")), len(columns))
+    names = F.array(*[F.lit(c) for c in columns])
+    return positions.select(F.get(names, "i").alias("i"), F.get(names, "j").alias("j"), "r")
 
 
 def corr_matrix_vector(df: DataFrame, features: str = "features") -> DataFrame:
     """Pearson matrix of a vector column as ``(i, j, r)`` positions; null where a side is constant.
 
-    The aggregation is a tree; only the matrix itself, width² numbers whatever the row count, passes the driver.
+    Sparse and dense rows of the same numbers give the same matrix; rows without a vector are left out.
     """
-    matrix = Correlation.corr(df, features, "pearson").first()[0]
-    size = matrix.numRows
-    values = matrix.toArray().tolist()
-    spark = df.sparkSession
-    rows = spark.createDataFrame([(i, row) for i, row in enumerate(values)], "i int, row array<double>")
-    long = rows.select("i", F.posexplode("row").alias("j", "r"))
-    assert size == len(values)
-    return long.select("i", "j", F.when(~F.isnan("r"), F.col("r")).alias("r"))
+    rows = df.filter(F.col(features).isNotNull())
+    first = rows.select(F.size(vector_to_array(features)).alias("n")).first()
+    return _matrix(rows.select(vector_to_array(features).alias("values")), first["n"] if first else 0)
+
+
+def _matrix(rows: DataFrame, width: int) -> DataFrame:
+    """Pearson matrix of ``values``, arrays of ``width`` numbers, by one algorithm for every width and layout.
+
+    First the moments of all columns. Columns far from 0 are shifted to their mean, all are scaled by their deviation, and
+    one Gramian over sparse vectors follows; it would lose the digits of a column with a large offset. The moments and the matrix,
+    width and width² numbers whatever the row count, pass the driver.
+    """
+    spark = rows.sparkSession
+    empty = spark.createDataFrame([], "i int, j int, r double")
+    if not width:
+        return empty
+    vectors = sparse_vector(rows.select("values"), "values", width).select("features")
+    moments = vectors.agg(Summarizer.metrics("mean", "std", "count").summary(F.col("features")).alias("m")).first()["m"]
+    if not moments["count"]:
+        return empty
+    mean, deviation = moments["mean"].toArray(), moments["std"].toArray()
+    scale = np.where(deviation > 0, deviation, 1.0)
+    shift = np.where(np.abs(mean) > CENTRE_FROM * scale, mean, 0.0)
+    shifts, scales = (F.array(*[F.lit(float(x)) for x in v]) for v in (shift, scale))
+    centred = F.zip_with("values", shifts, lambda v, x: v - x)
+    scaled = rows.select(F.zip_with(centred, scales, lambda v, x: v / x).alias("values"))
+    gramian = Correlation.corr(sparse_vector(scaled, "values", width), "features", "pearson").first()[0].toArray()
+    varies = deviation > 0
+    lines = [(i, [float(r) if varies[i] and varies[j] and np.isfinite(r) else None for j, r in enumerate(row)]) for i, row in enumerate(gramian)]
+    long = spark.createDataFrame(lines, "i int, row array<double>")
+    return long.select("i", F.posexplode("row").alias("j", "r"))
 
 
 def spearman_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Spearman matrix in long form: Pearson of the average ranks.
+    """Spearman matrix in long form: Pearson of the average ranks. Rows with a null in any of the columns are left
+    out before values are ranked.
 
-    Values are counted before they are ranked, so a value that fills a third of the rows is one row in
-    the ranking. Costs one join per column: meant for a chosen few, not for a thousand columns.
+    Values are counted before they are ranked, so a value that fills a third of the rows is one row in the ranking. The rows
+    then join the ranks on the value, where adaptive execution splits a frequent one. Costs one join per column: meant for
+    a chosen few, not for a thousand columns.
     """
+    df = df.select(*[F.col(c).cast("double").alias(c) for c in columns]).dropna()
     stack = [F.struct(F.lit(k).alias("k"), F.col(c).cast("double").alias("v")) for k, c in enumerate(columns)]
     counts = df.select(F.inline(F.array(*stack))).filter(F.col("v").isNotNull())
     counts = counts.groupBy("k", "v").agg(F.count(F.lit(1)).alias("n"))
@@ -101,9 +112,3 @@ def spearman_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
         own = ranks.filter(F.col("k") == k).select(F.col("v").alias(c), F.col("rank").alias(f"_rank{k}"))
         ranked = ranked.join(own, c, "left")
     return corr_matrix(ranked.select(*[F.col(f"_rank{k}").alias(c) for k, c in enumerate(columns)]), columns)
-
-
-def _vector(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    from pyspark.ml.functions import array_to_vector
-
-    return df.select(array_to_vector(F.array(*[F.col(c).cast("double") for c in columns])).alias("features"))

@@ -62,10 +62,12 @@ def mean_variance(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 def array_moments(df: DataFrame, array: Column | str, width: int, label: Column | str | None = None) -> DataFrame:
     """Per position of an ``array<double>``: n, mean, variance and, with a label, its correlation.
 
-    One pass. Zero entries, most of a species array, are filtered out as soon as they are exploded and added
-    back afterwards from the row count by the pairwise update of moments, which is centred and so loses
-    no digits. At most one partial row per position and task is shuffled.
+    Null entries are left out, and with a label the rows without one. Zero entries, most of a species array, are
+    filtered out as soon as they are exploded and added back afterwards from the row count by the pairwise update of
+    moments, which is centred and so loses no digits. At most one partial row per position and task is shuffled.
     """
+    if label is not None:
+        df = df.filter(as_column(label).isNotNull())
     values = as_column(array).cast("array<double>")
     y = F.lit(0.0) if label is None else as_column(label).cast("double")
     # A leading 1 in every row carries the row count and the moments of the label over all rows. The
@@ -73,7 +75,8 @@ def array_moments(df: DataFrame, array: Column | str, width: int, label: Column
     led = F.concat(F.array(F.lit(1.0)), values)
     part = (
         df.select(y.alias("y"), F.posexplode_outer(led).alias("pos", "v"))
-        .filter(F.col("v") != F.lit(0.0))
+        .filter(((F.col("v") != F.lit(0.0)) | F.col("v").isNull()) & (F.col("pos") <= width))
+        .withColumns({"none": F.when(F.col("v").isNull(), F.col("y")), "y": F.when(F.col("v").isNotNull(), F.col("y"))})
         .groupBy((F.col("pos") - 1).alias("pos"))
         .agg(
             F.count("v").alias("n1"),
@@ -82,15 +85,26 @@ def array_moments(df: DataFrame, array: Column | str, width: int, label: Column
             F.avg("y").alias("y1"),
             F.var_pop("y").alias("vary"),
             F.covar_pop("v", "y").alias("cov1"),
+            F.count("none").alias("missing"),
+            F.avg("none").alias("none_mean"),
+            F.var_pop("none").alias("none_var"),
         )
     )
     positions = df.sparkSession.range(-1, width, 1, 1).select(F.col("id").cast("int").alias("pos"))
     # Width + 1 rows from here on.
     whole = Window.partitionBy()
     every = [F.max(F.when(F.col("pos") == -1, F.col(c))).over(whole).alias(a) for c, a in
-             (("n1", "n"), ("y1", "y_mean"), ("vary", "y_var"))]
+             (("n1", "rows"), ("y1", "row_mean"), ("vary", "row_var"))]
+    # The moments of the label over the rows that hold the entry: all rows without those that don't.
+    missing = F.coalesce("missing", F.lit(0)).cast("double")
+    none_mean, none_var = F.coalesce("none_mean", F.lit(0.0)), F.coalesce("none_var", F.lit(0.0))
     full = positions.join(F.broadcast(part), "pos", "left").select("*", *every).filter("pos >= 0")
-    n1, n = F.coalesce(F.col("n1"), F.lit(0)).cast("double"), F.col("n").cast("double")
+    full = full.withColumn("n", (F.col("rows") - missing).cast("long"))
+    full = full.withColumn("y_mean", (F.col("rows") * F.col("row_mean") - missing * none_mean) / F.when(F.col("n") > 0, F.col("n")))
+    away = none_mean - F.col("y_mean")
+    inner = F.col("rows") * F.col("row_var") - missing * none_var - missing * F.col("n") / F.col("rows") * away * away
+    full = full.withColumn("y_var", F.greatest(F.lit(0.0), inner) / F.when(F.col("n") > 0, F.col("n")))
+    n1, n = F.coalesce(F.col("n1"), F.lit(0)).cast("double"), F.when(F.col("n") > 0, F.col("n").cast("double"))
     mean1, var1 = F.coalesce("mean1", F.lit(0.0)), F.coalesce("var1", F.lit(0.0))
     n0 = n - n1
     squares = n1 * var1 + n1 * n0 / n * mean1 * mean1

@@ -63,6 +63,37 @@ def corr_matrix(spark, d):
     return matrix.select("i", "j", r6(F.col("r")).alias("r"))
 
 
+_HOLES = ", ".join(f"CASE WHEN (l_orderkey + l_linenumber) % {7 + k} <> 0 THEN {c} + 1000000 END AS {c}" for k, c in enumerate(MEASURES))
+_WHOLE = " AND ".join(f"{c} IS NOT NULL" for c in MEASURES)
+
+
+def _with_holes(spark, d):
+    """The measures far from 0, and null in some rows."""
+    key = F.col("l_orderkey") + F.col("l_linenumber")
+    return table(spark, d, "lineitem").select(*[F.when(key % (7 + k) != 0, F.col(c) + 1000000).alias(c) for k, c in enumerate(MEASURES)])
+
+
+@query(
+    "a3_corr_matrix_nulls",
+    f"WITH holes AS (SELECT * FROM (SELECT {_HOLES} FROM lineitem) AS h WHERE {_WHOLE}) {_matrix_sql(MEASURES, 'holes')}",
+)
+def corr_matrix_nulls(spark, d):
+    """Rows with a null are left out; an offset does not cost digits."""
+    return correlate.corr_matrix(_with_holes(spark, d), MEASURES).select("i", "j", r6(F.col("r")).alias("r"))
+
+
+@query(
+    "a6_mean_variance_array_nulls",
+    " UNION ALL ".join(
+        f"SELECT CAST({k} AS INT) AS pos, count({c}) AS n, {sql_r6(f'avg({c})')} AS mean FROM (SELECT {_HOLES} FROM lineitem) AS h"
+        for k, c in enumerate(MEASURES)
+    ),
+)
+def mean_variance_array_nulls(spark, d):
+    arrays = _with_holes(spark, d).select(F.array(*[F.col(c).cast("double") for c in MEASURES]).alias("v"))
+    return p.array_moments(arrays, "v", len(MEASURES)).select("pos", "n", r6(F.col("mean")).alias("mean"))
+
+
 @query(
     "a3_corr_matrix_vector",
     f"""WITH x AS (SELECT vec_id, CAST(unnest(range(0, 64)) AS INT) AS k, CAST(unnest(embedding) AS DOUBLE) AS v FROM embeddings)
@@ -74,16 +105,16 @@ def corr_matrix_vector(spark, d):
 
 
 _RANKED = ", ".join(
-    f"rank() OVER (ORDER BY {c}) + (count(*) OVER (PARTITION BY {c}) - 1) / 2.0 AS {c}" for c in MEASURES[:3]
+    f"rank() OVER (ORDER BY {c}) + (count(*) OVER (PARTITION BY {c}) - 1) / 2.0 AS {c}" for c in MEASURES
 )
 
 
 @query(
     "a3_corr_matrix_spearman",
-    f"WITH ranked AS (SELECT {_RANKED} FROM lineitem) {_matrix_sql(MEASURES[:3], 'ranked')}",
+    f"WITH ranked AS (SELECT {_RANKED} FROM lineitem) {_matrix_sql(MEASURES, 'ranked')}",
 )
 def corr_matrix_spearman(spark, d):
-    matrix = correlate.spearman_matrix(table(spark, d, "lineitem"), MEASURES[:3])
+    matrix = correlate.spearman_matrix(table(spark, d, "lineitem"), MEASURES)
     return matrix.select("i", "j", r6(F.col("r")).alias("r"))
 
 

@@ -42,14 +42,53 @@ def test_edges_of_correlation(spark):
     assert found[0] == pytest.approx(1) and found[1] == pytest.approx(-1) and found[2] is None
 
 
-def test_wide_matrix_equals_pairwise(spark, sf):
-    columns = [f"c{i}" for i in range(correlate.PAIRWISE_LIMIT + 2)]
-    rows = spark.range(200).select(*[(F.hash("id", F.lit(i)) % 17).cast("double").alias(c) for i, c in enumerate(columns)])
-    wide = {(r.i, r.j): r.r for r in correlate.corr_matrix(rows, columns).collect()}
-    some = correlate.corr_matrix(rows, columns[:3]).collect()
-    assert len(wide) == len(columns) ** 2
-    for r in some:
-        assert wide[r.i, r.j] == pytest.approx(r.r)
+def matrix_rows(spark, offset=0.0, nulls=False):
+    """Ten related columns, some sparse; optionally far from 0, or with nulls."""
+    columns = [f"c{i}" for i in range(10)]
+    cell = [F.pmod(F.hash("id", F.lit(i)), F.lit(17)) * (F.col("id") % (i + 1) == 0).cast("int") for i in range(10)]
+    values = [(c + F.pmod(F.hash("id"), F.lit(5))).cast("double") / 1000 + F.lit(offset) for c in cell]
+    if nulls:
+        values = [F.when(F.pmod(F.hash("id", F.lit(90 + i)), F.lit(9)) > 0, v) for i, v in enumerate(values)]
+    return spark.range(400).select(*[v.alias(c) for v, c in zip(values, columns, strict=True)]), columns
+
+
+@pytest.mark.parametrize("offset", [0.0, 1e6])
+@pytest.mark.parametrize("nulls", [False, True])
+def test_matrix_is_right_with_offsets_and_nulls(spark, offset, nulls):
+    rows, columns = matrix_rows(spark, offset, nulls)
+    found = {(r.i, r.j): r.r for r in correlate.corr_matrix(rows, columns).collect()}
+    expected = (rows.dropna().toPandas() - offset).corr()
+    assert len(found) == len(columns) ** 2
+    assert all(found[i, j] == pytest.approx(expected.loc[i, j], abs=1e-6 if offset else 1e-9) for i, j in found)
+    ranks = {(r.i, r.j): r.r for r in correlate.spearman_matrix(rows, columns[:4]).collect()}
+    expected = rows.select(*columns[:4]).dropna().toPandas().corr("spearman")
+    assert all(ranks[i, j] == pytest.approx(expected.loc[i, j], abs=1e-9) for i, j in ranks)
+
+
+def test_layout_of_the_rows_does_not_matter(spark):
+    from pyspark.ml.linalg import Vectors
+
+    chance = np.random.default_rng(4)
+    data = np.column_stack((1e6 + 3e-4 * chance.random(200), chance.poisson(0.1, 200), chance.random(200)))
+    data[:, 2] += data[:, 0] - 1e6
+    dense = spark.createDataFrame([(Vectors.dense(r),) for r in data.tolist()], ["features"])
+    sparse = spark.createDataFrame([(Vectors.sparse(3, list(enumerate(r))),) for r in data.tolist()], ["features"])
+    one = {(r.i, r.j): r.r for r in correlate.corr_matrix_vector(dense).collect()}
+    two = {(r.i, r.j): r.r for r in correlate.corr_matrix_vector(sparse).collect()}
+    expected = np.corrcoef((data - [1e6, 0, 0]).T)
+    assert all(one[i, j] == pytest.approx(two[i, j], abs=1e-9) == pytest.approx(expected[i, j], abs=1e-5) for i, j in one)
+
+
+def test_moments_leave_nulls_out(spark):
+    given = [(1.0, [1.0, None]), (0.0, [3.0, 4.0]), (0.0, [5.0, 8.0]), (1.0, [2.0, 6.0]), (None, [9.0, 0.0]), (1.0, [0.0, None])]
+    rows = spark.createDataFrame(given, "y double, v array<double>")
+    named = rows.select("y", F.col("v")[0].alias("a"), F.col("v")[1].alias("b"))
+    got = {r.pos: r for r in p.array_moments(rows, "v", 2).collect()}
+    for i, r in enumerate(p.mean_variance(named, ["a", "b"]).collect()):
+        assert (got[i].n, got[i]["mean"], got[i].variance) == pytest.approx((r.n, r["mean"], r.variance))
+    by_array = {r.pos: r.r for r in correlate.corr_target_array(rows, "y", "v", 2).collect()}
+    for i, r in enumerate(correlate.corr_target(named, "y", ["a", "b"]).collect()):
+        assert by_array[i] == pytest.approx(r.r)
 
 
 def test_array_moments_on_sparse_rows(spark):
