@@ -40,10 +40,11 @@ def is_seen(cell: Column, case_sensitive: bool = False) -> Column:
 def to_number(cell: Column) -> Column:
     """A number, or 0 for anything that is none.
 
-    The pattern keeps out what the cast alone would accept (nan, inf, 1d, 0x1p3), and it comes first
+    A number too large for a double is none. The pattern keeps out what the cast alone would accept (nan, inf, 1d, 0x1p3), and it comes first
     because a failing cast raises inside the JVM, which costs far more than a pattern that does not match.
     """
-    return F.coalesce(F.when(is_number(cell), cell.try_cast("double")), F.lit(0.0))
+    number = F.when(is_number(cell), cell.try_cast("double"))
+    return F.coalesce(F.when(F.abs(number) < F.lit(float("inf")), number), F.lit(0.0))
 
 
 def clean_count(cell: Column, salt: str | int | Column, key: Column, case_sensitive: bool = False) -> Column:

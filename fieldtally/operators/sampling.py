@@ -12,10 +12,15 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fieldtally.functions.cells import bucket, is_seen
+from fieldtally.functions.cells import hash32, is_seen
 from fieldtally.operators.columns import as_column
 
-STEPS = 10_000
+RANGE = 2**32  # of a draw
+
+
+def below(draw: Column, share: float) -> Column:
+    """True for that share of the draws, to within one of 2³²."""
+    return F.lit(share >= 1.0) if share <= 0.0 or share >= 1.0 else draw < F.lit(round(share * RANGE))
 
 
 @dataclass(frozen=True)
@@ -45,7 +50,7 @@ def filter_primary(df: DataFrame, flag: Column | str) -> DataFrame:
 
 def filter_header(df: DataFrame, column: Column | str, name: str) -> DataFrame:
     """Without header rows left inside the data: rows that hold a column's name as its value."""
-    return df.filter(as_column(column) != F.lit(name))
+    return df.filter(~as_column(column).eqNullSafe(F.lit(name)))
 
 
 def subtract_lines(lines: DataFrame, header: DataFrame, line: str = "value") -> DataFrame:
@@ -61,42 +66,46 @@ def keep_by_rate(
     salt: str | int,
     case_sensitive: bool = False,
 ) -> DataFrame:
-    cell, draw = as_column(target), bucket(STEPS, salt, as_column(key))
-
-    def below(rate: float) -> Column:
-        if rate <= 0.0 or rate >= 1.0:
-            return F.lit(rate >= 1.0)
-        return draw < F.lit(round(rate * STEPS))
-
+    cell, draw = as_column(target), hash32(salt, as_column(key))
     return df.filter(
-        F.when(is_seen(cell, case_sensitive), below(rates.seen))
-        .when(cell == F.lit("0"), below(rates.zero))
-        .when(cell == F.lit("?"), below(rates.missing))
-        .otherwise(below(rates.other))
+        F.when(is_seen(cell, case_sensitive), below(draw, rates.seen))
+        .when(cell == F.lit("0"), below(draw, rates.zero))
+        .when(cell == F.lit("?"), below(draw, rates.missing))
+        .otherwise(below(draw, rates.other))
     )
 
 
 def class_balance(
-    df: DataFrame, target: Column | str, key: Column | str, rates: Rates = BALANCE, salt: str | int = "balance"
+    df: DataFrame,
+    target: Column | str,
+    key: Column | str,
+    rates: Rates = BALANCE,
+    salt: str | int = "balance",
+    case_sensitive: bool = False,
 ) -> DataFrame:
-    return keep_by_rate(df, target, key, rates, salt)
+    return keep_by_rate(df, target, key, rates, salt, case_sensitive)
 
 
 def target_sample(
-    df: DataFrame, target: Column | str, key: Column | str, rates: Rates = CORRELATION, salt: str | int = "corr"
+    df: DataFrame,
+    target: Column | str,
+    key: Column | str,
+    rates: Rates = CORRELATION,
+    salt: str | int = "corr",
+    case_sensitive: bool = False,
 ) -> DataFrame:
-    return keep_by_rate(df, target, key, rates, salt)
+    return keep_by_rate(df, target, key, rates, salt, case_sensitive)
 
 
 def random_split(
     df: DataFrame, key: Column | str, weights: Mapping[str, float], salt: str | int, alias: str = "split"
 ) -> DataFrame:
     """Adds the name of the part each row falls into; weights need not sum to 1."""
-    draw, total, upper = bucket(STEPS, salt, as_column(key)), sum(weights.values()), 0.0
+    draw, total, upper = hash32(salt, as_column(key)), sum(weights.values()), 0.0
     part, names = None, list(weights)
     for name in names[:-1]:
         upper += weights[name]
-        inside = draw < F.lit(round(upper / total * STEPS))
+        inside = below(draw, upper / total)
         part = F.when(inside, F.lit(name)) if part is None else part.when(inside, F.lit(name))
     return df.withColumn(alias, F.lit(names[-1]) if part is None else part.otherwise(F.lit(names[-1])))
 

@@ -6,9 +6,9 @@ from fieldtally.operators import sampling as s
 from fieldtally.queries.registry import query, sql_hash
 from fieldtally.queries.tables import WITH_OBS, obs, table
 from fieldtally.session import fresh_folder
-from fieldtally.sources.text import read_lines
+from fieldtally.sources.text import read_header, read_lines
 
-_SPLIT = f"CASE WHEN {sql_hash(chr(39) + '345' + chr(39), 'event_id')} % 10000 < 8000 THEN 'train' ELSE 'validation' END"
+_SPLIT = f"CASE WHEN {sql_hash(chr(39) + '345' + chr(39), 'event_id')} < 3435973837 THEN 'train' ELSE 'validation' END"
 
 
 @query(
@@ -28,44 +28,44 @@ _LINE = "concat_ws(',', CAST(event_id AS VARCHAR), primary_flag, target_raw)"
 
 
 def _headed(spark, d):
-    """Lines of three files that each start with a header row."""
+    """(path, lines) of three files that each start with a header row."""
     path = fresh_folder(spark, "headed")
     rows = obs(spark, d).select("event_id", "primary_flag", "target_raw")
     rows.repartition(3, "event_id").write.csv(path, header=True)
-    return read_lines(spark, path)
+    return path, read_lines(spark, path)
 
 
 @query("f3_filter_header", f"{WITH_OBS} SELECT CAST(event_id AS VARCHAR) AS id, primary_flag FROM obs")
 def filter_header(spark, d):
     cells = F.split("value", ",")
-    rows = _headed(spark, d).select(F.get(cells, F.lit(0)).alias("id"), F.get(cells, F.lit(1)).alias("primary_flag"))
+    rows = _headed(spark, d)[1].select(F.get(cells, F.lit(0)).alias("id"), F.get(cells, F.lit(1)).alias("primary_flag"))
     return s.filter_header(rows, "primary_flag", "primary_flag")
 
 
 @query("f4_subtract_header", f"{WITH_OBS} SELECT {_LINE} AS value FROM obs")
 def subtract_header(spark, d):
-    lines = _headed(spark, d)
-    return s.subtract_lines(lines, lines.filter(F.col("value").startswith("event_id,")).limit(1))
+    path, lines = _headed(spark, d)
+    return s.subtract_lines(lines, spark.createDataFrame([(read_header(spark, path),)], "value string"))
 
 
 def _keep_sql(salt, seen, zero, missing, other):
-    draw = f"{sql_hash(repr(salt), 'event_id')} % 10000"
+    draw = sql_hash(repr(salt), "event_id")
     return f"""{WITH_OBS} SELECT event_id, target_raw FROM obs WHERE CASE WHEN target_raw IN ('x', 'X') THEN {draw} < {seen}
         WHEN target_raw = '0' THEN {draw} < {zero} WHEN target_raw = '?' THEN {draw} < {missing} ELSE {draw} < {other} END"""
 
 
-@query("f5_class_balance", _keep_sql("balance", 10000, 5000, 5000, 10000))
+@query("f5_class_balance", _keep_sql("balance", 4294967296, 2147483648, 2147483648, 4294967296))
 def class_balance(spark, d):
     return s.class_balance(obs(spark, d), "target_raw", "event_id").select("event_id", "target_raw")
 
 
-@query("f5_class_balance_two_thirds", _keep_sql("balance", 10000, 6667, 5000, 10000))
+@query("f5_class_balance_two_thirds", _keep_sql("balance", 4294967296, 2863311531, 2147483648, 4294967296))
 def class_balance_two_thirds(spark, d):
     kept = s.class_balance(obs(spark, d), "target_raw", "event_id", s.BALANCE_TWO_THIRDS)
     return kept.select("event_id", "target_raw")
 
 
-@query("f6_target_sample", _keep_sql("corr", 5000, 3333, 3333, 0))
+@query("f6_target_sample", _keep_sql("corr", 2147483648, 1431655765, 1431655765, 0))
 def target_sample(spark, d):
     return s.target_sample(obs(spark, d), "target_raw", "event_id").select("event_id", "target_raw")
 
@@ -76,12 +76,12 @@ def random_split(spark, d):
     return parts.select("event_id", "split")
 
 
-_NINE = f"{sql_hash(chr(39) + '17' + chr(39), 'l_orderkey')} % 10000"
+_NINE = sql_hash("'17'", "l_orderkey")
 
 
 @query(
     "f7_random_split_sizes",
-    f"""SELECT CASE WHEN {_NINE} < 9000 THEN 'rest' ELSE 'sample' END AS part, count(*) AS rows,
+    f"""SELECT CASE WHEN {_NINE} < 3865470566 THEN 'rest' ELSE 'sample' END AS part, count(*) AS rows,
         count(DISTINCT l_orderkey) AS orders FROM lineitem GROUP BY part""",
 )
 def random_split_sizes(spark, d):
@@ -92,10 +92,25 @@ def random_split_sizes(spark, d):
     )
 
 
+_LINE_KEY = "concat(CAST(l_orderkey AS VARCHAR), '-', CAST(l_linenumber AS VARCHAR))"
+
+
+@query(
+    "f7_random_split_rare",
+    f"""SELECT CASE WHEN {sql_hash("'5'", _LINE_KEY)} < 343597 THEN 'rare' ELSE 'rest' END AS part, count(*) AS rows,
+        CAST(sum(l_orderkey) AS BIGINT) AS orders FROM lineitem GROUP BY part""",
+)
+def random_split_rare(spark, d):
+    """A part of less than one row in 10,000."""
+    rows = table(spark, d, "lineitem").withColumn("line", F.concat_ws("-", "l_orderkey", "l_linenumber"))
+    parts = s.random_split(rows, "line", {"rare": 0.00008, "rest": 0.99992}, 5, "part")
+    return parts.groupBy("part").agg(F.count(F.lit(1)).alias("rows"), F.sum("l_orderkey").alias("orders"))
+
+
 @query(
     "f8_nested_sample",
-    f"""SELECT event_id FROM events WHERE {sql_hash("'17'", 'event_id')} % 10000 >= 8000
-        AND {sql_hash("'17b'", 'event_id')} % 10000 >= 9000""",
+    f"""SELECT event_id FROM events WHERE {sql_hash("'17'", 'event_id')} >= 3435973837
+        AND {sql_hash("'17b'", 'event_id')} >= 3865470566""",
 )
 def nested_sample(spark, d):
     sample = s.nested_sample(

@@ -21,7 +21,7 @@ def test_draws_do_not_depend_on_partitioning(spark, sf):
 
 def test_split_size(spark, sf_centi):
     parts = s.random_split(table(spark, sf_centi, "events"), "event_id", {"train": 0.8, "validation": 0.2}, 345)
-    assert dict(parts.groupBy("split").count().collect()) == {"train": 7985, "validation": 2015}
+    assert dict(parts.groupBy("split").count().collect()) == {"train": 7911, "validation": 2089}
 
 
 def test_splits_are_disjoint_and_whole(spark, sf):
@@ -53,3 +53,23 @@ def test_filter_checklist(spark):
 
 def test_replicate(spark):
     assert s.replicate(spark.range(3), 4).groupBy("model").count().count() == 4
+
+
+def test_small_weights_are_not_rounded_away(spark):
+    keys = spark.range(300_000)
+    parts = s.random_split(keys, "id", {"small": 0.00004, "rest": 0.99996}, 3)
+    small = parts.filter("split = 'small'").count()
+    assert 2 <= small <= 30
+
+
+def test_case_of_the_seen_mark(spark):
+    rows = spark.createDataFrame([(i, c) for i, c in enumerate(["x", "X", "0"] * 200)], "id int, cell string")
+    rates = s.Rates(seen=1.0, zero=0.0, missing=0.0, other=0.0)
+    assert {r.cell for r in s.class_balance(rows, "cell", "id", rates).collect()} == {"x", "X"}
+    assert {r.cell for r in s.class_balance(rows, "cell", "id", rates, case_sensitive=True).collect()} == {"x"}
+    assert {r.cell for r in s.target_sample(rows, "cell", "id", rates, case_sensitive=True).collect()} == {"x"}
+
+
+def test_header_filter_keeps_null_cells(spark):
+    rows = spark.createDataFrame([("name",), (None,), ("a",)], "cell string")
+    assert [r.cell for r in s.filter_header(rows, "cell", "name").collect()] == [None, "a"]
