@@ -4,13 +4,12 @@ from __future__ import annotations
 
 import math
 
-from pyspark.ml import PipelineModel
 from pyspark.ml.classification import DecisionTreeClassifier
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fieldtally.operators.vote import Vote, quiet
-from fieldtally.session import materialize
+from fieldtally.operators.stumps import Stump, Stumps, missed_weight
 
 # Rounds and learning rate.
 ROUNDS = 100
@@ -21,39 +20,36 @@ def fit_adaboost(
     train: DataFrame,
     rounds: int = ROUNDS,
     learning_rate: float = LEARNING_RATE,
-    pin_every: int = 10,
     seed: int = 42,
     history: list[dict] | None = None,
-) -> Vote:
-    """Each round: one stump fit, one aggregate, one reweighting projection.
+) -> Stumps:
+    """Each round: one stump fit and one aggregate.
 
-    A round's weights are a column expression over the stumps since the last pin; every ``pin_every`` rounds
-    the weighted frame is written to the shared folder, which bounds the plan and survives lost executors.
-    ``history`` collects error, alpha and the weight total of each round.
+    A row's weight is one expression over the stumps so far, exp of the weights of those that miss it, so nothing but the
+    training frame is kept or written. ``history`` collects error, alpha and the weight total of each round.
     """
-    stump = DecisionTreeClassifier(maxDepth=1, weightCol="_w", seed=seed)
-    frame = train.select("label", "features", F.lit(1.0).alias("_w"))
-    stumps, alphas, scale = [], [], 1.0 / max(train.count(), 1)
+    tree = DecisionTreeClassifier(maxDepth=1, weightCol="_w", seed=seed)
+    rows = train.select("label", "features").withColumn("_x", vector_to_array("features"))
+    stumps: list[Stump] = []
+    alphas: list[float] = []
+    scale = 1.0 / max(train.count(), 1)
     for t in range(rounds):
-        frame = frame.withColumn("_w", F.col("_w") * F.lit(scale))
-        if t and t % pin_every == 0:
-            frame = materialize(frame, "boost").withMetadata("label", train.schema["label"].metadata)
-        model = quiet(stump.fit(frame))
-        scored = model.transform(frame)
-        miss = F.when(F.col("prediction") != F.col("label"), F.col("_w")).otherwise(F.lit(0.0))
-        total, wrong = scored.agg(F.sum("_w"), F.sum(miss)).first()
+        weight = F.exp(missed_weight(F.col("_x"), F.col("label"), stumps, alphas)) if stumps else F.lit(1.0)
+        weighted = rows.withColumn("_w", weight * F.lit(scale))
+        frame = weighted.select(F.col("label").alias("label", metadata=train.schema["label"].metadata), "features", "_w")
+        stump = Stump.of(tree.fit(frame))
+        miss = F.when(stump.answer(F.col("_x")) != F.col("label"), F.col("_w")).otherwise(F.lit(0.0))
+        total, wrong = weighted.agg(F.sum("_w"), F.sum(miss)).first()
         error = wrong / total
         if error >= 0.5 and stumps:
             break
         alpha = 1.0 if error <= 0.0 else learning_rate * math.log((1.0 - error) / error)
         if history is not None:
             history.append({"round": t, "error": error, "alpha": alpha, "total": total})
-        stumps.append(model)
+        stumps.append(stump)
         alphas.append(alpha if alpha > 0.0 else 1.0)
         if error <= 0.0 or error >= 0.5:
             break
-        boost = F.when(F.col("prediction") != F.col("label"), F.lit(math.exp(alpha))).otherwise(F.lit(1.0))
-        frame = scored.select("label", "features", (F.col("_w") * boost).alias("_w"))
         # The next round starts from weights that sum to 1; the new total follows from this round's sums.
-        scale = 1.0 / (total + wrong * (math.exp(alpha) - 1.0))
-    return Vote([f"stump_{i}" for i in range(len(stumps))], [PipelineModel([s]) for s in stumps], alphas)
+        scale /= total + wrong * (math.exp(alpha) - 1.0)
+    return Stumps(stumps, alphas)

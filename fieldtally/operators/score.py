@@ -1,4 +1,4 @@
-"""Scoring cleaned frames with a model, a vote or any object with ``transform``."""
+"""Scoring cleaned frames with a model or a vote."""
 
 from __future__ import annotations
 
@@ -6,15 +6,20 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fieldtally.operators.vote import threshold
+from fieldtally.operators.stumps import Stumps
+from fieldtally.operators.vote import OUTPUTS, Vote, threshold
 
 
 def with_score(model, df: DataFrame) -> DataFrame:
-    """Adds ``score`` (probability of class 1 or the vote's mean) and the 0/1 ``prediction``."""
-    scored = model.transform(df)
-    if "score" not in scored.columns:
+    """Adds ``score`` (probability of class 1 or the vote's mean) and the 0/1 ``prediction``.
+
+    Input columns with the names of a model's outputs are replaced.
+    """
+    kept = [c for c in df.columns if c not in ("score", "prediction")]
+    scored = model.transform(df.drop("score", "prediction", *OUTPUTS))
+    if not isinstance(model, Vote | Stumps):
         scored = scored.withColumn("score", F.get(vector_to_array("probability"), F.lit(1)))
-    return scored.select(*df.columns, "score").withColumn("prediction", threshold(F.col("score")))
+    return scored.select(*[c for c in kept if c not in OUTPUTS], "score").withColumn("prediction", threshold(F.col("score")))
 
 
 def score_validation(model, cleaned: DataFrame, key: str, label: str = "label") -> DataFrame:

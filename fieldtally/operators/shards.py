@@ -74,7 +74,7 @@ def mean_linear_prediction(
 def fit_sharded_forest(train: DataFrame, shards: Sequence[int], shard: str = "shard", trees: int = 10, **overrides) -> Vote:
     """One forest for each shard of a cached frame; each fit is distributed over the shard's rows."""
     members = [
-        fit(random_forest(**{"numTrees": trees, "maxDepth": 5, **overrides}), train.filter(F.col(shard) == s))
+        fit(random_forest(**{"numTrees": trees, "maxDepth": 30, **overrides}), train.filter(F.col(shard) == s))
         for s in shards
     ]
     return Vote([f"shard_{s}" for s in shards], members)

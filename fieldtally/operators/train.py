@@ -4,17 +4,19 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.ml import Estimator, PipelineModel
+from pyspark.ml import Estimator, Pipeline, PipelineModel
 from pyspark.ml.classification import (
     GBTClassifier,
     LogisticRegression,
     MultilayerPerceptronClassifier,
     RandomForestClassifier,
 )
+from pyspark.ml.feature import StandardScaler
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fieldtally.operators.boost import fit_adaboost
+from fieldtally.operators.stumps import Stumps
 from fieldtally.operators.vote import Vote
 
 # Training parameters.
@@ -57,7 +59,7 @@ def gradient_boosted(**overrides) -> GBTClassifier:
 
 
 def perceptron(width: int, **overrides) -> MultilayerPerceptronClassifier:
-    params = dict(layers=[width, *HIDDEN_LAYERS, 2], solver="gd", maxIter=200, seed=42)
+    params = dict(layers=[width, *HIDDEN_LAYERS, 2], solver="l-bfgs", maxIter=200, seed=42)
     return MultilayerPerceptronClassifier(**{**params, **overrides})
 
 
@@ -80,10 +82,13 @@ def _weak_l2(train: DataFrame, overrides: dict) -> PipelineModel:
 
 
 def _mlp(train: DataFrame, overrides: dict) -> PipelineModel:
-    return fit(perceptron(train.schema["features"].metadata["ml_attr"]["num_attrs"], **overrides), train)
+    """Scaled to unit deviation first: positions and counts differ by orders of magnitude."""
+    width = train.schema["features"].metadata["ml_attr"]["num_attrs"]
+    scaler = StandardScaler(withMean=True, withStd=True, inputCol="features", outputCol="scaled")
+    return Pipeline(stages=[scaler, perceptron(width, featuresCol="scaled", **overrides)]).fit(train)
 
 
-KINDS: dict[str, Callable[[DataFrame, dict], PipelineModel | Vote]] = {
+KINDS: dict[str, Callable[[DataFrame, dict], PipelineModel | Vote | Stumps]] = {
     "logistic_l1": lambda train, o: fit(logistic_l1(**o), train),
     "random_forest": lambda train, o: fit(random_forest(**o), train),
     "deep_forest": lambda train, o: fit(deep_forest(**o), train),
@@ -95,7 +100,7 @@ KINDS: dict[str, Callable[[DataFrame, dict], PipelineModel | Vote]] = {
 }
 
 
-def fit_kind(kind: str, train: DataFrame, **overrides) -> PipelineModel | Vote:
+def fit_kind(kind: str, train: DataFrame, **overrides) -> PipelineModel | Vote | Stumps:
     """Fit one kind on a frame with ``label`` and ``features``; ``overrides`` replace default parameters."""
     return KINDS[kind](train, overrides)
 

@@ -9,6 +9,8 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from fieldtally.operators.stumps import Stumps
+
 OUTPUTS = ("rawPrediction", "probability", "prediction")
 MANIFEST = "member string, kind string, weight double, path string"
 
@@ -36,7 +38,7 @@ class Vote:
     """Fitted members. ``transform`` is a JVM projection; members reach the tasks inside the plan."""
 
     names: list[str]
-    members: list[PipelineModel | Vote]
+    members: list[PipelineModel | Vote | Stumps]
     weights: list[float] = field(default_factory=list)
 
     def __post_init__(self):
@@ -60,12 +62,12 @@ class Vote:
     def save(self, spark: SparkSession, path: str) -> None:
         rows = []
         for i, (name, member, weight) in enumerate(zip(self.names, self.members, self.weights, strict=True)):
-            where = f"{path}/member-{i:04d}"
-            if isinstance(member, Vote):
-                member.save(spark, where)
+            where = f"member-{i:04d}"  # within the folder, which may be moved
+            if isinstance(member, Vote | Stumps):
+                member.save(spark, f"{path}/{where}")
             else:
-                member.write().overwrite().save(where)
-            rows.append((name, "vote" if isinstance(member, Vote) else "model", float(weight), where))
+                member.write().overwrite().save(f"{path}/{where}")
+            rows.append((name, KINDS.get(type(member), "model"), float(weight), where))
         spark.createDataFrame(rows, MANIFEST).coalesce(1).write.mode("overwrite").parquet(f"{path}/manifest")
 
     @classmethod
@@ -76,14 +78,10 @@ class Vote:
     def load(cls, spark: SparkSession, path: str) -> Vote:
         # One row per member.
         rows = cls.manifest(spark, path).orderBy("path").collect()
-        members = [
-            cls.load(spark, r["path"]) if r["kind"] == "vote" else PipelineModel.load(r["path"]) for r in rows
-        ]
+        places = [f"{path}/{r['path']}" for r in rows]
+        load = {"vote": lambda p: cls.load(spark, p), "stumps": lambda p: Stumps.load(spark, p), "model": PipelineModel.load}
+        members = [load[r["kind"]](p) for r, p in zip(rows, places, strict=True)]
         return cls([r["member"] for r in rows], members, [r["weight"] for r in rows])
 
 
-def quiet(model):
-    """The model without its raw and probability columns, which a vote does not read."""
-    model.setRawPredictionCol("")
-    model.setProbabilityCol("")
-    return model
+KINDS = {Vote: "vote", Stumps: "stumps"}

@@ -7,13 +7,12 @@ from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 
-LOCAL_DEFAULTS = {
+DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
-    "spark.ui.enabled": "false",
-    "spark.ui.showConsoleProgress": "false",
 }
+LOCAL_DEFAULTS = {"spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false"}
 
 
 def get_session(app: str = "fieldtally", master: str | None = None, **conf: str) -> SparkSession:
@@ -21,7 +20,8 @@ def get_session(app: str = "fieldtally", master: str | None = None, **conf: str)
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
-    for key, value in {**LOCAL_DEFAULTS, **conf}.items():
+    local = LOCAL_DEFAULTS if master and master.startswith("local") else {}
+    for key, value in {**DEFAULTS, **local, **conf}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
 

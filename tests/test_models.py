@@ -10,7 +10,7 @@ from fieldtally.operators.order import cache_input
 from fieldtally.operators.score import with_score
 from fieldtally.operators.vote import Vote
 
-QUICK = {"gbt": {"maxIter": 3, "minInstancesPerNode": 5}, "adaboost": {"rounds": 3}, "mlp": {"maxIter": 3}, "weighted_forest": {"maxDepth": 6}}
+QUICK = {"gbt": {"maxIter": 3, "minInstancesPerNode": 5}, "adaboost": {"rounds": 3}, "mlp": {"maxIter": 40}, "weighted_forest": {"maxDepth": 6}}
 
 
 @pytest.fixture(scope="module")
@@ -32,8 +32,7 @@ def test_kinds_learn(spark, planted, kind):
     model = train.fit_kind(kind, planted, **QUICK.get(kind, {}))
     base = planted.agg(F.avg("label")).first()[0]
     got = accuracy(model, planted)
-    # Three steps of gradient descent only have to give an answer.
-    assert got >= (0.0 if kind == "mlp" else max(base, 1 - base) + (0.0 if kind == "logistic_l1" else 0.05))
+    assert got >= max(base, 1 - base) + (0.0 if kind == "logistic_l1" else 0.05)
 
 
 def test_defaults():
@@ -76,7 +75,7 @@ def samme(x, y, rounds, rate):
 
 def test_adaboost_weights_and_errors(planted):
     history = []
-    model = fit_adaboost(planted, rounds=5, pin_every=2, history=history)
+    model = fit_adaboost(planted, rounds=5, history=history)
     assert all(h["total"] == pytest.approx(1.0) for h in history)
     assert all(0 < h["error"] < 0.5 for h in history)
     pdf = planted.toPandas()
@@ -88,7 +87,7 @@ def test_adaboost_weights_and_errors(planted):
 def test_adaboost_stops_on_a_perfect_stump(spark):
     rows = spark.range(40).select((F.col("id") >= 20).cast("double").alias("label", metadata=LABEL_META), F.array(F.col("id").cast("double")).alias("v"))
     model = fit_adaboost(sparse_vector(rows, "v", 1), rounds=10)
-    assert len(model.members) == 1 and accuracy(model, sparse_vector(rows, "v", 1)) == 1.0
+    assert len(model.stumps) == 1 and accuracy(model, sparse_vector(rows, "v", 1)) == 1.0
 
 
 def test_vote_saves_and_loads(spark, planted, tmp_path):
@@ -100,7 +99,7 @@ def test_vote_saves_and_loads(spark, planted, tmp_path):
     b = {r.id: r.score for r in loaded.transform(planted).collect()}
     assert a == b
     kinds = [r.kind for r in Vote.manifest(spark, str(tmp_path / "vote")).orderBy("path").collect()]
-    assert kinds == ["model", "vote"]
+    assert kinds == ["model", "stumps"]
 
 
 def test_vote_arithmetic(spark):
@@ -149,3 +148,27 @@ def test_sharded_forest(spark, planted):
     sharded = planted.withColumn("shard", shards.shard_of(F.col("id"), 2))
     model = shards.fit_sharded_forest(sharded, [0, 1], trees=5)
     assert len(model.members) == 2 and accuracy(model, planted) > 0.8
+
+
+def test_an_input_column_called_score_is_not_the_score(planted):
+    model = train.fit_kind("logistic_l1", planted)
+    plain = {r.id: r.score for r in with_score(model, planted).collect()}
+    odd = planted.withColumns({"score": F.lit(7.0), "prediction": F.lit(7.0), "probability": F.lit("p")})
+    assert {r.id: r.score for r in with_score(model, odd).collect()} == plain
+
+
+def test_an_ensemble_can_be_moved(spark, planted, tmp_path):
+    import shutil
+
+    model = train.fit_ensemble(planted, ("logistic_l1", "adaboost"), QUICK)
+    model.save(spark, str(tmp_path / "here"))
+    shutil.copytree(tmp_path / "here", tmp_path / "there")
+    assert "here" not in "".join(r.path for r in Vote.manifest(spark, str(tmp_path / "there")).collect())
+    scores = [{r.id: r.score for r in m.transform(planted).collect()} for m in (model, Vote.load(spark, str(tmp_path / "there")))]
+    assert scores[0] == scores[1]
+
+
+def test_perceptron_learns(planted):
+    from fieldtally.operators.evaluate import auc_roc
+
+    assert auc_roc(with_score(train.fit_kind("mlp", planted, maxIter=40), planted)) > 0.9
