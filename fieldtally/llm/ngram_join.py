@@ -6,8 +6,10 @@ Texts with equal shingle sets are one node. Two nodes link if ``percent`` % of t
    twice or more, and the frequent ones, set bits in two filters of ``filter_bits`` bits, which go to all tasks: their size is
    fixed. They only order shingles, the rarest first, and tell some that surely come once; a wrong bit costs time, never a link.
 2. A node with n shingles shares T = ceil(n * percent / 100) at least with any partner, so one of its n - T + 1 rarest. If so
-   many come once, it links with nothing and is done. The others post their rarest repeated shingles: the short lists.
-   Nodes that meet in a short list form clusters.
+   many come once, it links with nothing and is done. The others post their rarest repeated shingles: the short lists,
+   one for each class of sizes, since sets of very unlike sizes don't link. Shingles that come once are in the union of a pair
+   but not shared; a node with too many of them beside the least that a list's nodes have can link with none there. Nodes
+   that meet in a short list form clusters.
 3. Clusters are searched in groups of about ``block`` nodes. Each node is a query: the short lists of its shingles are merged
    by a heap that skips what can't reach T - L, and the L longest lists are probed by binary search for each candidate.
 4. A cluster of more than ``block`` nodes is first linked to the smallest node of each list by binary probes. Its nodes outside
@@ -264,22 +266,45 @@ def part(of: Column, parts: Column) -> Column:
 
 def node_links(near: DataFrame, percent: int, block: int) -> DataFrame:
     """Links (a, b) that join the same nodes as all links together do."""
-    posted = near.select("node", F.explode("prefix").alias("shingle"))
-    leaders = posted.groupBy("shingle").agg(F.min("node").alias("b"), F.count("*").alias("held")).filter("held > 1").select("shingle", "b")
-    met = posted.join(leaders, "shingle").filter("node <> b").select(F.col("node").alias("a"), "b").distinct()
+    once, share = F.col("n") - F.col("r"), 100 - percent
+    kind = F.floor(F.log("n") / F.log(F.lit(100 / percent)) + 1e-9).cast("int")
+    posted = (
+        near.select("node", "n", (F.octet_length("repeated") / 8).cast("int").alias("r"), F.explode("prefix").alias("shingle"), kind.alias("kind"))
+        .withColumn("kind", F.explode(F.array(F.col("kind"), F.col("kind") + 1)))
+        .withColumn("once", once)
+    )
+    least = posted.groupBy("shingle", "kind").agg(F.min("once").alias("least"), F.count("*").alias("held")).filter("held > 1").drop("held")
+    able = posted.join(least, ["shingle", "kind"]).filter(percent * (F.col("once") + F.col("least")) <= share * F.col("r")).select("shingle", "kind", "node")
+    leaders = able.groupBy("shingle", "kind").agg(F.min("node").alias("b"), F.count("*").alias("held")).filter("held > 1").drop("held")
+    met = able.join(leaders, ["shingle", "kind"]).filter("node <> b").select(F.col("node").alias("a"), "b").distinct()
     met = materialize(met, "met")
     clusters = components(met).withColumnRenamed("component", "cluster")
     sizes = clusters.groupBy("cluster").agg(F.count("*").alias("size"))
     placed = materialize(clusters.join(sizes, "cluster").select("node", "cluster", "size"), "clusters")
 
+    small = placed.filter(F.col("size") <= block)
+    packs = F.lit(max(1, -(-small.count() // block)))
+    pack = part(F.col("cluster"), packs).cast("long").alias("cluster")
+    rows = small.select("node", F.col("node").alias("label"), pack, F.lit(3).alias("role"), F.lit(-1).alias("i"), F.lit(-1).alias("q"))
     large = placed.filter(F.col("size") > block)
+    if large.isEmpty():
+        return materialize(searched(rows, near, percent), "links")
     first = materialize(probe(met.join(large.select(F.col("node").alias("a")), "a"), near, percent), "links")
-    labels = components(first).withColumnRenamed("component", "label")
-    named = large.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
-    named = materialize(named, "named")
-    largest = (
-        named.groupBy("cluster", "label").agg(F.count("*").alias("held")).groupBy("cluster").agg(F.max(F.struct("held", "label")).alias("most"), F.sum("held").alias("size"))
-    )
+    rows = rows.unionByName(blocks_of(large, components(first), block))
+    return materialize(first.unionByName(searched(rows, near, percent)), "links")
+
+
+def searched(rows: DataFrame, near: DataFrame, percent: int) -> DataFrame:
+    found = rows.join(near.select("node", "n", "repeated"), "node")
+    return found.groupBy("cluster", "i", "q").applyInArrow(search(percent), "a bigint, b bigint")
+
+
+def blocks_of(large: DataFrame, linked_so_far: DataFrame, block: int) -> DataFrame:
+    """Large clusters in blocks: all nodes as index, and those outside the largest component so far as queries."""
+    labels = linked_so_far.withColumnRenamed("component", "label")
+    named = materialize(large.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node")), "named")
+    held = named.groupBy("cluster", "label").agg(F.count("*").alias("held"))
+    largest = held.groupBy("cluster").agg(F.max(F.struct("held", "label")).alias("most"), F.sum("held").alias("size"))
     blocks = largest.select(
         "cluster",
         F.col("most.label").alias("most"),
@@ -295,12 +320,7 @@ def node_links(near: DataFrame, percent: int, block: int) -> DataFrame:
         "node", "label", "cluster", F.lit(2).alias("role"), F.explode(F.sequence(F.lit(0), F.col("index_blocks") - 1)).alias("i"),
         part(F.col("node"), F.col("query_blocks")).alias("q"),
     )
-    small = placed.filter(F.col("size") <= block)
-    packs = F.lit(max(1, -(-small.count() // block)))
-    both = small.select("node", F.col("node").alias("label"), part(F.col("cluster"), packs).cast("long").alias("cluster"), F.lit(3).alias("role"), F.lit(-1).alias("i"), F.lit(-1).alias("q"))
-    rows = index.unionByName(asked).unionByName(both).join(near.select("node", "n", "repeated"), "node")
-    found = rows.groupBy("cluster", "i", "q").applyInArrow(search(percent), "a bigint, b bigint")
-    return materialize(first.unionByName(found), "links")
+    return index.unionByName(asked)
 
 
 def ngram_join(
