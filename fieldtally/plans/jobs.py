@@ -67,9 +67,14 @@ def training_frame(raw: DataFrame, plan: RecordPlan, rates: Rates = BALANCE, str
     return plan.transform(rows)
 
 
+def spread(frame: DataFrame, key: str, partitions: int | None = None) -> DataFrame:
+    """A cleaned frame dealt by key over all cores and cached: a fit reads it many times, and its input may be a single split."""
+    return cache_input(frame.repartition(partitions or frame.sparkSession.sparkContext.defaultParallelism, key))
+
+
 def train(raw: DataFrame, plan: RecordPlan, estimator: Estimator | None = None, rates: Rates = BALANCE) -> PipelineModel:
     """Filter → balance → clean → fit. The cleaned frame is cached, the raw text is not."""
-    frame = cache_input(training_frame(raw, plan, rates))
+    frame = spread(training_frame(raw, plan, rates), plan.spec.key)
     try:
         return fit(estimator or logistic_l1(), frame)
     finally:
@@ -111,7 +116,7 @@ def train_job(spark: SparkSession, path: str, model_path: str, spec: RecordSpec
               kind: str = "logistic_l1", overrides: dict | None = None, header: str | None = None) -> None:
     """Train a model of any kind on the 80 % part of a wide file, or all of it, and save it."""
     raw, plan = open_wide(spark, path, spec, header=header)
-    frame = cache_input(training_frame(split_part(raw, plan, "train" if hold_out else "all"), plan))
+    frame = spread(training_frame(split_part(raw, plan, "train" if hold_out else "all"), plan), plan.spec.key)
     try:
         save_model(spark, fit_kind(kind, frame, **(overrides or {})), plan, model_path)
     finally:
@@ -121,7 +126,7 @@ def train_job(spark: SparkSession, path: str, model_path: str, spec: RecordSpec
 def ensemble_job(spark: SparkSession, path: str, model_path: str, kinds: tuple[str, ...] = ENSEMBLE[:ENSEMBLE_SIZE],
                  overrides: dict[str, dict] | None = None, hold_out: bool = False, header: str | None = None) -> None:
     raw, plan = open_wide(spark, path, header=header)
-    frame = cache_input(training_frame(split_part(raw, plan, "train" if hold_out else "all"), plan))
+    frame = spread(training_frame(split_part(raw, plan, "train" if hold_out else "all"), plan), plan.spec.key)
     try:
         save_model(spark, fit_ensemble(frame, kinds, overrides), plan, model_path)
     finally:
@@ -197,9 +202,7 @@ def combined_job(spark: SparkSession, path: str, validation_path: str, model_pat
     parts = random_split(raw, plan.key(), SPLIT, SPLIT_SEED)
     held = parts.filter(F.col("split") == "validation")
     write_lines(held.select(F.concat_ws(",", "cells").alias("value")), validation_path)
-    frame = cache_input(
-        training_frame(parts.filter(F.col("split") == "train"), plan, BALANCE_TWO_THIRDS, strict=True)
-    )
+    frame = spread(training_frame(parts.filter(F.col("split") == "train"), plan, BALANCE_TWO_THIRDS, strict=True), plan.spec.key)
     try:
         model = fit(deep_forest(), frame)
     finally:

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from fieldtally.operators import shards, train, vote
 from fieldtally.operators.boost import fit_adaboost
-from fieldtally.operators.engineer import sparse_vector
+from fieldtally.operators.engineer import LABEL_META, sparse_vector
 from fieldtally.operators.evaluate import auc_roc, confusion_accuracy
 from fieldtally.operators.order import cache_input, zip_index
 from fieldtally.operators.sampling import class_balance, random_split
@@ -24,7 +24,7 @@ def frames(spark, d):
     plan = checklist_plan()
     parts = random_split(checklist(spark, d), plan.key(), jobs.SPLIT, jobs.SPLIT_SEED)
     rows = class_balance(plan.select_rows(parts.filter("split = 'train'")), plan.target(), plan.key())
-    return plan, cache_input(plan.transform(rows)), plan.transform(parts.filter("split = 'validation'"))
+    return plan, jobs.spread(plan.transform(rows), plan.spec.key), plan.transform(parts.filter("split = 'validation'"))
 
 
 def report(spark, model, plan, validation, kind):
@@ -64,6 +64,41 @@ for _id, _kind in {
     query(_id)(lambda spark, d, kind=_kind: _fit_and_report(spark, d, kind))
 
 
+_RULE_SQL = """SELECT cat, CAST(CASE WHEN cat IN (1, 2) THEN 1 ELSE 0 END AS INT) AS prediction, count(*) AS rows
+    FROM (SELECT CAST((l_orderkey % 2) * 2 + l_linenumber % 2 AS INT) AS cat FROM lineitem) AS c GROUP BY cat"""
+
+
+def _fit_the_rule(spark, d, kind):
+    """All order lines, labelled by a fixed rule of a category, which the fitted model has to give back for each row."""
+    cat = ((F.col("l_orderkey") % 2) * 2 + F.col("l_linenumber") % 2).cast("int")
+    flags = F.array(*[(F.col("cat") == k).cast("double") for k in range(4)])
+    rows = table(spark, d, "lineitem").select(cat.alias("cat"), (F.col("l_orderkey") % 3).alias("shard"))
+    rows = rows.select("cat", "shard", F.col("cat").isin(1, 2).cast("double").alias("label", metadata=LABEL_META), flags.alias("flags"))
+    training = jobs.spread(sparse_vector(rows, "flags", 4).drop("flags"), "shard")
+    try:
+        if kind == "sharded_forest":
+            model = shards.fit_sharded_forest(training, [0, 1, 2])
+        else:
+            model = train.fit_kind(kind, training)
+        result = with_score(model, training).groupBy("cat", "prediction").agg(F.count(F.lit(1)).alias("rows")).collect()  # a few categories
+    finally:
+        training.unpersist()
+    return spark.createDataFrame(result, "cat int, prediction int, rows long")
+
+
+for _id, _kind in {
+    "m1_rule_logistic_l1": "logistic_l1",
+    "m2_rule_random_forest": "random_forest",
+    "m2_rule_deep_forest": "deep_forest",
+    "m3_rule_weak_l2": "weak_l2",
+    "m4_rule_weighted_forest": "weighted_forest",
+    "m5_rule_gbt": "gbt",
+    "m7_rule_mlp": "mlp",
+    "m10_rule_sharded_forest": "sharded_forest",
+}.items():
+    query(_id, _RULE_SQL)(lambda spark, d, kind=_kind: _fit_the_rule(spark, d, kind))
+
+
 @query("m6_adaboost_rounds")
 def adaboost_rounds(spark, d):
     """Error, alpha and weight total of each boosting round."""
@@ -268,8 +303,8 @@ def ensemble_mean_forest(spark, d):
 
 @query("p6_broadcast_coefficients", f"{WITH_SHARDS} SELECT event_id, {sql_r6('intercept + b0 * lat + b1 * lon + b2 * month')} AS prediction FROM obs JOIN fitted ON event_id % 4 = shard")
 def broadcast_coefficients(spark, d):
-    """Each row under its own shard's model: the shard table is one row per shard, and so broadcast."""
+    """Each row under its own shard's model; the shard table is small, and adaptive execution sees that."""
     rows = obs(spark, d).withColumn("shard", F.col("event_id") % 4)
-    joined = rows.join(F.broadcast(_fitted(spark, d)), "shard")
+    joined = rows.join(_fitted(spark, d), "shard")
     total = F.col("intercept") + F.col("b0") * F.col("lat") + F.col("b1") * F.col("lon") + F.col("b2") * F.col("month")
     return joined.select("event_id", r6(total).alias("prediction"))

@@ -49,6 +49,21 @@ def category_sizes(spark, d):
     return p.category_sizes(table(spark, d, "lineitem"), ["l_orderkey", "l_partkey", "l_returnflag", "l_shipdate"])
 
 
+@query(
+    "a2_category_sizes_close",
+    " UNION ALL ".join(f"SELECT '{c}' AS name, count(DISTINCT {c}) AS exact, true AS close FROM lineitem" for c in ("l_partkey", "l_returnflag", "l_shipdate")),
+)
+def category_sizes_close(spark, d):
+    """The approximate counts are within three deviations of the exact ones."""
+    columns = ["l_partkey", "l_returnflag", "l_shipdate"]
+    rows = table(spark, d, "lineitem")
+    exact = rows.agg(*[F.count_distinct(c).alias(c) for c in columns]).select(
+        F.inline(F.array(*[F.struct(F.lit(c).alias("name"), F.col(c).alias("exact")) for c in columns]))
+    )
+    close = F.abs(F.col("values") - F.col("exact")) <= 3 * 0.05 * F.col("exact")
+    return p.category_sizes(rows, columns).join(exact, "name").select("name", "exact", close.alias("close"))
+
+
 def _matrix_sql(columns, source):
     """All (i, j) by name; null where a side is constant."""
     cells = " UNION ALL ".join(
