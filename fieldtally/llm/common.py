@@ -9,6 +9,8 @@ from fieldtally.session import materialize
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A table of whole texts, for queries and the pipeline."""
+    small_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -22,9 +24,14 @@ def id_and_text(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
     return docs.select(F.col(doc_id).cast("long").alias("doc_id"), whole_text(text).alias("text"))
 
 
+def small_batches(spark: SparkSession, rows: int = 1000) -> None:
+    """Arrow batches of so many rows in this session: whole texts are long, and a task holds some batches at a time."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", rows)
+
+
 def let(value: Column, body) -> Column:
     """``body(value)`` with ``value`` evaluated once, also inside of lambdas."""
     return F.transform(F.array(value), body)[0]
 
 
-__all__ = ["id_and_text", "let", "materialize", "table", "whole_text"]
+__all__ = ["id_and_text", "let", "materialize", "small_batches", "table", "whole_text"]

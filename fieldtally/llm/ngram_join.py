@@ -45,6 +45,7 @@ FILTER_BITS = 1 << 27
 FREQUENT = 16
 BLOCK = 512
 PROBE_COST = 0.05
+BROADCAST_ROWS = 150_000
 _NODE = "doc_id bigint, row bigint, node bigint, n int"
 
 
@@ -295,7 +296,9 @@ def node_links(near: DataFrame, percent: int, block: int) -> DataFrame:
 
 
 def searched(rows: DataFrame, near: DataFrame, percent: int) -> DataFrame:
-    found = rows.join(near.select("node", "n", "repeated"), "node")
+    if rows.count() < BROADCAST_ROWS:  # some ten MB at most; beyond, both sides are dealt by node
+        rows = F.broadcast(rows)
+    found = near.select("node", "n", "repeated").join(rows, "node")
     return found.groupBy("cluster", "i", "q").applyInArrow(search(percent), "a bigint, b bigint")
 
 

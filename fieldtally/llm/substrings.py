@@ -29,10 +29,11 @@ from pyspark.sql import functions as F
 from .common import id_and_text, materialize
 from .decontaminate import stretch
 from .line_dedup import BLOCK_BITS, unpacked
-from .ngram_join import FILTER_BITS, repeated_filters
+from .ngram_join import repeated_filters
 from .words import mix, runs, slices, words
 
 SIZE, MIN_WORDS, SIMILARITY = 5, 50, 0.8
+FILTER_BITS = 1 << 27
 HASHES, NEED = 4, 2
 DRIFT = 8  # words by which the parts of a passage may be shifted
 _SEEDS = mix(np.arange(1, HASHES + 1, dtype=np.uint64))
