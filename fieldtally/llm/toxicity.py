@@ -1,14 +1,15 @@
-"""Toxicity by votes of the nearest labelled examples, found exactly by TF-IDF cosine in a block-max inverted index.
+"""Toxicity by votes of the nearest labelled examples, found exactly by TF-IDF cosine in an inverted index.
 
-Terms are words and their first 4, 5 and 6 bytes, hashed. The ``max_terms`` terms that set toxic from other examples apart
-span the space; what a text holds of them, with log counts times inverse document frequency over all documents, is its
-vector, of length one. The examples are the ``max_examples`` labelled rows whose hashed identifiers come first: a bounded
-sample, so the index is of bounded size and goes to every task.
+Terms are words and their first 4, 5 and 6 bytes, hashed. All terms of the examples span the space; what a text holds of them,
+with log counts times inverse document frequency over all documents, is its vector, of length one. Both sides of a cosine weigh
+each term by its relevance frequency log2(2 + toxic examples / other examples that hold it), which is 1 or more: a term that
+tells little counts as it does in plain TF-IDF, and none is left out. The examples are the ``max_examples`` labelled rows whose
+hashed identifiers come first: a bounded sample, so the index is of bounded size and goes to every task.
 
-The index has a posting list for each term, in blocks of ``BLOCK`` neighbouring examples, and the largest weight of each block.
-A query adds these maxima up for each block, opens the blocks in the order of their bounds, and stops at the first whose
-bound is below the k-th best cosine so far: the result is the same as that of a comparison with every example. Ties go to
-the smaller example.
+The index has a posting list for each term; those of the ``HEAD`` terms that most examples hold are columns of a dense table.
+Cosines of a text with all examples are added up in single precision, by a matrix product over the table and by the other
+lists. Those that the error bound ``MARGIN`` leaves among the k best are computed again in double precision: the result is
+the same as that of a comparison with every example. Ties go to the smaller example.
 
 Neighbours vote with weight 1 / (DISTANCE + 1 - cosine), and ``PRIOR`` votes at the base rate keep scores of few or far
 neighbours near it. A text that holds no term has no neighbour; it gets the rate of such examples. The neighbours are the
@@ -21,9 +22,11 @@ score is 0. Rows with equal identifiers are scored one by one. An empty table gi
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass, field
-from functools import lru_cache
+from functools import cached_property
+from hashlib import blake2b
+from zlib import compress, decompress
 
 import numpy as np
 import pyarrow as pa
@@ -34,15 +37,14 @@ from .common import id_and_text, materialize
 from .words import prefixes, slices, words
 
 SIZES = (4, 5, 6)
-BLOCK = 1024
+HEAD = 1024
+MARGIN = (HEAD + 64) * 2.0**-24  # relative error of a cosine in single precision; no weight is negative
+TOGETHER = 64  # texts in a matrix product
 REMEMBERED = 20_000  # results of equal vectors that a task keeps
 NEIGHBOURS = 25
 DISTANCE = 0.1
 PRIOR = 1.0
 MAX_EXAMPLES = 8192
-MAX_TERMS = 2048
-LEAST_TOXIC = 4
-LEAST_SCORE = 4.0
 
 
 def learnable(doc_id: Column) -> Column:
@@ -61,27 +63,33 @@ def text_terms(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts])
 
 
+def text_counts(column: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Distinct term hashes of each text, sorted, and how often it holds them."""
+    hashes, texts = text_terms(column)
+    order = np.argsort(texts, kind="stable")
+    hashes, cuts = hashes[order], np.searchsorted(texts[order], np.arange(len(column) + 1))
+    for a, b in zip(cuts[:-1], cuts[1:], strict=True):
+        yield np.unique(hashes[a:b], return_counts=True)
+
+
 class Vocabulary:
-    """Sorted term hashes; most others are told by one look into a small table."""
+    """Sorted term hashes; most others are told by one look into a table."""
 
     def __init__(self, terms: np.ndarray):
-        self.terms = np.sort(terms)
-        self.table = np.zeros(1 << 16, dtype=bool)
-        self.table[self.terms & np.uint64(0xFFFF)] = True
+        self.terms = np.unique(terms)
+        self.bits = max(1, len(self.terms)).bit_length() + 3
+        self.table = np.zeros(1 << self.bits, dtype=bool)
+        self.table[(self.terms >> np.uint64(64 - self.bits)).astype(np.int64)] = True
 
     def counts(self, column: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """Terms (by number) that each text holds, and how often."""
-        hashes, texts = text_terms(column)
-        likely = np.flatnonzero(self.table[hashes & np.uint64(0xFFFF)])
-        hashes, texts = hashes[likely], texts[likely]
-        at = np.searchsorted(self.terms, hashes)
-        held = at < len(self.terms)
-        held[held] = self.terms[at[held]] == hashes[held]
-        n = max(1, len(self.terms))
-        pairs, counts = np.unique(texts[held] * n + at[held], return_counts=True)
-        cuts = np.searchsorted(pairs, np.arange(len(column) + 1) * n)
-        for a, b in zip(cuts[:-1], cuts[1:], strict=True):
-            yield pairs[a:b] % n, counts[a:b]
+        for hashes, counts in text_counts(column):
+            likely = np.flatnonzero(self.table[(hashes >> np.uint64(64 - self.bits)).astype(np.int64)])
+            hashes, counts = hashes[likely], counts[likely]
+            at = np.searchsorted(self.terms, hashes)
+            held = at < len(self.terms)
+            held[held] = self.terms[at[held]] == hashes[held]
+            yield at[held], counts[held]
 
 
 def unit(terms: np.ndarray, counts: np.ndarray, idf: np.ndarray) -> np.ndarray:
@@ -90,116 +98,134 @@ def unit(terms: np.ndarray, counts: np.ndarray, idf: np.ndarray) -> np.ndarray:
     return weights / length if length > 0 else weights
 
 
+def relevance(rows: list[tuple[np.ndarray, np.ndarray]], labels: list[int], size: int) -> np.ndarray:
+    """Weight of each term by the toxic and the other rows that hold it, 1 or more."""
+    held = [np.bincount(np.concatenate([np.zeros(0, dtype=np.int64), *(t for (t, _), y in zip(rows, labels, strict=True) if (y > 0) == toxic)]), minlength=size) for toxic in (True, False)]
+    return np.log2(2 + held[0] / np.maximum(1, held[1]))
+
+
+def spread(begins: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """The places of all ranges, one range after the other."""
+    sizes = ends - begins
+    return np.repeat(begins - np.concatenate(([0], np.cumsum(sizes)[:-1])), sizes) + np.arange(sizes.sum())
+
+
 @dataclass
 class Index:
-    """Posting lists in blocks, and the largest weight of each block."""
+    """Vectors of the examples that hold a term: by example, by term, and the head terms as a dense table."""
 
     ids: np.ndarray
     labels: np.ndarray
     idf: np.ndarray
     base_rate: float
     empty_rate: float
-    pointers: np.ndarray = field(repr=False)  # the postings of term t in block b are pointers[t * blocks + b : ... + 1]
-    examples: np.ndarray = field(repr=False)
+    bounds: np.ndarray = field(repr=False)  # example i has the terms bounds[i]:bounds[i + 1]
+    terms: np.ndarray = field(repr=False)
     weights: np.ndarray = field(repr=False)
-    maxima: np.ndarray = field(repr=False)
+    pointers: np.ndarray = field(repr=False)  # term t has the postings pointers[t]:pointers[t + 1], none if it is in the head
+    examples: np.ndarray = field(repr=False)
+    posted: np.ndarray = field(repr=False)
+    column: np.ndarray = field(repr=False)  # of a term in the head, else -1
+    head: np.ndarray = field(repr=False)
+    query: np.ndarray = field(repr=False)  # zeros, but while a query is compared
 
     @classmethod
-    def build(cls, ids: list[int], labels: list[int], rows: list[tuple[np.ndarray, np.ndarray]], idf: np.ndarray) -> Index:
-        held = [i for i, (terms, _) in enumerate(rows) if len(terms)]
+    def build(cls, ids: Sequence[int], labels: Sequence[int], rows: list[tuple[np.ndarray, np.ndarray]], idf: np.ndarray) -> Index:
         labels_of = np.array(labels, dtype=float)
         base = float((labels_of.sum() + 0.0) / max(1, len(labels_of)))
         without = np.array([len(terms) == 0 for terms, _ in rows], dtype=bool)
         empty = float((labels_of[without].sum() + PRIOR * base) / (without.sum() + PRIOR)) if len(rows) else 0.0
-        blocks = -(-len(held) // BLOCK)
-        terms = np.concatenate([rows[i][0] for i in held]) if held else np.zeros(0, dtype=np.int64)
-        weights = np.concatenate([unit(*rows[i], idf) for i in held]) if held else np.zeros(0)
-        examples = np.repeat(np.arange(len(held)), [len(rows[i][0]) for i in held])
-        order = np.lexsort((examples, terms))
-        terms, weights, examples = terms[order], weights[order], examples[order]
-        cells = terms * max(1, blocks) + examples // BLOCK
-        pointers = np.searchsorted(cells, np.arange(len(idf) * max(1, blocks) + 1))
-        maxima = np.zeros(len(idf) * max(1, blocks))
-        np.maximum.at(maxima, cells, weights)
+        held = [i for i, (terms, _) in enumerate(rows) if len(terms)]
         chosen = np.array(held, dtype=np.int64)
+        bounds = np.concatenate(([0], np.cumsum([len(rows[i][0]) for i in held]))).astype(np.int64)
+        terms = np.concatenate([rows[i][0] for i in held]).astype(np.int32) if held else np.zeros(0, dtype=np.int32)
+        weights = np.concatenate([unit(*rows[i], idf) for i in held]) if held else np.zeros(0)
+        examples = np.repeat(np.arange(len(held), dtype=np.int32), np.diff(bounds))
+        often = np.bincount(terms, minlength=len(idf))
+        top = np.argsort(-often, kind="stable")[:HEAD]
+        column = np.full(len(idf), -1, dtype=np.int32)
+        column[top] = np.arange(len(top))
+        head = np.zeros((len(top), len(held)), dtype=np.float32)
+        dense = column[terms] >= 0
+        head[column[terms[dense]], examples[dense]] = weights[dense]
+        rest = np.flatnonzero(~dense)
+        rest = rest[np.argsort(terms[rest], kind="stable")]
+        pointers = np.searchsorted(terms[rest], np.arange(len(idf) + 1))
         return cls(
             np.array(ids, dtype=np.int64)[chosen] if held else np.zeros(0, dtype=np.int64),
             labels_of[chosen] if held else np.zeros(0),
-            idf, base, empty, pointers, examples, weights, maxima.reshape(len(idf), max(1, blocks)),
+            idf, base, empty, bounds, terms, weights, pointers, examples[rest], weights[rest].astype(np.float32), column, head, np.zeros(len(idf)),
         )
 
-    def nearest(self, terms: np.ndarray, query: np.ndarray, k: int = NEIGHBOURS) -> tuple[np.ndarray, np.ndarray]:
+    def sums(self, queries: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
+        """Cosines of each query with all examples, in single precision."""
+        table = np.zeros((len(queries), len(self.head)), dtype=np.float32)
+        for i, (terms, query) in enumerate(queries):
+            dense = self.column[terms] >= 0
+            table[i, self.column[terms[dense]]] = query[dense]
+        sums = table @ self.head
+        for i, (terms, query) in enumerate(queries):
+            begins, ends = self.pointers[terms], self.pointers[terms + 1]
+            at = spread(begins, ends)
+            sums[i] += np.bincount(self.examples[at], np.repeat(query, ends - begins) * self.posted[at], minlength=len(self.ids))
+        return sums
+
+    def nearest(self, terms: np.ndarray, query: np.ndarray, k: int = NEIGHBOURS, sums: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
         """The k examples of the largest cosine above 0, and the cosines; ties go to the first example."""
-        best, cosines = np.zeros(0, dtype=np.int64), np.zeros(0)
         if not len(terms) or not len(self.ids):
-            return best, cosines
-        blocks = self.maxima.shape[1]
-        bounds = query @ self.maxima[terms]
-        for block in np.argsort(-bounds, kind="stable"):
-            if bounds[block] <= 0 or len(best) == k and bounds[block] < cosines[-1] - 1e-9:
-                break
-            sums = np.zeros(BLOCK)
-            for t, q in zip(terms, query, strict=True):
-                a, b = self.pointers[t * blocks + block], self.pointers[t * blocks + block + 1]
-                sums[self.examples[a:b] - block * BLOCK] += q * self.weights[a:b]
-            sums = np.round(sums, 12)
-            floor = max(cosines[-1] if len(best) == k else 0.0, np.partition(sums, -k)[-k])
-            here = np.flatnonzero((sums >= floor) & (sums > 0))
-            if not len(here):
-                continue
-            best = np.concatenate((best, here + block * BLOCK))
-            cosines = np.concatenate((cosines, sums[here]))
-            order = np.lexsort((best, -cosines))[:k]
-            best, cosines = best[order], cosines[order]
-        return best, cosines
-
-    def score(self, terms: np.ndarray, counts: np.ndarray) -> tuple[float, list[int]]:
-        if not len(terms):
-            return self.empty_rate, []
-        found, cosines = self.nearest(terms, unit(terms, counts, self.idf))
-        votes = 1 / (DISTANCE + np.maximum(0, 1 - cosines))
-        value = (np.sum(votes * self.labels[found]) + PRIOR * self.base_rate) / (np.sum(votes) + PRIOR)
-        return float(value), self.ids[found].tolist()
-
-
-def telling_terms(examples: DataFrame, max_terms: int) -> np.ndarray:
-    """Hashes of the terms whose log odds between the labels are largest against their error."""
-
-    def held(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in slices(batch, "text"):
-                hashes, texts = text_terms(part.column("text"))
-                labels = part.column("label").to_numpy()
-                order = np.lexsort((texts, hashes))
-                hashes, texts = hashes[order], texts[order]
-                first = np.ones(len(hashes), dtype=bool)
-                first[1:] = (hashes[1:] != hashes[:-1]) | (texts[1:] != texts[:-1])
-                terms, at = np.unique(hashes[first], return_inverse=True)
-                toxic = np.bincount(at, labels[texts[first]], minlength=len(terms)).astype(np.int64)
-                every = np.bincount(at, minlength=len(terms))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(terms.view(np.int64)), pa.array(toxic), pa.array(every, type=pa.int64())], names=["term", "toxic", "every"]
-                )
-
-    n = examples.agg(F.sum("label").alias("toxic"), F.count("*").alias("every")).first()
-    counts = examples.mapInArrow(held, "term bigint, toxic bigint, every bigint").groupBy("term").agg(F.sum("toxic").alias("a"), F.sum("every").alias("n"))
-    a, c = F.col("a") + 0.5, F.col("n") - F.col("a") + 0.5
-    b, d = (n.toxic or 0) - F.col("a") + 0.5, (n.every - (n.toxic or 0)) - (F.col("n") - F.col("a")) + 0.5
-    odds = F.log(a) + F.log(d) - F.log(b) - F.log(c)
-    error = F.sqrt(1 / a + 1 / b + 1 / c + 1 / d)
-    best = (
-        counts.filter(F.col("a") >= LEAST_TOXIC)
-        .withColumn("score", odds / error)
-        .filter(F.col("score") >= LEAST_SCORE)
-        .orderBy(F.desc("score"), "term")
-        .limit(max_terms)
-    )
-    return np.sort(np.array([r.term for r in best.collect()], dtype=np.int64).view(np.uint64))
-
-
-def toxicity(
-    docs: DataFrame, labels: DataFrame, max_examples: int = MAX_EXAMPLES, max_terms: int = MAX_TERMS, doc_id: str = "doc_id", text: str = "text"
-) -> DataFrame:
+            return np.zeros(0, dtype=np.int64), np.zeros(0)
+        sums = self.sums([(terms, query)])[0] if sums is None else sums
+        floor = np.partition(sums, -k)[-k] if k < len(sums) else 0.0
+        here = np.flatnonzero((sums > 0) & (sums >= floor * (1 - 3 * MARGIN)))
+        if not len(here):
+            return here, np.zeros(0)
+        at = spread(self.bounds[here], self.bounds[here + 1])
+        self.query[terms] = query
+        products = self.query[self.terms[at]] * self.weights[at]
+        self.query[terms] = 0
+        sizes = self.bounds[here + 1] - self.bounds[here]
+        cosines = np.round(np.add.reduceat(products, np.cumsum(sizes) - sizes), 12)
+        order = [i for i in np.lexsort((here, -cosines))[:k] if cosines[i] > 0]
+        return here[order], cosines[order]
+
+    def scores(self, vectors: list[tuple[np.ndarray, np.ndarray]]) -> list[tuple[float, list[int]]]:
+        """Score and evidence of each (terms, counts)."""
+        queries = [(terms, unit(terms, counts, self.idf)) for terms, counts in vectors]
+        out = []
+        for first in range(0, len(queries), TOGETHER):
+            part = queries[first : first + TOGETHER]
+            sums = self.sums(part) if len(self.ids) else [None] * len(part)
+            for (terms, query), row in zip(part, sums, strict=True):
+                if not len(terms):
+                    out.append((self.empty_rate, []))
+                    continue
+                found, cosines = self.nearest(terms, query, sums=row)
+                votes = 1 / (DISTANCE + np.maximum(0, 1 - cosines))
+                value = (np.sum(votes * self.labels[found]) + PRIOR * self.base_rate) / (np.sum(votes) + PRIOR)
+                out.append((float(value), self.ids[found].tolist()))
+        return out
+
+
+class Examples:
+    """What an index is built from, compressed, since each executor keeps copies on disk; each task's process builds its own."""
+
+    def __init__(self, ids: list[int], labels: list[int], rows: list[tuple[np.ndarray, np.ndarray]], idf: np.ndarray):
+        self.ids, self.labels, self.idf = np.array(ids, dtype=np.int64), np.array(labels, dtype=np.int64), idf
+        self.cuts = np.cumsum([len(terms) for terms, _ in rows])[:-1]
+        none = np.zeros(0, dtype=np.int64)
+        self.terms = compress(np.diff(np.concatenate([none, *(t for t, _ in rows)]), prepend=0).astype(np.int32).tobytes(), 1)
+        self.counts = compress(np.concatenate([none, *(c for _, c in rows)]).astype(np.int32).tobytes(), 1)
+
+    @cached_property
+    def index(self) -> Index:
+        if not len(self.ids):
+            return Index.build([], [], [], self.idf)
+        terms = np.cumsum(np.frombuffer(decompress(self.terms), dtype=np.int32), dtype=np.int64)
+        counts = np.frombuffer(decompress(self.counts), dtype=np.int32)
+        return Index.build(self.ids, self.labels, list(zip(np.split(terms, self.cuts), np.split(counts, self.cuts), strict=True)), self.idf)
+
+
+def toxicity(docs: DataFrame, labels: DataFrame, max_examples: int = MAX_EXAMPLES, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, score, evidence: identifiers of the nearest examples) of every document.
 
     ``labels`` has (doc_id, label); only its rows are learned from.
@@ -215,54 +241,68 @@ def toxicity(
         .limit(max_examples)
     )
     chosen = materialize(chosen, "examples")  # max_examples rows
-    examples = materialize(
-        rows.join(F.broadcast(chosen), rows["doc_id"] == chosen["__example"]).select("doc_id", "text", "label"), "labelled"
-    )
-    sent = spark.sparkContext.broadcast(Vocabulary(telling_terms(examples, max_terms)))
 
-    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def held(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, "text"):
-                found = list(sent.value.counts(part.column("text")))
+                found = list(text_counts(part.column("text")))
                 yield pa.RecordBatch.from_arrays(
                     [
                         part.column("doc_id"),
-                        pa.array([t.tolist() for t, _ in found], type=pa.list_(pa.int32())),
-                        pa.array([c.tolist() for _, c in found], type=pa.list_(pa.int32())),
+                        part.column("label"),
+                        pa.array([t.view(np.int64) for t, _ in found], type=pa.list_(pa.int64())),
+                        pa.array([c for _, c in found], type=pa.list_(pa.int32())),
                     ],
-                    names=["doc_id", "terms", "counts"],
+                    names=["doc_id", "label", "terms", "counts"],
                 )
 
-    vectors = materialize(rows.mapInArrow(counted, "doc_id bigint, terms array<int>, counts array<int>"), "vectors")
-    total = vectors.count()
-    held = {r.term: r.n for r in vectors.select(F.explode("terms").alias("term")).groupBy("term").agg(F.count("*").alias("n")).collect()}  # max_terms rows
-    size = len(sent.value.terms)
-    idf = np.log((total + 1) / (np.array([held.get(t, 0) for t in range(size)], dtype=float) + 1)) + 1 if size else np.zeros(0)
-    known = vectors.join(F.broadcast(chosen), vectors["doc_id"] == chosen["__example"]).select("doc_id", "label", "terms", "counts").collect()
-    known.sort(key=lambda r: (r.doc_id, r.terms, r.counts))
-    index = Index.build(
-        [r.doc_id for r in known],
-        [r.label for r in known],
-        [(np.array(r.terms, dtype=np.int64), np.array(r.counts, dtype=np.int64)) for r in known],
-        idf,
-    )
-    shared = spark.sparkContext.broadcast(index)
+    examples = rows.join(F.broadcast(chosen), rows["doc_id"] == chosen["__example"]).select("doc_id", "text", "label")
+    known = examples.mapInArrow(held, "doc_id bigint, label int, terms array<bigint>, counts array<int>").toArrow()
+    known = known.combine_chunks()
+    terms = [np.asarray(t.values).view(np.uint64) for t in known.column("terms")]
+    counts = [np.asarray(c.values) for c in known.column("counts")]
+    vocabulary = Vocabulary(np.concatenate(terms) if terms else np.zeros(0, dtype=np.uint64))
+    size = len(vocabulary.terms)
+    sent = spark.sparkContext.broadcast(vocabulary)
 
-    def voted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        @lru_cache(maxsize=REMEMBERED)
-        def scored(terms: tuple[int, ...], counts: tuple[int, ...]) -> tuple[float, list[int]]:
-            return shared.value.score(np.array(terms, dtype=np.int64), np.array(counts, dtype=np.int64))
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        documents, holding = 0, np.zeros(size + 1, dtype=np.int64)
+        for batch in batches:
+            for part in slices(batch, "text"):
+                found = [t for t, _ in sent.value.counts(part.column("text"))]
+                holding += np.bincount(np.concatenate(found), minlength=size + 1)
+                documents += part.num_rows
+        holding[size] = documents  # the last number counts the documents
+        at = np.flatnonzero(holding)
+        yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(holding[at])], names=["term", "n"])
+
+    often = np.zeros(size + 1)
+    sums = rows.select("text").mapInArrow(counted, "term int, n bigint").groupBy("term").agg(F.sum("n").alias("n")).toArrow()
+    often[sums.column("term").to_numpy()] = sums.column("n").to_numpy()  # terms of the examples, and one
+    idf = np.log((often[size] + 1) / (often[:size] + 1)) + 1
+    vectors = [(np.searchsorted(vocabulary.terms, t), c.astype(np.int64)) for t, c in zip(terms, counts, strict=True)]
+    ids, values = known.column("doc_id").to_pylist(), known.column("label").to_pylist()
+    order = sorted(range(len(ids)), key=lambda i: (ids[i], vectors[i][0].tobytes(), vectors[i][1].tobytes()))
+    idf *= relevance(vectors, values, size)
+    shared = spark.sparkContext.broadcast(Examples([ids[i] for i in order], [values[i] for i in order], [vectors[i] for i in order], idf))
 
+    def voted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        remembered: dict[bytes, tuple[float, list[int]]] = {}
         for batch in batches:
-            rows = zip(batch.column("terms").to_pylist(), batch.column("counts").to_pylist(), strict=True)
-            found = [scored(tuple(t), tuple(c)) for t, c in rows]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column("doc_id"),
-                    pa.array([s for s, _ in found], type=pa.float64()),
-                    pa.array([e for _, e in found], type=pa.list_(pa.int64())),
-                ],
-                names=["doc_id", "score", "evidence"],
-            )
-
-    return vectors.mapInArrow(voted, "doc_id bigint, score double, evidence array<bigint>")
+            for part in slices(batch, "text"):
+                found = list(sent.value.counts(part.column("text")))
+                keys = [blake2b(t.tobytes() + c.tobytes(), digest_size=16).digest() for t, c in found]
+                fresh = {k: v for k, v in zip(keys, found, strict=True) if k not in remembered}
+                if len(remembered) + len(fresh) > REMEMBERED:
+                    remembered, fresh = {}, dict(zip(keys, found, strict=True))
+                remembered.update(zip(fresh, shared.value.index.scores(list(fresh.values())), strict=True))
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        part.column("doc_id"),
+                        pa.array([remembered[k][0] for k in keys], type=pa.float64()),
+                        pa.array([remembered[k][1] for k in keys], type=pa.list_(pa.int64())),
+                    ],
+                    names=["doc_id", "score", "evidence"],
+                )
+
+    return rows.mapInArrow(voted, "doc_id bigint, score double, evidence array<bigint>")

@@ -69,3 +69,32 @@ def test_odd_rows_and_labels(spark, odd, nothing, labels):
     if not labels:
         assert {r.score for r in found} == {0.0}
     assert toxicity(nothing, rows).collect() == []
+
+
+def test_rare_toxic_words_and_texts_without_them_have_neighbours(spark):
+    pairs = [(i, prose(5000 + i, 30)) for i in range(60)]
+    pairs += [(100 + i, prose(5100 + i, 30) + " zorgulate zorgulate") for i in range(3)]  # fewer than any threshold would take
+    labels = [(i, int(i >= 100)) for i, _ in pairs if i != 102]
+    rows = spark.createDataFrame(labels, "doc_id bigint, label int")
+    found = {r.doc_id: r for r in toxicity(table(spark, pairs), rows).collect()}
+    assert set(found[102].evidence[:2]) == {100, 101}
+    assert all(found[i].evidence[0] == i for i, _ in labels) and len({r.score for r in found.values()}) > 30
+
+
+def test_head_and_lists_give_the_exact_neighbours():
+    chance = np.random.default_rng(5)
+    size, n = 3000, 700  # terms beyond the head, and as many equal vectors as neighbours
+    rows = []
+    for _ in range(n):
+        held = np.unique((size * chance.random(90) ** 3).astype(np.int64))
+        rows.append((held, chance.integers(1, 4, len(held))))
+    rows += rows[:40] + [rows[0]] * 30
+    idf = 1 + 3 * chance.random(size)
+    index = Index.build(list(range(len(rows))), [0] * len(rows), rows, idf)
+    dense = np.zeros((len(rows), size))
+    for i, (t, c) in enumerate(rows):
+        dense[i, t] = unit(t, c, idf)
+    for i in range(0, n, 9):
+        cosines = np.round(dense @ dense[i], 12)
+        best, found = index.nearest(rows[i][0], unit(*rows[i], idf))
+        assert np.allclose(found, np.sort(cosines)[::-1][:25]) and np.allclose(found, cosines[best]) and len(set(best)) == 25
