@@ -10,8 +10,9 @@ tell most others (as in the n-gram join), and stretches with too few of them can
    documents gives one pair for each. Shingles that come once are in the union of a pair but not shared, so a window that has
    too many of them, beside the least of its signature's windows, has no partner. The windows of a pair of documents are joined as intervals along a diagonal; where ``NEED``
    hashes agree so far, the passages are verified: the Jaccard similarity of their shingle sets is ``similarity`` or more.
-3. Windows that were not found repeated, but have others of their signature, go into another round with other windows to be
-   compared with, four times as many in each round, until every window is repeated or was compared with all others left.
+3. Windows that have others of their signature go into another round with other windows to be compared with, four times as many
+   in each round, until every window was found repeated or was compared with all others. A window that was found repeated is
+   compared with no further ones, but others are compared with it until it has led once.
 
 Defined results: a null text is an empty text and has no passage. Rows that repeat an identifier are documents of their own, of
 which the first read counts as smaller; a null identifier is the smallest. An empty table gives no rows. Other columns are not read.
@@ -236,7 +237,7 @@ def repeated_passages(
     parts = materialize(pieces(rows, filters, filter_bits, size, min_words, similarity), "pieces")
     sides = parts.select("row", "doc_id", "sequence"), parts.select(F.col("row").alias("other"), F.col("doc_id").alias("of_doc_id"), F.col("sequence").alias("of_sequence"))
     width, found, seen, leads = min_words - size + 1, None, None, 1
-    left = parts.select("doc_id", "row", F.explode("windows").alias("w")).select("doc_id", "row", "w.*", F.lit(False).alias("led"))
+    left = parts.select("doc_id", "row", F.explode("windows").alias("w")).select("doc_id", "row", "w.*", F.lit(False).alias("led"), F.lit(False).alias("done"))
     me = F.struct("doc_id", "row", "c", "l", "r")
     while True:
         least = left.groupBy("f", "value").agg(F.min("once").alias("least"), F.min("row").alias("low"), F.max("row").alias("high"))
@@ -244,7 +245,7 @@ def repeated_passages(
         able = materialize(able.filter((F.col("once") + F.col("least")) * similarity <= (1 - similarity) * (width - F.col("once"))).drop("least"), "windows")
         share = F.pmod(F.xxhash64("row"), F.lit(leads))
         lead = able.filter("NOT led").groupBy("f", "value", share.alias("share")).agg(F.min(me).alias("lead")).drop("share")
-        met = able.join(lead, ["f", "value"]).filter((F.col("row") != F.col("lead.row")) & (F.col("lead") < me))
+        met = able.filter("NOT done").join(lead, ["f", "value"]).filter((F.col("row") != F.col("lead.row")) & (F.col("lead") < me))
         met = materialize(met.select("doc_id", "row", "f", "value", "c", "l", "r", "lead"), "met")
         if lead.isEmpty():
             break
@@ -262,10 +263,13 @@ def repeated_passages(
         found = now if found is None else found.unionByName(now)
         spans = now.select(F.col("row").alias("of"), F.col("start_word").alias("from"), (F.col("start_word") + F.col("n_words") - size + 1).alias("to"))
         spans = spans.distinct()
-        rest = able.join(spans, (F.col("row") == F.col("of")) & (F.col("c") >= F.col("from")) & (F.col("c") < F.col("to")), "left_anti")
+        again = able.select("row", "f", "c").join(spans, (F.col("row") == F.col("of")) & (F.col("c") >= F.col("from")) & (F.col("c") < F.col("to")), "left_semi")
+        again = again.select(F.col("row").alias("in_row"), F.col("f").alias("in_f"), F.col("c").alias("in_c")).distinct()
+        repeated = (F.col("row") == F.col("in_row")) & (F.col("f") == F.col("in_f")) & (F.col("c") == F.col("in_c"))
+        rest = able.join(again, repeated, "left").withColumn("done", F.col("done") | F.col("in_row").isNotNull()).select(*able.columns)
         used = lead.select(F.col("f").alias("of_f"), F.col("value").alias("of_value"), F.col("lead.row").alias("of_row"), F.col("lead.c").alias("of_c"))
         same = (F.col("f") == F.col("of_f")) & (F.col("value") == F.col("of_value")) & (F.col("row") == F.col("of_row")) & (F.col("c") == F.col("of_c"))
-        left = rest.join(used, same, "left").withColumn("led", F.col("led") | F.col("of_row").isNotNull()).select(*able.columns)
+        left = rest.join(used, same, "left").withColumn("led", F.col("led") | F.col("of_row").isNotNull()).select(*able.columns).filter("NOT (led AND done)")
         leads *= 4
     if found is None:
         return docs.sparkSession.createDataFrame([], _FOUND).drop("row", "other")

@@ -66,3 +66,23 @@ def test_planted_passages_are_found(spark):
 def test_empty_and_clean_tables(spark, nothing):
     assert repeated_passages(nothing, filter_bits=1 << 16).collect() == []
     assert repeated_passages(table(spark, [(i, prose(i, 200)) for i in range(20)]), filter_bits=1 << 20).collect() == []
+
+
+def changed(words, *places):
+    return [f"changed{p}" if p in places else w for p, w in enumerate(words)]
+
+
+def test_found_passages_still_lead(spark):
+    """By passage: chains 1~2~3 with 1 unlike 3."""
+    pairs, expected = [], set()
+    for k in range(6):
+        own = prose(9700 + k, 55).split()
+        texts = [own, changed(own, 18), changed(own, 18, 36)]
+        ids = [10_000 + 100 * k + i for i in range(3)]
+        pairs += [(i, " ".join(prose(20_000 + i, 40).split() + t + prose(30_000 + i, 40).split())) for i, t in zip(ids, texts, strict=True)]
+        held = [shingle_set(" ".join(t), 5) for t in texts]
+        alike = [[len(a & b) / len(a | b) for b in held] for a in held]
+        assert alike[0][1] >= 0.8 and alike[1][2] >= 0.8 and alike[0][2] < 0.8
+        expected |= {(ids[1], ids[0]), (ids[2], ids[1])}
+    found = repeated_passages(table(spark, pairs), filter_bits=1 << 20).collect()
+    assert expected <= {(r.doc_id, r.of_doc_id) for r in found}
