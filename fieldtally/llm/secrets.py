@@ -3,7 +3,8 @@
 A candidate is a longest run of the characters of a class. A window of fixed width slides over it; counts of its characters
 are updated by the one that enters and the one that leaves, and the sum of c * log2(c) with them, in whole millionths, so
 that nothing drifts. A window is hot if its Shannon entropy reaches the class's bound. Overlapping hot windows are one
-span. Candidates that the allow-list matches are left out: plain words, plain numbers, paths, marked examples.
+span. Candidates that the allow-list matches are left out: plain words, plain numbers, and paths or marked examples all of whose
+segments are words or numbers. A path with another segment is scanned as a whole.
 
 Positions are code points, ends exclusive. They follow from the pieces between the matches, whose lengths are added up.
 
@@ -34,13 +35,13 @@ ASSIGN = rf"""({KEYWORDS})["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
 ACCESS = "AKIA[A-Z0-9]{16,}"
 HEX = "[0-9a-f]{24,}"
 BASE_KINDS = ("assign", "access", "hex")
+SEGMENT = "([A-Za-z_-]+[0-9]{0,2}|[0-9_-]+|[A-Za-z_-]*[Ee][Xx][Aa][Mm][Pp][Ll][Ee][A-Za-z_-]*[0-9]{0,4})"
 ALLOW = (
     "^[A-Za-z]?[a-z]+$",
     "^[A-Z]+$",
     "^[0-9]+$",
     "^[A-Za-z]+([_/+=-]+[A-Za-z]+)*[_/+=-]*$",
-    "[Ee][Xx][Aa][Mm][Pp][Ll][Ee]",
-    "^/?[A-Za-z0-9_-]+(/[A-Za-z0-9_-]+)+/?$",
+    f"^/?{SEGMENT}(/{SEGMENT})*/?$",
 )
 
 

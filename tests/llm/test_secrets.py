@@ -64,3 +64,22 @@ def test_plan_is_one_projection(odd, nothing):
     plan = scan_report(secret_scan(odd))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Exchange" not in plan and "Arrow" not in plan
     assert secret_scan(nothing).collect() == []
+
+
+def test_keys_with_slashes_and_tokens_behind_paths_have_spans(spark):
+    """Against spans told by hand, without the module's allow-list."""
+    chance, pool = random.Random(11), "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+    keys = []
+    while len(keys) < 40:
+        key = "".join(chance.choices(pool, k=19)) + "/" + "".join(chance.choices(pool, k=20))
+        if max(len(set(key[i : i + 24])) for i in range(17)) >= 21:  # at least 4.3 bits
+            keys.append(key)
+    keys += [
+        "com/services/T01AB2CD3/B04EF5GH6/q7Zk2LmX9vRt4NsB8wPd1YcE",
+        "com/reset/q7Zk2LmX9vRt4NsB8wPd1YcE",
+        "com/example/q7Zk2LmX9vRt4NsB8wPd1YcE",
+    ]
+    plain = ["usr/share/documentation/python/packages/index", "com/blog/2024/11/30/how-to-bake-quick-sourdough", "var/example/configuration/default"]
+    found = {r.doc_id: r.spans for r in scan_report(secret_scan(table(spark, list(enumerate(keys + plain))))).collect()}
+    assert all("entropy_base64" in found[i] for i in range(len(keys)))
+    assert all("entropy_base64" not in found[i] for i in range(len(keys), len(keys) + len(plain)))
