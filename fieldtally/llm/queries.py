@@ -12,6 +12,7 @@ from .bpe import bpe_decode, bpe_encode, token_digests
 from .common import table
 from .decontaminate import overlaps
 from .exact_dedup import exact_dedup
+from .fim import FIM_SQL, digests, fill_in_middle, store
 from .line_dedup import LINE_DEDUP_SQL, line_dedup, line_report
 from .secrets import scan_report, secret_scan
 from .ngram_join import ngram_join
@@ -69,8 +70,12 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(table(spark, sf_dir, "documents"))
 
 
+def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return digests(fill_in_middle(store(table(spark, sf_dir, "documents"))))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_line_dedup, op2_token_counts, op3_secret_scan, op4_bpe, op5_toxicity, op6_substring_dedup, op7_ngram_join, op8_decontamination, op9_quality, op10_exact_dedup)}
+    return {f.__name__: f for f in (op1_line_dedup, op2_token_counts, op3_secret_scan, op4_bpe, op5_toxicity, op6_substring_dedup, op7_ngram_join, op8_decontamination, op9_quality, op10_exact_dedup, op12_fill_in_middle)}
 
 
 EXACT_DEDUP_SQL = """
@@ -85,4 +90,4 @@ WINDOW same AS (PARTITION BY t)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_line_dedup": LINE_DEDUP_SQL, "op3_secret_scan": SECRETS_SQL, "op10_exact_dedup": EXACT_DEDUP_SQL}
+    return {"op1_line_dedup": LINE_DEDUP_SQL, "op3_secret_scan": SECRETS_SQL, "op10_exact_dedup": EXACT_DEDUP_SQL, "op12_fill_in_middle": FIM_SQL}
