@@ -13,6 +13,7 @@ from .common import table
 from .decontaminate import overlaps
 from .exact_dedup import exact_dedup
 from .fim import FIM_SQL, digests, fill_in_middle, store
+from .hard_negatives import HARD_NEGATIVES_SQL, hard_negatives
 from .line_dedup import LINE_DEDUP_SQL, line_dedup, line_report
 from .secrets import scan_report, secret_scan
 from .ngram_join import ngram_join
@@ -74,8 +75,14 @@ def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digests(fill_in_middle(store(table(spark, sf_dir, "documents"))))
 
 
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vec_id = F.col("vec_id")
+    rows = table(spark, sf_dir, "embeddings").withColumn("label", F.when(vec_id % 7 == 0, (F.col("label").cast("long") + 1) % 10).otherwise(F.col("label")))
+    return hard_negatives(rows, vec_id % 100 == 0)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_line_dedup, op2_token_counts, op3_secret_scan, op4_bpe, op5_toxicity, op6_substring_dedup, op7_ngram_join, op8_decontamination, op9_quality, op10_exact_dedup, op12_fill_in_middle)}
+    return {f.__name__: f for f in (op1_line_dedup, op2_token_counts, op3_secret_scan, op4_bpe, op5_toxicity, op6_substring_dedup, op7_ngram_join, op8_decontamination, op9_quality, op10_exact_dedup, op12_fill_in_middle, op13_hard_negatives)}
 
 
 EXACT_DEDUP_SQL = """
@@ -90,4 +97,4 @@ WINDOW same AS (PARTITION BY t)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_line_dedup": LINE_DEDUP_SQL, "op3_secret_scan": SECRETS_SQL, "op10_exact_dedup": EXACT_DEDUP_SQL, "op12_fill_in_middle": FIM_SQL}
+    return {"op1_line_dedup": LINE_DEDUP_SQL, "op3_secret_scan": SECRETS_SQL, "op10_exact_dedup": EXACT_DEDUP_SQL, "op12_fill_in_middle": FIM_SQL, "op13_hard_negatives": HARD_NEGATIVES_SQL}
