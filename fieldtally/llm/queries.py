@@ -14,6 +14,7 @@ from .decontaminate import overlaps
 from .exact_dedup import exact_dedup
 from .fim import FIM_SQL, digests, fill_in_middle, store
 from .hard_negatives import HARD_NEGATIVES_SQL, hard_negatives
+from .html_text import main_text
 from .line_dedup import LINE_DEDUP_SQL, line_dedup, line_report
 from .secrets import scan_report, secret_scan
 from .ngram_join import ngram_join
@@ -71,6 +72,10 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(table(spark, sf_dir, "documents"))
 
 
+def op11_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return main_text(table(spark, sf_dir, "pages"))
+
+
 def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digests(fill_in_middle(store(table(spark, sf_dir, "documents"))))
 
@@ -82,7 +87,7 @@ def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_line_dedup, op2_token_counts, op3_secret_scan, op4_bpe, op5_toxicity, op6_substring_dedup, op7_ngram_join, op8_decontamination, op9_quality, op10_exact_dedup, op12_fill_in_middle, op13_hard_negatives)}
+    return {f.__name__: f for f in (op1_line_dedup, op2_token_counts, op3_secret_scan, op4_bpe, op5_toxicity, op6_substring_dedup, op7_ngram_join, op8_decontamination, op9_quality, op10_exact_dedup, op11_html_text, op12_fill_in_middle, op13_hard_negatives)}
 
 
 EXACT_DEDUP_SQL = """
