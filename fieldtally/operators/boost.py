@@ -4,52 +4,87 @@ from __future__ import annotations
 
 import math
 
-from pyspark.ml.classification import DecisionTreeClassifier
-from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fieldtally.operators.stumps import Stump, Stumps, missed_weight
+from fieldtally.operators.histogram import BINS, SAMPLE_ROWS, Bins, Cut, best_cut, binned, label_weights
+from fieldtally.operators.order import cache_input
+from fieldtally.operators.stumps import Stump, Stumps
+from fieldtally.session import materialize
 
 # Rounds and learning rate.
 ROUNDS = 100
 LEARNING_RATE = 0.9
+PIN_EVERY = 10
 
 
 def fit_adaboost(
     train: DataFrame,
     rounds: int = ROUNDS,
     learning_rate: float = LEARNING_RATE,
-    seed: int = 42,
+    bins: int = BINS,
+    sample_rows: int = SAMPLE_ROWS,
     history: list[dict] | None = None,
 ) -> Stumps:
-    """Each round: one stump fit and one aggregate.
+    """Each round is one aggregate: the weight by feature, bin and label, from whose running sums the best stump follows.
 
-    A row's weight is one expression over the stumps so far, exp of the weights of those that miss it, so nothing but the
-    training frame is kept or written. ``history`` collects error, alpha and the weight total of each round.
+    Values are binned once, into a written frame. A row's weight is the one written last times exp of the weights of the stumps
+    since then that miss it; it is written anew every ``PIN_EVERY`` rounds, so the cost of a round does not grow. ``history``
+    collects each round's stump, error, alpha and weight total.
     """
-    tree = DecisionTreeClassifier(maxDepth=1, weightCol="_w", seed=seed)
-    rows = train.select("label", "features").withColumn("_x", vector_to_array("features"))
-    stumps: list[Stump] = []
-    alphas: list[float] = []
-    scale = 1.0 / max(train.count(), 1)
-    for t in range(rounds):
-        weight = F.exp(missed_weight(F.col("_x"), F.col("label"), stumps, alphas)) if stumps else F.lit(1.0)
-        weighted = rows.withColumn("_w", weight * F.lit(scale))
-        frame = weighted.select(F.col("label").alias("label", metadata=train.schema["label"].metadata), "features", "_w")
-        stump = Stump.of(tree.fit(frame))
-        miss = F.when(stump.answer(F.col("_x")) != F.col("label"), F.col("_w")).otherwise(F.lit(0.0))
-        total, wrong = weighted.agg(F.sum("_w"), F.sum(miss)).first()
-        error = wrong / total
-        if error >= 0.5 and stumps:
-            break
-        alpha = 1.0 if error <= 0.0 else learning_rate * math.log((1.0 - error) / error)
-        if history is not None:
-            history.append({"round": t, "error": error, "alpha": alpha, "total": total})
-        stumps.append(stump)
-        alphas.append(alpha if alpha > 0.0 else 1.0)
-        if error <= 0.0 or error >= 0.5:
-            break
-        # The next round starts from weights that sum to 1; the new total follows from this round's sums.
-        scale /= total + wrong * (math.exp(alpha) - 1.0)
+    width = _width(train)
+    frame, cuts = binned(train, width, bins, sample_rows)
+    frame = cache_input(frame.withColumn("w", F.lit(1.0)))
+    stumps, alphas, recent = [], [], []
+    scale = 1.0 / max(frame.count(), 1)
+    try:
+        for t in range(rounds):
+            if len(recent) == PIN_EVERY:
+                pinned = materialize(frame.withColumn("w", _weight(recent, cuts, scale)), "weights")
+                frame.unpersist()
+                frame, recent, scale = cache_input(pinned), [], 1.0
+            found = best_cut(label_weights(frame, _weight(recent, cuts, scale), cuts), cuts)
+            error = found.missed / found.total if found.total else 0.0
+            if error >= 0.5 and stumps:
+                break
+            alpha = 1.0 if error <= 0.0 else learning_rate * math.log((1.0 - error) / error)
+            stump = Stump(found.feature, cuts.cuts[found.feature][found.cut] if found.cut >= 0 else math.inf, found.left, found.right)
+            if history is not None:
+                history.append({"round": t, "error": error, "alpha": alpha, "total": found.total, "stump": stump})
+            stumps.append(stump)
+            alphas.append(alpha if alpha > 0.0 else 1.0)
+            if error <= 0.0 or error >= 0.5:
+                break
+            recent.append((found, alpha))
+            # The next round starts from weights that sum to 1; the new total follows from this round's sums.
+            scale /= found.total + found.missed * (math.exp(alpha) - 1.0)
+    finally:
+        frame.unpersist()
     return Stumps(stumps, alphas)
+
+
+def _width(train: DataFrame) -> int:
+    meta = train.schema["features"].metadata.get("ml_attr", {})
+    if "num_attrs" in meta:
+        return meta["num_attrs"]
+    first = train.select("features").first()
+    return first["features"].size if first else 0
+
+
+def _weight(recent: list[tuple[Cut, float]], cuts: Bins, scale: float) -> Column:
+    """The written weight, carried on over the stumps since then.
+
+    The stumps are one literal array, each a range of codes with the answers of rows with and without a code in it: the generated
+    code is the same in every round, and is compiled once. The scale is one that every row misses.
+    """
+    listed = [(1, 0, 2.0, 2.0, math.log(scale))]
+    for cut, alpha in recent:
+        first, last, within, without = cuts.held(cut.feature, cut.cut, cut.left, cut.right) if cut.cut >= 0 else (1, 0, cut.left, cut.left)
+        listed.append((first, last, within, without, alpha))
+    stumps = F.array(*[F.struct(*[F.lit(v).alias(k) for k, v in zip("abxyw", s, strict=True)]) for s in listed])
+
+    def add(power: Column, s: Column) -> Column:
+        answer = F.when(F.exists("codes", lambda c: (c >= s["a"]) & (c <= s["b"])), s["x"]).otherwise(s["y"])
+        return power + F.when(answer != F.col("label"), s["w"]).otherwise(F.lit(0.0))
+
+    return F.col("w") * F.exp(F.aggregate(stumps, F.lit(0.0), add))

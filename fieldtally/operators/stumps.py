@@ -3,9 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
-from math import inf
 
-from pyspark.ml.classification import DecisionTreeClassificationModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,18 +20,6 @@ class Stump:
     left: float
     right: float
 
-    @classmethod
-    def of(cls, model: DecisionTreeClassificationModel) -> Stump:
-        """The one split of a tree of depth 1; a tree without split answers the same for every value."""
-        root = model._java_obj.rootNode()
-        if model.depth == 0:
-            return cls(0, inf, root.prediction(), root.prediction())
-        split = root.split()
-        return cls(split.featureIndex(), split.threshold(), root.leftChild().prediction(), root.rightChild().prediction())
-
-    def answer(self, values: Column) -> Column:
-        return F.when(F.get(values, F.lit(self.feature)) <= F.lit(self.threshold), F.lit(self.left)).otherwise(F.lit(self.right))
-
 
 def _listed(stumps: list[Stump], weights: list[float]) -> Column:
     """The stumps as one literal array: the plan's depth does not grow with their number."""
@@ -45,21 +31,15 @@ def _listed(stumps: list[Stump], weights: list[float]) -> Column:
     )
 
 
-def _sum(values: Column, listed: Column, counts) -> Column:
-    """Sum of the weights of the stumps, each times what ``counts`` makes of its answer."""
+def _sum(values: Column, listed: Column) -> Column:
+    """Sum of the answers of the stumps, each times its weight."""
 
     def add(total: Column, s: Column) -> Column:
-        answer = F.when(F.get(values, s["f"]) <= s["t"], s["l"]).otherwise(s["r"])
-        return total + s["w"] * counts(answer)
+        return total + s["w"] * F.when(F.get(values, s["f"]) <= s["t"], s["l"]).otherwise(s["r"])
 
     return F.aggregate(listed, F.lit(0.0), add)
 
 
-def missed_weight(values: Column, label: Column, stumps: list[Stump], weights: list[float]) -> Column:
-    """Sum of the weights of the stumps that miss the label."""
-    return _sum(values, _listed(stumps, weights), lambda a: F.when(a != label, F.lit(1.0)).otherwise(F.lit(0.0)))
-
-
 @dataclass
 class Stumps:
     """A weighted vote of stumps over the vector column ``features``."""
@@ -70,7 +50,7 @@ class Stumps:
     def transform(self, df: DataFrame) -> DataFrame:
         """Adds ``score``, the weighted mean answer, and ``prediction``."""
         values = F.col("__values")
-        score = _sum(values, _listed(self.stumps, self.weights), lambda a: a) / F.lit(float(sum(self.weights)))
+        score = _sum(values, _listed(self.stumps, self.weights)) / F.lit(float(sum(self.weights)))
         scored = df.withColumn("__values", vector_to_array("features")).select(*df.columns, score.alias("score"))
         return scored.withColumn("prediction", F.when(F.col("score") > 0.5, 1.0).otherwise(0.0))
 

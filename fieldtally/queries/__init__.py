@@ -1,6 +1,7 @@
 """Registered queries: each a Spark function over the given tables, most with an equivalent SQL text."""
 
 from fieldtally.queries import (  # noqa: F401
+    boosting,
     cleaning,
     columns,
     engineering,

@@ -93,6 +93,7 @@ def checklist(spark: SparkSession, sf_dir: str) -> DataFrame:
 WIDTH = 1657
 SPECIES = range(19, 953)
 LAND_COVER = (range(968, 1016), range(1084, 1090), range(1102, 1657))
+# Schema names that the rules read.
 _META = (
     "SAMPLING_EVENT_ID", "LOC_ID", "LATITUDE", "LONGITUDE", "YEAR", "MONTH", "DAY", "TIME", "COUNTRY",
     "STATE_PROVINCE", "COUNTY", "COUNT_TYPE", "EFFORT_HRS", "EFFORT_DISTANCE_KM", "EFFORT_AREA_HA", "OBSERVER_ID",
@@ -103,17 +104,11 @@ _CORE = (
     "BCR", "BAILEY_ECOREGION", "OMERNIK_L3_ECOREGION", "CAUS_TEMP_AVG", "CAUS_TEMP_MIN", "CAUS_TEMP_MAX", "CAUS_PREC",
     "CAUS_SNOW",
 )
-_FROST = [f"CAUS_{s}_32F_{k}" for s in ("LAST_SPRING", "FIRST_AUTUMN") for k in ("MEDIAN", "MEAN", "EXTREME")]
-_DIST = [
-    f"DIST_{way}_{body}_{water}"
-    for water in ("FRESH", "BRACKISH")
-    for body in ("FLOWING", "STANDING", "WET_VEG")
-    for way in ("FROM", "IN")
-]
 
 
 def wide_header() -> list[str]:
-    """Names with the families and positions of the raw files; species and land cover are numbered."""
+    """Names with the families and positions of the raw files. Species, land cover, dates and distances, of which no rule reads more
+    than their kind, are numbered."""
     names = [f"NLCD_{p}" for p in range(WIDTH)]
     names[:19] = _META
     names[19:953] = [f"Genus_species{p}" for p in SPECIES]
@@ -122,8 +117,8 @@ def wide_header() -> list[str]:
     names[1016:1019] = ["SAMPLING_EVENT_ID", "LOC_ID", "SUBNATIONAL2_CODE"]
     monthly = [f"CAUS_{k}{m:02d}" for k in ("TEMP_AVG", "TEMP_MIN", "TEMP_MAX", "PREC") for m in range(1, 14)]
     names[1019:1078] = monthly + [f"CAUS_SNOW{m:02d}" for m in SNOW]
-    names[1078:1084] = _FROST
-    names[1090:1102] = _DIST
+    names[1078:1084] = [f"CAUS_DATE_N{p}" for p in range(1078, 1084)]
+    names[1090:1102] = [f"DIST_N{p}" for p in range(1090, 1102)]
     return names
 
 
