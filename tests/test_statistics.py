@@ -170,3 +170,60 @@ def test_sparse_where_smaller(spark):
     kinds = [type(r.features).__name__ for r in e.sparse_vector(rows, "v", 50).collect()]
     assert kinds == ["SparseVector", "DenseVector"]
     assert not math.isnan(sum(sum(r.features.toArray()) for r in e.sparse_vector(rows, "v", 50).collect()))
+
+
+def wide_rows(spark, width, n=300, offset=0.0):
+    """Sparse counts with ties, negative numbers, and every tenth column far from 0."""
+    chance = np.random.default_rng(width)
+    x = chance.integers(-3, 6, (n, width)) * (chance.random((n, width)) < 0.3) + chance.random((n, 1)).round(1)
+    x[:, ::10] += offset
+    x[:, 1] = 7.25
+    return x, spark.createDataFrame([(row.tolist(),) for row in x] + [(None,), ([None] * width,)], "values array<double>").repartition(5)
+
+
+@pytest.mark.parametrize("cells", [1 << 22, 1 << 14])
+def test_tiles_equal_the_matrix(spark, cells, monkeypatch):
+    """More columns than a tile holds; with few cells a pass takes a stripe of them."""
+    from fieldtally.operators import gramian
+
+    monkeypatch.setattr(gramian, "CELLS", cells)
+    monkeypatch.setattr(gramian, "AT_ONCE", 20_000)
+    x, rows = wide_rows(spark, 300, offset=1e6)
+    found = {(r.i, r.j): r.r for r in correlate.corr_matrix_array(rows, "values").collect()}
+    x[:, ::10] -= 1e6
+    with np.errstate(invalid="ignore", divide="ignore"):
+        want = np.corrcoef(x.T)
+    assert len(found) == 300 * 300
+    for (i, j), r in found.items():
+        assert r is None if 1 in (i, j) else r == pytest.approx(want[i, j], abs=1e-9)
+
+
+@pytest.mark.parametrize("heavy", [2, 256])
+def test_wide_ranks_equal_average_ranks(spark, heavy, monkeypatch):
+    import pandas as pd
+
+    monkeypatch.setattr(correlate, "HEAVY", heavy)
+    x, rows = wide_rows(spark, 40)
+    x[:, 2] = 0.0
+    rows = rows.withColumn("values", F.transform("values", lambda v, i: F.when(i == 2, v * 0).otherwise(v)))
+    found = {(r.i, r.j): r.r for r in correlate.spearman_matrix_array(rows, "values", 40).collect()}
+    want = pd.DataFrame(x).corr("spearman").to_numpy()
+    for i in range(40):
+        for j in range(40):
+            r = found[i, j]
+            assert r is None if {1, 2} & {i, j} else r == pytest.approx(want[i, j], abs=1e-9)
+
+
+def test_matrix_of_no_rows(spark):
+    none = spark.createDataFrame([], "values array<double>")
+    assert correlate.corr_matrix_array(none, "values", 3).count() == 0 and correlate.corr_matrix_array(none, "values").count() == 0
+    assert correlate.spearman_matrix_array(none, "values", 3).count() == 0
+    assert correlate.corr_matrix(spark.createDataFrame([], "a double, b double"), ["a", "b"]).count() == 0
+
+
+def test_no_matrix_on_the_driver(spark):
+    """1,657 columns: what the driver gets is two numbers for each, and the tiles stay in the shared folder."""
+    x, rows = wide_rows(spark, 1657, n=40)
+    matrix = correlate.corr_matrix_array(rows, "values")
+    assert matrix.count() == 1657**2
+    assert matrix.filter("i = j AND r IS NOT NULL AND abs(r - 1) > 1e-9").count() == 0
