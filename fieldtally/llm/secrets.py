@@ -3,12 +3,13 @@
 A candidate is a longest run of the characters of a class. A window of fixed width slides over it; counts of its characters
 are updated by the one that enters and the one that leaves, and the sum of c * log2(c) with them, in whole millionths, so
 that nothing drifts. A window is hot if its Shannon entropy reaches the class's bound. Overlapping hot windows are one
-span. Candidates that the allow-list matches are left out: plain words, plain numbers, and paths or marked examples all of whose
-segments are words or numbers. A path with another segment is scanned as a whole.
+span. The allow-list leaves a candidate out if each of its segments, between ``SEPARATORS``, is plain: a word of small letters that
+may begin with a capital, or one of capitals, of at most ``LONGEST_WORD`` letters and two digits, a number, or a word with "example" in
+it. A candidate with another segment, such as a path or slug with a key in it, is scanned as a whole.
 
 Positions are code points, ends exclusive. They follow from the pieces between the matches, whose lengths are added up.
 
-Defined results: a null text is an empty text and has no spans. Ties in start go by the order of the kinds. Rows with equal
+Patterns have no repeated groups, and work on runs of any length. Defined results: a null text is an empty text and has no spans. Ties in start go by the order of the kinds. Rows with equal
 identifiers are scanned one by one. An empty table gives no rows. Other columns are not read.
 """
 
@@ -35,13 +36,13 @@ ASSIGN = rf"""({KEYWORDS})["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
 ACCESS = "AKIA[A-Z0-9]{16,}"
 HEX = "[0-9a-f]{24,}"
 BASE_KINDS = ("assign", "access", "hex")
-SEGMENT = "([A-Za-z_-]+[0-9]{0,2}|[0-9_-]+|[A-Za-z_-]*[Ee][Xx][Aa][Mm][Pp][Ll][Ee][A-Za-z_-]*[0-9]{0,4})"
-ALLOW = (
-    "^[A-Za-z]?[a-z]+$",
-    "^[A-Z]+$",
-    "^[0-9]+$",
-    "^[A-Za-z]+([_/+=-]+[A-Za-z]+)*[_/+=-]*$",
-    f"^/?{SEGMENT}(/{SEGMENT})*/?$",
+SEPARATORS = "[/_+=-]"
+LONGEST_WORD = 20
+# A segment that tells nothing: a word by its case shape and length, a number, or a marked example. No repeated groups: the regex
+# engine would recurse once for each repetition.
+PLAIN = (
+    f"^([A-Z]?[a-z]{{0,{LONGEST_WORD}}}|[A-Z]{{0,{LONGEST_WORD}}})[0-9]{{0,2}}$|^[0-9]+$"
+    f"|^[A-Za-z]{{0,{LONGEST_WORD}}}{any_case('example')}[A-Za-z]{{0,{LONGEST_WORD}}}[0-9]{{0,4}}$"
 )
 
 
@@ -107,7 +108,7 @@ def spans_of(kind: str, rank: int, found: Column) -> Column:
     )
 
 
-def hot_spans(of: CharClass, rank: int, found: Column, allow: tuple[str, ...]) -> Column:
+def hot_spans(of: CharClass, rank: int, found: Column, plain: str) -> Column:
     """Spans of the hot windows of the candidates, overlapping ones joined."""
     state = "struct<counts:array<int>,sum:bigint,out:array<struct<start:int,rank:int,kind:string,end:int>>>"
     table = F.array(*map(F.lit, terms(of.width)))
@@ -156,10 +157,7 @@ def hot_spans(of: CharClass, rank: int, found: Column, allow: tuple[str, ...]) -
         return F.aggregate(F.sequence(F.lit(0), F.size(codes) - 1), empty.cast(state), lambda s, i: step(s, i).cast(state), lambda s: s["out"])
 
     def suspicious(m: Column) -> Column:
-        allowed = F.lit(False)
-        for pattern in allow:
-            allowed = allowed | m["found"].rlike(pattern)
-        return ~allowed
+        return F.exists(F.split(m["found"], SEPARATORS, -1), lambda s: ~s.rlike(plain))
 
     def one(m: Column) -> Column:
         codes = F.transform(F.split(m["found"], ""), lambda c: F.instr(F.lit(of.alphabet), c))
@@ -174,13 +172,16 @@ def shown(spans: Column) -> Column:
 
 
 def secret_scan(
-    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", classes: tuple[CharClass, ...] = CLASSES, allow: tuple[str, ...] = ALLOW
+    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", classes: tuple[CharClass, ...] = CLASSES, plain: str = PLAIN
 ) -> DataFrame:
-    """(doc_id, assign, access, hex, entropy: arrays of struct<start, rank, kind, end>) for every row of ``docs``."""
+    """(doc_id, assign, access, hex, entropy: arrays of struct<start, rank, kind, end>) for every row of ``docs``.
+
+    ``plain`` is the pattern of segments that the allow-list takes for harmless.
+    """
     rows = id_and_text(docs, doc_id, text)
     column = F.col("text")
     assigned = F.filter(matches(column, ASSIGN), lambda m: F.length(F.regexp_extract(m["found"], ASSIGN, 2)) >= 6)
-    entropy = [hot_spans(c, len(BASE_KINDS) + i, matches(column, c.pattern), allow) for i, c in enumerate(classes)]
+    entropy = [hot_spans(c, len(BASE_KINDS) + i, matches(column, c.pattern), plain) for i, c in enumerate(classes)]
     none = F.array().cast("array<struct<start:int,rank:int,kind:string,end:int>>")
     return rows.select(
         "doc_id",

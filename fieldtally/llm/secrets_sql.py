@@ -34,10 +34,9 @@ WITH t AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS s F
 f AS ({" UNION ALL ".join(_found(*k) for k in KINDS)}),
 cand AS (
   SELECT rid, rank, kind, start, found, CASE rank WHEN 3 THEN 3.1 ELSE 4.05 END AS bits FROM f
-  WHERE rank >= 3 AND NOT (
-    regexp_matches(found, '^[A-Za-z]?[a-z]+$') OR regexp_matches(found, '^[A-Z]+$') OR regexp_matches(found, '^[0-9]+$')
-    OR regexp_matches(found, '^[A-Za-z]+([_/+=-]+[A-Za-z]+)*[_/+=-]*$') OR regexp_matches(found, '[Ee][Xx][Aa][Mm][Pp][Ll][Ee]')
-    OR regexp_matches(found, '^/?[A-Za-z0-9_-]+(/[A-Za-z0-9_-]+)+/?$'))
+  WHERE rank >= 3 AND len(list_filter(string_split_regex(found, '[/_+=-]'), lambda s: NOT (
+    regexp_matches(s, '^[A-Z]?[a-z]{{0,20}}[0-9]{{0,2}}$') OR regexp_matches(s, '^[A-Z]{{0,20}}[0-9]{{0,2}}$') OR regexp_matches(s, '^[0-9]+$')
+    OR regexp_matches(s, '^[A-Za-z]{{0,20}}[Ee][Xx][Aa][Mm][Pp][Ll][Ee][A-Za-z]{{0,20}}[0-9]{{0,4}}$')))) > 0
 ),
 windows AS (SELECT *, unnest(range(0, length(found) - 23)) AS i FROM cand),
 chars AS (SELECT rid, rank, start, i, bits, unnest(string_split(substr(found, (i + 1)::INT, 24), '')) AS ch FROM windows),
