@@ -22,17 +22,16 @@ def parser() -> argparse.ArgumentParser:
         return one
 
     job("count", "count the lines of a text or bzip2 file", "input")
-    job("profile", "count the target's zeros, ones, missing and other cells", "input")
-    job("sample", "write a one per cent sample", "input", "output")
-    job("correlate", "write the correlation matrix and the target's pairs", "input", "matrix", "pairs")
+    profile = job("profile", "count the target's zeros, ones, missing and other cells", "input")
+    sample = job("sample", "write a one per cent sample", "input", "output")
+    correlate = job("correlate", "write the correlation matrix and the target's pairs", "input", "matrix", "pairs")
+    correlate.add_argument("--all-columns", action="store_true", help="drop no column")
     train = job("train", "fit and save a model on the training part", "input", "model")
     train.add_argument("--kind", choices=sorted(KINDS), default="logistic_l1")
     train.add_argument("--all-rows", action="store_true", help="hold nothing out")
     ensemble = job("ensemble", "fit and save an ensemble", "input", "model")
     ensemble.add_argument("--members", nargs="+", default=list(ENSEMBLE[:ENSEMBLE_SIZE]))
     ensemble.add_argument("--hold-out", action="store_true", help="train on the training part only")
-    for one in (train, ensemble):
-        one.add_argument("--header", help="file whose first line has the column names, for an input without them")
     for name, about in (("score", "score an unlabelled file in input order"), ("validate", "score a labelled file")):
         scoring = job(name, about, "input", "model", "output")
         scoring.add_argument("--vote", action="store_true", help="the model is an ensemble")
@@ -41,27 +40,28 @@ def parser() -> argparse.ArgumentParser:
         else:
             scoring.add_argument("--held-out", action="store_true", help="only the rows that training held out")
     job("accuracy", "confusion counts of id,label,prediction lines", "input")
-    job("combined", "split, train a forest, score the rest, report", "input", "validation", "model", "predictions")
+    combined = job("combined", "split, train a forest, score the rest, report", "input", "validation", "model", "predictions")
+    for one in (profile, sample, correlate, train, ensemble, combined):
+        one.add_argument("--header", help="file whose first line has the column names, for an input without them")
     return top
 
 
 def main(argv: list[str] | None = None) -> None:
     args = parser().parse_args(argv)
     spark = get_session(f"fieldtally {args.job}", args.master)
+    header = read_header(spark, args.header) if getattr(args, "header", None) else None
     match args.job:
         case "count":
             print(count_records(spark, args.input))
         case "profile":
-            jobs.profile_job(spark, args.input).show()
+            jobs.profile_job(spark, args.input, header).show()
         case "sample":
-            jobs.sample_job(spark, args.input, args.output)
+            jobs.sample_job(spark, args.input, args.output, header)
         case "correlate":
-            jobs.correlation_job(spark, args.input, args.matrix, args.pairs)
+            jobs.correlation_job(spark, args.input, args.matrix, args.pairs, header, args.all_columns)
         case "train":
-            header = read_header(spark, args.header) if args.header else None
             jobs.train_job(spark, args.input, args.model, hold_out=not args.all_rows, kind=args.kind, header=header)
         case "ensemble":
-            header = read_header(spark, args.header) if args.header else None
             jobs.ensemble_job(spark, args.input, args.model, tuple(args.members), hold_out=args.hold_out, header=header)
         case "score":
             jobs.score_job(spark, args.input, args.model, args.output, args.vote, args.single_file)
@@ -70,7 +70,7 @@ def main(argv: list[str] | None = None) -> None:
         case "accuracy":
             jobs.accuracy_job(spark, args.input).show()
         case "combined":
-            jobs.combined_job(spark, args.input, args.validation, args.model, args.predictions).show()
+            jobs.combined_job(spark, args.input, args.validation, args.model, args.predictions, header).show()
 
 
 if __name__ == "__main__":

@@ -34,6 +34,24 @@ def zip_index(df: DataFrame, *order: str, alias: str = "index") -> DataFrame:
     )
 
 
+def input_index(lines: DataFrame, alias: str = "index") -> DataFrame:
+    """0-based index of lines in the order of the input, for frames of ``read_lines(..., in_order=True)``.
+
+    One pass counts the lines of each block of a file; the counts, one row for each block, give the offsets. Rows then number themselves
+    in place: the block's offset, and their distance from its first row. They are neither shuffled nor written. Both passes must
+    cut the files alike; if the session's split sizes changed in between, the query fails instead of numbering wrongly. Files come
+    in the order of their paths.
+    """
+    block = [F.shiftright("_row", 33).alias("_part"), "_file", "_block", "_length"]
+    blocks = lines.groupBy(*block).agg(F.count(F.lit(1)).alias("_n"), F.min("_row").alias("_first"))
+    before = Window.orderBy("_file", "_block").rowsBetween(Window.unboundedPreceding, -1)
+    starts = blocks.withColumn("_start", F.coalesce(F.sum("_n").over(before), F.lit(0))).drop("_n")
+    placed = lines.withColumn("_part", F.shiftright("_row", 33)).join(F.broadcast(starts), ["_part", "_file", "_block", "_length"], "left")
+    changed = F.raise_error(F.lit("the input was cut into other blocks than before: set the same spark.sql.files options")).cast("bigint")
+    index = F.when(F.col("_first").isNull(), changed).otherwise(F.col("_start") + F.col("_row") - F.col("_first"))
+    return placed.select(*lines.columns, index.alias(alias))
+
+
 def running_total(df: DataFrame, *order: str, amount: str, alias: str = "before") -> DataFrame:
     """Sum of ``amount`` over the rows before each row in the order of ``order``."""
     pinned = materialize(df.repartitionByRange(*order).withColumn("_part", F.spark_partition_id()), "totals")

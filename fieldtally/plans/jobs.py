@@ -9,9 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fieldtally.catalog import KEY, TARGET, ArrayCells, ColumnCatalog
-from fieldtally.operators.correlate import corr_matrix_vector, corr_target_array
-from fieldtally.operators.engineer import sparse_vector
-from fieldtally.operators.evaluate import confusion_accuracy, parse_predictions
+from fieldtally.operators.correlate import corr_matrix_array, corr_target_array
+from fieldtally.operators.evaluate import confusion_accuracy, grouped_auc, parse_predictions
 from fieldtally.operators.order import cache_input
 from fieldtally.operators.profile import target_profile
 from fieldtally.operators.sampling import (
@@ -160,28 +159,33 @@ def validation_job(spark: SparkSession, path: str, model_path: str, result_path:
 
 
 def accuracy_job(spark: SparkSession, path: str) -> DataFrame:
-    return confusion_accuracy(parse_predictions(spark.read.text(path)))
+    """Confusion counts and accuracy of prediction lines; of lines with a score also its exact area under the curve and the variance."""
+    rows = parse_predictions(spark.read.text(path))
+    area = grouped_auc(rows).select(F.struct("auc", F.sqrt("variance").alias("deviation"))).scalar()
+    return confusion_accuracy(rows).withColumns({"auc": area["auc"], "auc_deviation": area["deviation"]})
 
 
-def sample_job(spark: SparkSession, path: str, out: str) -> None:
+def sample_job(spark: SparkSession, path: str, out: str, header: str | None = None) -> None:
     """About 1 % of the data lines, without the header."""
-    raw, plan = open_wide(spark, path, needed=[KEY])
+    raw, plan = open_wide(spark, path, needed=[KEY], header=header)
     sample = nested_sample(raw, plan.key(), SAMPLE, SAMPLE, (SAMPLE_SEED, f"{SAMPLE_SEED}b"))
     write_lines(sample.select(F.concat_ws(",", "cells")), out)
 
 
-def profile_job(spark: SparkSession, path: str) -> DataFrame:
-    raw, plan = open_wide(spark, path, needed=[TARGET])
+def profile_job(spark: SparkSession, path: str, header: str | None = None) -> DataFrame:
+    raw, plan = open_wide(spark, path, needed=[TARGET], header=header)
     return target_profile(raw, plan.target())
 
 
-def correlation_job(spark: SparkSession, path: str, matrix_path: str, pairs_path: str | None = None) -> None:
-    """Pearson matrix of the cleaned columns of a sampled file, label first; optionally target pairs."""
-    raw, plan = open_wide(spark, path)
+def correlation_job(spark: SparkSession, path: str, matrix_path: str, pairs_path: str | None = None, header: str | None = None,
+                    all_columns: bool = False) -> None:
+    """Pearson matrix of the cleaned columns of a sampled file, label first; optionally target pairs. ``all_columns`` drops none."""
+    spec = RecordSpec(drop_names=(), drop_prefixes=()) if all_columns else None
+    raw, plan = open_wide(spark, path, spec, header=header)
     rows = target_sample(plan.select_rows(raw), plan.target(), plan.key(), CORRELATION, case_sensitive=plan.spec.case_sensitive)
-    joint = plan.to_arrays(rows).select(F.concat(F.array("label"), "values").alias("values"))
-    vectors = sparse_vector(joint, "values", plan.width + 1).select("features")
-    write_corr_matrix(corr_matrix_vector(vectors), matrix_path)
+    # Written once: the shift is found from a few of the rows, and the sums from all.
+    joint = materialize(plan.to_arrays(rows).select(F.concat(F.array("label"), "values").alias("values")), "arrays")
+    write_corr_matrix(corr_matrix_array(joint, "values", plan.width + 1), matrix_path)
     if pairs_path:
         write_corr_pairs(species_pairs(raw, plan), pairs_path)
 
@@ -196,9 +200,10 @@ def species_pairs(raw: DataFrame, plan: RecordPlan) -> DataFrame:
     return pairs.filter(F.col("pos").between(min(wanted), max(wanted))).select(named, "r").filter(F.col("name").isin(species))
 
 
-def combined_job(spark: SparkSession, path: str, validation_path: str, model_path: str, prediction_path: str) -> DataFrame:
+def combined_job(spark: SparkSession, path: str, validation_path: str, model_path: str, prediction_path: str,
+                 header: str | None = None) -> DataFrame:
     """Split, train a deep forest, score the validation part, report its accuracy."""
-    raw, plan = open_wide(spark, path, RecordSpec(fold_year=True))
+    raw, plan = open_wide(spark, path, RecordSpec(fold_year=True), header=header)
     parts = random_split(raw, plan.key(), SPLIT, SPLIT_SEED)
     held = parts.filter(F.col("split") == "validation")
     write_lines(held.select(F.concat_ws(",", "cells").alias("value")), validation_path)
@@ -209,5 +214,5 @@ def combined_job(spark: SparkSession, path: str, validation_path: str, model_pat
         frame.unpersist()
     save_model(spark, model, plan, model_path)
     scored = score_validation(model, plan.transform(held), plan.spec.key)
-    write_lines(scored.select(plan.spec.key, "label", "prediction"), prediction_path)
+    write_lines(scored.select(plan.spec.key, "label", "prediction", "score"), prediction_path)
     return accuracy_job(spark, prediction_path)

@@ -6,6 +6,8 @@ from fieldtally.operators import order as o
 from fieldtally.operators.sampling import subtract_lines
 from fieldtally.queries.registry import query, r6, sql_r6
 from fieldtally.queries.tables import obs, table
+from fieldtally.session import fresh_folder
+from fieldtally.sources import text
 
 
 @query("o1_zip_index", "SELECT event_id, user_id, row_number() OVER (ORDER BY event_id) - 1 AS index FROM events")
@@ -13,6 +15,25 @@ def zip_index(spark, d):
     return o.zip_index(table(spark, d, "events").select("event_id", "user_id"), "event_id")
 
 
+def event_files(spark, d):
+    """The events as a folder of bzip2 files that hold them in the order of their identifiers, each under a header."""
+    path = fresh_folder(spark, "ordered")
+    ordered = table(spark, d, "events").repartitionByRange(5, "event_id").sortWithinPartitions("event_id")
+    ordered.select("event_id", "event_type").write.csv(path, header=True, compression="bzip2")
+    return path
+
+
+@query(
+    "o1_input_index",
+    "SELECT concat_ws(',', CAST(event_id AS VARCHAR), event_type) AS value, row_number() OVER (ORDER BY event_id) - 1 AS index FROM events",
+)
+def input_index(spark, d):
+    """Lines of several compressed files numbered in place, without their headers."""
+    path = event_files(spark, d)
+    lines = text.read_lines(spark, path, in_order=True, without=text.read_header(spark, path))
+    return o.input_index(lines).select("value", "index")
+
+
 @query(
     "o1_zip_index_pair",
     "SELECT l_orderkey, l_linenumber, row_number() OVER (ORDER BY l_orderkey, l_linenumber) - 1 AS index FROM lineitem",

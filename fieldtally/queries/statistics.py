@@ -252,6 +252,39 @@ def auc_roc(spark, d):
     return spark.range(1).select(r6(F.lit(area)).alias("auc"))
 
 
+_PLACES = """
+    h AS (SELECT {g} s, sum(y) AS p, sum(1 - y) AS q FROM t GROUP BY {g} s),
+    b AS (SELECT *, coalesce(sum(q) OVER below, 0) + q / 2 AS won, coalesce(sum(p) OVER below, 0) + p / 2 AS lost FROM h
+        WINDOW below AS ({w} ORDER BY s ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+    v AS (SELECT {g} sum(p) AS np, sum(q) AS nq, sum(p * won) AS w1, sum(p * won * won) AS w2, sum(q * lost) AS l1, sum(q * lost * lost) AS l2
+        FROM b {by})
+    SELECT {g} CAST(np AS BIGINT) AS positives, CAST(nq AS BIGINT) AS negatives, """
+_AREA = f"""{sql_r6('w1 / (np * nq)')} AS auc,
+    round(((w2 - w1 * w1 / np) / (nq * nq * (np - 1)) / np + (l2 - l1 * l1 / nq) / (np * np * (nq - 1)) / nq) * 1e6, 6) AS variance FROM v"""
+
+
+def _areas(rows, groups):
+    found = evaluate.grouped_auc(rows, groups)
+    return found.select(*groups, "positives", "negatives", r6(F.col("auc")).alias("auc"), F.round(F.col("variance") * 1e6, 6).alias("variance"))
+
+
+@query(
+    "a8_auc_by_group",
+    f"""{WITH_OBS}, t AS (SELECT protocol, month, {_LABEL} AS y, round(value, 0) AS s FROM obs),
+        {_PLACES.format(g='protocol, month,', w='PARTITION BY protocol, month', by='GROUP BY protocol, month')} {_AREA}""",
+)
+def auc_by_group(spark, d):
+    """Area and variance for each protocol and month, with many tied scores."""
+    rows = obs(spark, d).select("protocol", "month", target_label(F.col("target_raw")).alias("label"), F.round("value", 0).alias("score"))
+    return _areas(rows, ["protocol", "month"])
+
+
+@query("a8_auc_variance", f"{WITH_OBS}, t AS (SELECT {_LABEL} AS y, value AS s FROM obs), {_PLACES.format(g='', w='', by='')} {_AREA}")
+def auc_variance(spark, d):
+    """Area and variance over all rows, in a frame; running counts go over ranges of scores."""
+    return _areas(obs(spark, d).select(target_label(F.col("target_raw")).alias("label"), F.col("value").alias("score")), [])
+
+
 @query(
     "a9_group_rows",
     f"""SELECT user_id, count(*) AS n, count(DISTINCT event_type) AS types, min(event_id) AS first, max(event_id) AS last,

@@ -12,13 +12,16 @@ from fieldtally.catalog import ArrayCells, ColumnCatalog
 
 
 def read_lines(
-    spark: SparkSession, path: str, in_order: bool = False, partitions: int | None = None
+    spark: SparkSession, path: str, in_order: bool = False, partitions: int | None = None, without: str | None = None
 ) -> DataFrame:
-    """Lines of a file or folder as ``value``; ``.bz2`` is decompressed in parallel splits.
+    """Lines of a file or folder as ``value``, but those equal to ``without``; ``.bz2`` is decompressed in parallel splits.
 
-    ``in_order=True`` adds ``_file``, ``_block`` and ``_row``, which sort as the input does.
+    ``in_order=True`` adds ``_file``, ``_block`` and ``_row``, which sort as the input does, and ``_length``, the block's; ``input_index``
+    numbers the lines from them.
     """
     lines = spark.read.text(path)
+    if without is not None:
+        lines = lines.filter(F.col("value") != F.lit(without))
     if partitions and not in_order:
         lines = lines.repartition(partitions)
     if in_order:
@@ -26,6 +29,7 @@ def read_lines(
             "value",
             F.col("_metadata.file_path").alias("_file"),
             F.col("_metadata.file_block_start").alias("_block"),
+            F.col("_metadata.file_block_length").alias("_length"),
             F.monotonically_increasing_id().alias("_row"),
         )
     return lines
@@ -83,7 +87,7 @@ def read_wide(
     else:
         upto = max(catalog.position(n) for n in needed)
     head_upto = max((catalog.position(n) for n in tested), default=-1)
-    lines = read_lines(spark, path, in_order).filter(F.col("value") != F.lit(header))
+    lines = read_lines(spark, path, in_order, without=header)
     return split_cells(lines, upto=upto, head_upto=head_upto), ArrayCells(catalog, head_upto=head_upto)
 
 

@@ -204,3 +204,57 @@ def test_files_without_a_header(spark, wide_path, tmp_path):
         assert spark.read.text(f"{model}-scores").count() == rows + 1
     jobs.validation_job(spark, source, paths[1], str(tmp_path / "held"), part="validation")
     assert jobs.accuracy_job(spark, str(tmp_path / "held")).first().total == rows
+
+
+def test_jobs_read_files_without_a_header(spark, wide_path, tmp_path):
+    """Profile, sample, correlate and combined of a file whose names are given apart equal those of the file with a header."""
+    lines = (wide_path / "plain.csv").read_text().splitlines()
+    (tmp_path / "bare.csv").write_text("\n".join(lines[1:]) + "\n")
+    bare, source, header = str(tmp_path / "bare.csv"), str(wide_path / "plain.csv"), lines[0]
+    assert jobs.profile_job(spark, bare, header).collect() == jobs.profile_job(spark, source).collect()
+    for path, where, names in ((bare, "a", header), (source, "b", None)):
+        jobs.sample_job(spark, path, str(tmp_path / f"sample-{where}"), names)
+    samples = [sorted(r.value for r in spark.read.text(str(tmp_path / f"sample-{w}")).collect()) for w in "ab"]
+    assert samples[0] == samples[1] and samples[0]
+    report = jobs.combined_job(spark, bare, *(str(tmp_path / n) for n in ("validation", "model", "predictions")), header=header).first()
+    assert report.total > 100 and 0.5 < report.auc <= 1 and 0 <= report.auc_deviation < 0.2
+    assert spark.read.text(str(tmp_path / "validation")).count() == report.total
+
+
+def test_correlation_of_all_columns(spark, wide_path, tmp_path):
+    lines = (wide_path / "plain.csv").read_text().splitlines()
+    (tmp_path / "bare.csv").write_text("\n".join(lines[1:]) + "\n")
+    jobs.correlation_job(spark, str(tmp_path / "bare.csv"), str(tmp_path / "matrix"), header=lines[0], all_columns=True)
+    _, plan = jobs.open_wide(spark, str(wide_path / "plain.csv"), RecordSpec(drop_names=(), drop_prefixes=()))
+    matrix = spark.read.parquet(str(tmp_path / "matrix"))
+    assert plan.width > 1657 and matrix.count() == (plan.width + 1) ** 2
+
+
+def test_index_follows_the_input(spark, wide_path, tmp_path):
+    """Several bzip2 and plain files, each cut into splits: the index is the line's number in the files' order."""
+    import bz2
+
+    from fieldtally.operators.order import input_index
+    from fieldtally.sources.text import read_lines
+
+    lines = (wide_path / "plain.csv").read_text().splitlines()
+    header, rows = lines[0], [f"{i},{v[:3000]}" for i, v in enumerate(lines[1:])]
+    parts = [rows[:400], rows[400:401], [], rows[401:700], rows[700:]]
+    for k, part in enumerate(parts):
+        text = "\n".join([header, *part]) + "\n"
+        (tmp_path / f"part-{k}.txt.bz2").write_bytes(bz2.compress(text.encode(), 1)) if k % 2 else (tmp_path / f"part-{k}.txt").write_text(text)
+    options = {"spark.sql.files.maxPartitionBytes": "40000", "spark.sql.files.openCostInBytes": "10000"}
+    before = {k: spark.conf.get(k) for k in options}
+    try:
+        for k, v in options.items():
+            spark.conf.set(k, v)
+        source = read_lines(spark, str(tmp_path), in_order=True, without=header)
+        assert source.select("_file", "_block").distinct().count() > 10
+        numbered = input_index(source)
+        found = [r.value for r in numbered.orderBy("index").collect()]
+        assert found == rows and [r["index"] for r in numbered.orderBy("index").collect()] == list(range(len(rows)))
+        plan = numbered._jdf.queryExecution().executedPlan().toString()
+        assert "rangepartitioning" not in plan and "SortMergeJoin" not in plan
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)

@@ -227,3 +227,20 @@ def test_no_matrix_on_the_driver(spark):
     matrix = correlate.corr_matrix_array(rows, "values")
     assert matrix.count() == 1657**2
     assert matrix.filter("i = j AND r IS NOT NULL AND abs(r - 1) > 1e-9").count() == 0
+
+
+def test_area_and_variance_equal_all_pairs(spark):
+    chance = np.random.default_rng(5)
+    rows = [(g, int(chance.integers(2)), float(chance.integers(12)) / 4) for g in "ab" for _ in range(90)] + [("c", 1, 1.0), ("d", 0, 1.0), ("d", 1, 2.0)]
+    odd = [("a", None, 1.0), ("a", 1, None), ("b", 7, 1.0)]
+    found = {r.g: r for r in evaluate.grouped_auc(spark.createDataFrame(rows + odd, "g string, label int, score double"), ["g"]).collect()}
+    for g in "ab":
+        p, q = (np.array([s for h, y, s in rows if h == g and y == k]) for k in (1, 0))
+        wins = (p[:, None] > q[None, :]) + 0.5 * (p[:, None] == q[None, :])
+        assert (found[g].positives, found[g].negatives) == wins.shape
+        assert found[g].auc == pytest.approx(wins.mean())
+        assert found[g].variance == pytest.approx(wins.mean(axis=1).var(ddof=1) / len(p) + wins.mean(axis=0).var(ddof=1) / len(q))
+    assert found["c"].auc is None and found["d"].auc == 1.0 and found["d"].variance is None
+    whole = evaluate.grouped_auc(spark.createDataFrame(rows, "g string, label int, score double"))
+    assert whole.first().auc == pytest.approx(evaluate.auc_roc(spark.createDataFrame(rows, "g string, label int, score double")))
+    assert evaluate.grouped_auc(spark.createDataFrame([], "label int, score double")).first().auc is None
