@@ -41,6 +41,11 @@ def parser() -> argparse.ArgumentParser:
             scoring.add_argument("--held-out", action="store_true", help="only the rows that training held out")
     job("accuracy", "confusion counts of id,label,prediction lines", "input")
     combined = job("combined", "split, train a forest, score the rest, report", "input", "validation", "model", "predictions")
+    linear = job("linear", "add a file of numbers, target last, to the statistics of linear shard models", "input", "state")
+    linear.add_argument("names", nargs="+", help="column names, the target last")
+    linear.add_argument("--part", default="0", help="name of this file's statistics")
+    linear.add_argument("--shards", type=int, default=4)
+    job("predict-mean", "mean prediction of the linear shard models for each line", "input", "state", "output")
     for one in (profile, sample, correlate, train, ensemble, combined):
         one.add_argument("--header", help="file whose first line has the column names, for an input without them")
     return top
@@ -69,6 +74,10 @@ def main(argv: list[str] | None = None) -> None:
             jobs.validation_job(spark, args.input, args.model, args.output, args.vote, "validation" if args.held_out else "all")
         case "accuracy":
             jobs.accuracy_job(spark, args.input).show()
+        case "linear":
+            jobs.linear_fit_job(spark, args.input, args.state, args.names, args.part, args.shards)
+        case "predict-mean":
+            jobs.linear_predict_job(spark, args.input, args.state, args.output)
         case "combined":
             jobs.combined_job(spark, args.input, args.validation, args.model, args.predictions, header).show()
 

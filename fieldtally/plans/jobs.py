@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from fieldtally.catalog import KEY, TARGET, ArrayCells, ColumnCatalog
 from fieldtally.operators.correlate import corr_matrix_array, corr_target_array
 from fieldtally.operators.evaluate import confusion_accuracy, grouped_auc, parse_predictions
+from fieldtally.operators.least_squares import load_state, save_state, solve_states, state_of
 from fieldtally.operators.order import cache_input
 from fieldtally.operators.profile import target_profile
 from fieldtally.operators.sampling import (
@@ -25,12 +26,13 @@ from fieldtally.operators.sampling import (
 )
 from fieldtally.operators.score import score_test, score_validation
 from fieldtally.operators.train import ENSEMBLE, ENSEMBLE_SIZE, deep_forest, fit, fit_ensemble, fit_kind, logistic_l1
+from fieldtally.operators.shards import mean_linear_prediction, shard_of
 from fieldtally.operators.stumps import Stumps
 from fieldtally.operators.vote import Vote
 from fieldtally.plans.record import RecordPlan, RecordSpec
 from fieldtally.session import materialize
 from fieldtally.sources.sinks import write_corr_matrix, write_corr_pairs, write_lines, write_submission
-from fieldtally.sources.text import read_header, read_wide
+from fieldtally.sources.text import cast_row, read_header, read_lines, read_wide, split_cells
 
 # Split weights and seeds.
 SPLIT = {"train": 0.8, "validation": 0.2}
@@ -216,3 +218,27 @@ def combined_job(spark: SparkSession, path: str, validation_path: str, model_pat
     scored = score_validation(model, plan.transform(held), plan.spec.key)
     write_lines(scored.select(plan.spec.key, "label", "prediction", "score"), prediction_path)
     return accuracy_job(spark, prediction_path)
+
+
+def number_lines(spark: SparkSession, path: str, names: Sequence[str]) -> DataFrame:
+    """Lines of numbers as columns ``value`` (the line) and one for each name; what is no number is null."""
+    split = split_cells(read_lines(spark, path).withColumn("line", F.col("value")), line="line")
+    return cast_row(split).select("value", *[F.get("numbers", F.lit(i)).alias(n) for i, n in enumerate(names)])
+
+
+def linear_fit_job(spark: SparkSession, path: str, state_path: str, names: Sequence[str], part: str = "0", shards: int = 4) -> None:
+    """Lines of numbers, the last named column the target → the statistics of ``shards`` linear models, added to those in the folder.
+
+    A further file is a further ``part``; the rows of the files before are not read again.
+    """
+    rows = number_lines(spark, path, names)
+    state = state_of(rows, shard_of(F.col("value"), shards), names[:-1], names[-1])
+    save_state(state, names[:-1], names[-1], state_path, part)
+
+
+def linear_predict_job(spark: SparkSession, path: str, state_path: str, out: str) -> None:
+    """Lines of numbers, features first → ``line…,prediction``: the mean of the predictions of all shard models."""
+    state, features, _ = load_state(spark, state_path)
+    models = solve_states(state, len(features) + 1)
+    predicted = mean_linear_prediction(number_lines(spark, path, features), models, features)
+    write_lines(predicted.select("value", "prediction"), out)

@@ -7,6 +7,7 @@ from fieldtally.queries import (  # noqa: F401
     engineering,
     models,
     ordering,
+    regression,
     sampling,
     scans,
     statistics,
