@@ -5,7 +5,7 @@ from __future__ import annotations
 import argparse
 
 from fieldtally.operators.train import ENSEMBLE, ENSEMBLE_SIZE, KINDS
-from fieldtally.plans import jobs
+from fieldtally.plans import jobs, store
 from fieldtally.session import get_session
 from fieldtally.sources.text import count_records, read_header
 
@@ -26,6 +26,7 @@ def parser() -> argparse.ArgumentParser:
     sample = job("sample", "write a one per cent sample", "input", "output")
     correlate = job("correlate", "write the correlation matrix and the target's pairs", "input", "matrix", "pairs")
     correlate.add_argument("--all-columns", action="store_true", help="drop no column")
+    prepare = job("prepare", "cut and clean a file once, for jobs with --prepared", "input", "store")
     train = job("train", "fit and save a model on the training part", "input", "model")
     train.add_argument("--kind", choices=sorted(KINDS), default="logistic_l1")
     train.add_argument("--all-rows", action="store_true", help="hold nothing out")
@@ -46,7 +47,9 @@ def parser() -> argparse.ArgumentParser:
     linear.add_argument("--part", default="0", help="name of this file's statistics")
     linear.add_argument("--shards", type=int, default=4)
     job("predict-mean", "mean prediction of the linear shard models for each line", "input", "state", "output")
-    for one in (profile, sample, correlate, train, ensemble, combined):
+    for one in (profile, correlate, train):
+        one.add_argument("--prepared", action="store_true", help="the input is a prepared store")
+    for one in (prepare, profile, sample, correlate, train, ensemble, combined):
         one.add_argument("--header", help="file whose first line has the column names, for an input without them")
     return top
 
@@ -55,7 +58,18 @@ def main(argv: list[str] | None = None) -> None:
     args = parser().parse_args(argv)
     spark = get_session(f"fieldtally {args.job}", args.master)
     header = read_header(spark, args.header) if getattr(args, "header", None) else None
+    if getattr(args, "prepared", False):
+        match args.job:
+            case "profile":
+                store.profile_prepared(spark, args.input).show()
+            case "correlate":
+                store.correlate_prepared(spark, args.input, args.matrix, args.pairs)
+            case "train":
+                store.train_prepared(spark, args.input, args.model, args.kind, hold_out=not args.all_rows)
+        return
     match args.job:
+        case "prepare":
+            store.prepare_job(spark, args.input, args.store, header=header)
         case "count":
             print(count_records(spark, args.input))
         case "profile":

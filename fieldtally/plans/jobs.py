@@ -194,9 +194,13 @@ def correlation_job(spark: SparkSession, path: str, matrix_path: str, pairs_path
 
 def species_pairs(raw: DataFrame, plan: RecordPlan) -> DataFrame:
     """(name, r): label against every species, in one pass."""
+    return species_only(corr_target_array(plan.to_arrays(raw), "label", "values", plan.width), plan)
+
+
+def species_only(pairs: DataFrame, plan: RecordPlan) -> DataFrame:
+    """(name, r) of the species among (pos, r) of all features."""
     names = plan.feature_names
     species = {e.unique_name for e in plan.catalog.species(without=plan.spec.target)}
-    pairs = corr_target_array(plan.to_arrays(raw), "label", "values", plan.width)
     wanted = [i for i, n in enumerate(names) if n in species]
     named = F.get(F.array(*[F.lit(n) for n in names]), F.col("pos")).alias("name")
     return pairs.filter(F.col("pos").between(min(wanted), max(wanted))).select(named, "r").filter(F.col("name").isin(species))
