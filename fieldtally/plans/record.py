@@ -126,11 +126,13 @@ class RecordPlan:
         return F.concat(*parts, *([self.cells.run(run)] if run else []))
 
     def feature_array(self) -> Column:
-        """All features of a staged frame as ``array<double>``; index and row key seed the draws."""
+        """All features of a staged frame as ``array<double>``; a cell's position in the file and the row key seed its draws, whatever
+        else is kept."""
         key, strict = self.key(), self.spec.case_sensitive
+        positions = F.array(*[F.lit(str(e.position)) for e in self.kept])
 
         def rule(cell: Column, index: Column) -> Column:
-            return c.clean_count(cell, index.cast("string"), key, strict)
+            return c.clean_count(cell, F.get(positions, index), key, strict)
 
         hour, first, second, lat, lon = [F.col(n) for n in self._numbers()]
         extra = engineered(

@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from fieldtally.catalog import DROP_NAMES, DROP_PREFIXES, ArrayCells, ColumnCatalog, NamedCells
+from fieldtally.catalog import ArrayCells, ColumnCatalog, NamedCells
 from fieldtally.functions.features import EARTH_RADIUS_KM, PROTOCOLS
 from fieldtally.operators import columns as k
 from fieldtally.plans.record import RecordPlan, RecordSpec
@@ -26,8 +26,21 @@ NAMES = list(RAW_NAMES.values())
 CATALOG = ColumnCatalog(NAMES)
 
 
+# What the catalog and the drop rules must find in the narrow table, by position.
+_FAMILIES = (
+    ("identifier", (0, 1)),
+    ("covariate", (2, 3, 4, 5, 6, 7, 8, 12, 13, 14, 15)),
+    ("species", (9, 10, 11)),
+    ("climate", (16, 17)),
+    ("monthly_climate", range(18, 37)),
+)
+_SPECIES = ("Zenaida_macroura", "Agelaius_phoeniceus", "Turdus_migratorius")
+_KEPT = {"MONTH": 5, "TIME": 6, "PRIMARY_CHECKLIST_FLAG": 8, "Zenaida_macroura": 9, "Agelaius_phoeniceus": 10, "Turdus_migratorius": 11,
+         "BCR": 15, "CAUS_PREC": 16, "CAUS_SNOW": 17}
+
+
 def _catalog_sql():
-    values = ", ".join(f"({e.position}, '{e.name}', '{e.unique_name}', '{e.family}')" for e in CATALOG.entries)
+    values = ", ".join(f"({p}, '{NAMES[p]}', '{NAMES[p]}', '{family}')" for family, places in _FAMILIES for p in places)
     counts = " UNION ALL ".join(
         f"SELECT '{n}' AS name, count(CASE WHEN CAST({n} AS VARCHAR) = '?' THEN 1 END) AS missing FROM checklist"
         for n in NAMES
@@ -48,7 +61,7 @@ def column_catalog(spark, d):
 
 @query(
     "k2_column_position",
-    f"""{WITH_CHECKLIST} SELECT {CATALOG.position('TIME')} AS position, \"TIME\" AS cell, count(*) AS n
+    f"""{WITH_CHECKLIST} SELECT 6 AS position, \"TIME\" AS cell, count(*) AS n
         FROM checklist GROUP BY \"TIME\"""",
 )
 def column_position(spark, d):
@@ -64,15 +77,12 @@ def column_position(spark, d):
 
 @query(
     "k3_species_columns",
-    f"{WITH_CHECKLIST} SELECT SAMPLING_EVENT_ID, {', '.join(e.name for e in CATALOG.species())} FROM checklist",
+    f"{WITH_CHECKLIST} SELECT SAMPLING_EVENT_ID, {', '.join(_SPECIES)} FROM checklist",
 )
 def species_columns(spark, d):
     return k.species_columns(checklist(spark, d), keep=["SAMPLING_EVENT_ID"])
 
 
-_KEPT = [n for n in NAMES if n not in DROP_NAMES and not n.startswith(DROP_PREFIXES)]
-
-
 @query("k4_drop_columns", f"{WITH_CHECKLIST} SELECT {', '.join(_KEPT)} FROM checklist")
 def drop_columns(spark, d):
     return k.drop_columns(checklist(spark, d))
@@ -114,13 +124,13 @@ def _imputed(column, siblings):
 
 def _record_sql(fold_year=False):
     """The record's features written out by hand, one column each."""
-    raw = [n for n in NAMES if (n in _KEPT or fold_year and n == "YEAR") and n != "Agelaius_phoeniceus"]
+    raw = ({"YEAR": 4} if fold_year else {}) | {n: p for n, p in _KEPT.items() if n != "Agelaius_phoeniceus"}
     source = {n: f"CAST({n} AS VARCHAR)" for n in raw}
     source["CAUS_PREC"] = _imputed("CAUS_PREC", {m: f"CAUS_PREC{m:02d}" for m in PREC})
     source["CAUS_SNOW"] = _imputed("CAUS_SNOW", {m: f"CAUS_SNOW{m:02d}" for m in SNOW})
     if fold_year:
         source["YEAR"] = "CAST(YEAR % 2 AS VARCHAR)"
-    out = [sql_clean(source[n], f"'{i}'", "SAMPLING_EVENT_ID") for i, n in enumerate(raw)]
+    out = [sql_clean(source[n], f"'{p}'", "SAMPLING_EVENT_ID") for n, p in raw.items()]
     out += [f"CASE WHEN COUNT_TYPE = '{w}' THEN 1 ELSE 0 END" for w in EVENT_TYPES]
     hour = sql_number("TIME")
     out += [
@@ -160,31 +170,29 @@ def clean_record_with_year(spark, d):
     return _record(spark, d, fold_year=True)
 
 
+# Positions in the wide file: of the kept cells, of imputed climate cells with their monthly siblings, and of the two elevations.
+_KEPT_AT = ((5, 5), (7, 7), (12, 14), (16, 16), (18, 25), (27, 952), (955, 957), (960, 960), (963, 967), (1078, 1083), (1090, 1101))
+_MONTHLY_AT = {963 + k: {m: 1018 + 13 * k + m for m in range(1, 14)} for k in range(4)} | {967: {1: 1071, 2: 1072, 3: 1073, 4: 1074, 10: 1075, 11: 1076, 12: 1077}}
+_ELEVATION_AT = (958, 959)
+
+
 def _wide_sql():
     """Features of the 1,657-cell record as a long list of (key, index, value), then one row per key."""
-    catalog = ColumnCatalog(wide_header())
-    plan = RecordPlan(RecordSpec(), ArrayCells(catalog))
-    at = catalog.position
-    index = {e.position: i for i, e in enumerate(plan.kept)}
-    positions = ", ".join(str(e.position) for e in plan.kept)
     month = "greatest(1, CAST(cells[6] AS INT))"
     cases = []
-    for name in RecordSpec().climate:
-        siblings = catalog.siblings(name)
-        branches = " ".join(f"WHEN {m} THEN cells[{at(s) + 1}]" for m, s in siblings.items())
-        cases.append(
-            f"WHEN p = {at(name)} AND cells[p + 1] = '?' THEN CASE {month} {branches} ELSE '0' END"
-        )
+    for place, siblings in _MONTHLY_AT.items():
+        branches = " ".join(f"WHEN {m} THEN cells[{p + 1}]" for m, p in siblings.items())
+        cases.append(f"WHEN p = {place} AND cells[p + 1] = '?' THEN CASE {month} {branches} ELSE '0' END")
     first_species, last_species = 19, 952
-    offset = ", ".join(f"({p}, {i})" for p, i in index.items())
+    offset = ", ".join(f"({p}, {i})" for i, p in enumerate(p for first, last in _KEPT_AT for p in range(first, last + 1)))
     return f"""{WITH_WIDE}, places(p, i) AS (VALUES {offset}),
         raw AS (SELECT e, i, p, CASE {' '.join(cases)} ELSE cells[p + 1] END AS cell FROM wide CROSS JOIN places),
-        clean AS (SELECT e, i, p, {sql_clean('cell', 'i', "concat('S', e)")} AS v FROM raw),
+        clean AS (SELECT e, i, p, {sql_clean('cell', 'p', "concat('S', e)")} AS v FROM raw),
         kept AS (SELECT e, count(*) AS n, sum(CASE WHEN v <> 0 THEN 1 ELSE 0 END) AS filled, sum(v) AS total,
             sum(CASE WHEN p BETWEEN {first_species} AND {last_species} THEN v ELSE 0 END) AS counted,
             sum(v * i) AS weighted FROM clean GROUP BY e),
         extra AS (SELECT e, cells[27] AS target, {sql_number('cells[8]')} AS hour, cells[12] AS protocol,
-            ({sql_number(f'cells[{at("ELEV_GT") + 1}]')} + {sql_number(f'cells[{at("ELEV_NED") + 1}]')}) / 2 AS elevation
+            ({sql_number(f'cells[{_ELEVATION_AT[0] + 1}]')} + {sql_number(f'cells[{_ELEVATION_AT[1] + 1}]')}) / 2 AS elevation
             FROM wide)
         SELECT concat('S', CAST(e AS VARCHAR)) AS SAMPLING_EVENT_ID, {sql_label('target')} AS label,
             CAST(n + 28 AS BIGINT) AS width, CAST(filled AS BIGINT) AS filled, {sql_r6('counted')} AS counted,
