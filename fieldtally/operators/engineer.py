@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from fieldtally.functions import features as f
 from fieldtally.functions.cells import to_number
 from fieldtally.operators.columns import as_column
-from fieldtally.operators.profile import array_moments
+from fieldtally.operators.profile import array_state, moments_of
 
 ENGINEERED = 28
 LABEL_META = {"ml_attr": {"type": "nominal", "num_vals": 2}}
@@ -78,9 +78,12 @@ def zscore(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return df.select(*[scaled(c).alias(c) if c in set(columns) else F.col(c) for c in df.columns])
 
 
-def zscore_array(df: DataFrame, array: str, width: int, skip_last: int = ENGINEERED) -> DataFrame:
-    """``zscore`` on all positions but the last ``skip_last`` of an ``array<double>``."""
-    stats = array_moments(df, array, width).filter(F.col("pos") < width - skip_last)
+def zscore_array(df: DataFrame, array: str, width: int, skip_last: int = ENGINEERED, state: DataFrame | None = None) -> DataFrame:
+    """``zscore`` on all positions but the last ``skip_last`` of an ``array<double>``.
+
+    With a saved ``state`` of moments the data are not read for them: rows of a later file are scaled as those before.
+    """
+    stats = moments_of(array_state(df, array, width) if state is None else state).filter(F.col("pos") < width - skip_last)
     # Width rows, sorted by position, as two arrays in one row.
     ordered = F.sort_array(F.collect_list(F.struct("pos", "mean", "variance")))
     moments = stats.agg(ordered.alias("m")).scalar()

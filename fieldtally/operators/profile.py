@@ -59,12 +59,13 @@ def mean_variance(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return stats.select(F.inline(F.array(*[F.col(c) for c in columns])))
 
 
-def array_moments(df: DataFrame, array: Column | str, width: int, label: Column | str | None = None) -> DataFrame:
-    """Per position of an ``array<double>``: n, mean, variance and, with a label, its correlation.
+def array_state(df: DataFrame, array: Column | str, width: int, label: Column | str | None = None) -> DataFrame:
+    """Per position of an ``array<double>``: (pos, n, mean, m2, y_mean, y_m2, co), the moments of its entries and of the label beside them.
 
-    Null entries are left out, and with a label the rows without one. Zero entries, most of a species array, are
-    filtered out as soon as they are exploded and added back afterwards from the row count by the pairwise update of
-    moments, which is centred and so loses no digits. At most one partial row per position and task is shuffled.
+    ``m2``, ``y_m2`` and ``co`` are sums of squares and products around the means. Null entries are left out, and with a label the rows
+    without one; without a label it counts as 0. Zero entries, most of a species array, are filtered out as soon as they are
+    exploded and added back afterwards from the row count by the pairwise update of moments, which is centred and so loses
+    no digits. At most one partial row per position and task is shuffled.
     """
     if label is not None:
         df = df.filter(as_column(label).isNotNull())
@@ -108,20 +109,33 @@ def array_moments(df: DataFrame, array: Column | str, width: int, label: Column
     mean1, var1 = F.coalesce("mean1", F.lit(0.0)), F.coalesce("var1", F.lit(0.0))
     n0 = n - n1
     squares = n1 * var1 + n1 * n0 / n * mean1 * mean1
-    columns = [
-        F.col("pos"),
-        F.col("n"),
+    y_mean = F.col("y_mean")
+    y0 = F.when(n0 > 0, (n * y_mean - n1 * F.coalesce("y1", F.lit(0.0))) / F.greatest(n0, F.lit(1.0)))
+    between = F.when(n0 > 0, n1 * n0 / n * mean1 * (F.coalesce("y1", F.lit(0.0)) - y0)).otherwise(F.lit(0.0))
+    return full.select(
+        "pos",
+        "n",
         (n1 * mean1 / n).alias("mean"),
-        F.when(n > 1, squares / F.greatest(n - 1, F.lit(1.0))).alias("variance"),
-    ]
-    if label is not None:
-        y_mean = F.col("y_mean")
-        y0 = F.when(n0 > 0, (n * y_mean - n1 * F.coalesce("y1", F.lit(0.0))) / F.greatest(n0, F.lit(1.0)))
-        between = F.when(n0 > 0, n1 * n0 / n * mean1 * (F.coalesce("y1", F.lit(0.0)) - y0)).otherwise(F.lit(0.0))
-        co_moment = n1 * F.coalesce("cov1", F.lit(0.0)) + between
-        spread = F.sqrt(squares * n * F.col("y_var"))
-        columns.append(F.when(spread > 0, co_moment / F.when(spread > 0, spread)).alias("r"))
-    return full.select(*columns)
+        squares.alias("m2"),
+        "y_mean",
+        (n * F.col("y_var")).alias("y_m2"),
+        (n1 * F.coalesce("cov1", F.lit(0.0)) + between).alias("co"),
+    )
+
+
+def moments_of(state: DataFrame, labelled: bool = False) -> DataFrame:
+    """(pos, n, mean, sample variance) of a state and, if it has a label, the correlation ``r`` with it."""
+    n = F.col("n")
+    columns = ["pos", "n", "mean", F.when(n > 1, F.col("m2") / F.greatest(n - 1, F.lit(1.0))).alias("variance")]
+    if labelled:
+        spread = F.sqrt(F.col("m2") * F.col("y_m2"))
+        columns.append(F.when(spread > 0, F.col("co") / F.when(spread > 0, spread)).alias("r"))
+    return state.select(*columns)
+
+
+def array_moments(df: DataFrame, array: Column | str, width: int, label: Column | str | None = None) -> DataFrame:
+    """Per position of an ``array<double>``: n, mean, variance and, with a label, its correlation; see ``array_state``."""
+    return moments_of(array_state(df, array, width, label), label is not None)
 
 
 def group_rows(df: DataFrame, key: str, summaries: Mapping[str, Column]) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from fieldtally.queries import (  # noqa: F401
     boosting,
+    certificates,
     cleaning,
     columns,
     engineering,
