@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from fieldtally.operators import sampling as s
+from fieldtally.operators.quota import quota_sample
 from fieldtally.queries.registry import query, sql_hash
 from fieldtally.queries.tables import WITH_OBS, obs, table
 from fieldtally.session import fresh_folder
@@ -125,3 +126,36 @@ def nested_sample(spark, d):
 )
 def replicate(spark, d):
     return s.replicate(table(spark, d, "events").select("event_id"), 3)
+
+
+def _draw60_sql(salt, key):
+    return f"CAST(('0x' || substr(md5(concat('{salt}:', CAST({key} AS VARCHAR))), 1, 15)) AS BIGINT)"
+
+
+# Rows of each class of target cells; there are never as many seen ones.
+QUOTAS = {"zero": 150, "missing": 20, "count": 100, "seen": 1_000_000}
+_CLASS = "CASE WHEN target_raw IN ('x', 'X') THEN 'seen' WHEN target_raw = '0' THEN 'zero' WHEN target_raw = '?' THEN 'missing' ELSE 'count' END"
+_QUOTA = f"CASE class {' '.join(f'WHEN {c!r} THEN {n}' for c, n in QUOTAS.items())} END"
+
+
+@query(
+    "f5_class_quota",
+    f"""{WITH_OBS}, classed AS (SELECT event_id, {_CLASS} AS class FROM obs),
+        drawn AS (SELECT *, row_number() OVER (PARTITION BY class ORDER BY {_draw60_sql('quota', 'event_id')}, CAST(event_id AS VARCHAR)) AS place FROM classed)
+        SELECT event_id, class FROM drawn WHERE place <= {_QUOTA}""",
+)
+def class_quota(spark, d):
+    """Exactly so many rows of each class, or all of a smaller one."""
+    rows = obs(spark, d).select("event_id", F.expr(_CLASS).alias("class"))
+    return quota_sample(rows, "class", "event_id", QUOTAS)
+
+
+@query(
+    "f8_exact_sample",
+    f"""SELECT l_orderkey, l_linenumber FROM (SELECT l_orderkey, l_linenumber, row_number() OVER
+        (ORDER BY {_draw60_sql('17', _LINE_KEY)}, {_LINE_KEY}) AS place FROM lineitem) AS t WHERE place <= 1234""",
+)
+def exact_sample(spark, d):
+    rows = table(spark, d, "lineitem").select("l_orderkey", "l_linenumber")
+    key = F.concat_ws("-", "l_orderkey", "l_linenumber")
+    return quota_sample(rows, F.lit("line"), key, {"line": 1234}, 17)
