@@ -24,8 +24,14 @@ def parser() -> argparse.ArgumentParser:
     job("count", "count the lines of a text or bzip2 file", "input")
     profile = job("profile", "count the target's zeros, ones, missing and other cells", "input")
     sample = job("sample", "write a one per cent sample", "input", "output")
+    sample.add_argument("--rows", type=int, help="exactly so many lines instead")
     correlate = job("correlate", "write the correlation matrix and the target's pairs", "input", "matrix", "pairs")
     correlate.add_argument("--all-columns", action="store_true", help="drop no column")
+    categories = job("categories", "estimate the values of every column, count those of columns with few", "input", "output")
+    categories.add_argument("--limit", type=int, default=100, help="values of a column to be counted exactly")
+    moments = job("moments", "add a file's moments of all features to the saved ones", "input", "state")
+    for one in (categories, moments):
+        one.add_argument("--part", default="0", help="name of this file's share; written again, it is replaced")
     prepare = job("prepare", "cut and clean a file once, for jobs with --prepared", "input", "store")
     train = job("train", "fit and save a model on the training part", "input", "model")
     train.add_argument("--kind", choices=sorted(KINDS), default="logistic_l1")
@@ -49,7 +55,7 @@ def parser() -> argparse.ArgumentParser:
     job("predict-mean", "mean prediction of the linear shard models for each line", "input", "state", "output")
     for one in (profile, correlate, train):
         one.add_argument("--prepared", action="store_true", help="the input is a prepared store")
-    for one in (prepare, profile, sample, correlate, train, ensemble, combined):
+    for one in (categories, moments, prepare, profile, sample, correlate, train, ensemble, combined):
         one.add_argument("--header", help="file whose first line has the column names, for an input without them")
     return top
 
@@ -74,8 +80,14 @@ def main(argv: list[str] | None = None) -> None:
             print(count_records(spark, args.input))
         case "profile":
             jobs.profile_job(spark, args.input, header).show()
+        case "categories":
+            jobs.categories_job(spark, args.input, args.output, args.part, header, args.limit)
+            jobs.category_table(spark, args.output).show(100, truncate=60)
+        case "moments":
+            jobs.moments_job(spark, args.input, args.state, args.part, header)
+            jobs.moments_table(spark, args.state).show(100)
         case "sample":
-            jobs.sample_job(spark, args.input, args.output, header)
+            jobs.sample_job(spark, args.input, args.output, header, args.rows)
         case "correlate":
             jobs.correlation_job(spark, args.input, args.matrix, args.pairs, header, args.all_columns)
         case "train":

@@ -119,7 +119,7 @@ def array_state(df: DataFrame, array: Column | str, width: int, label: Column |
         squares.alias("m2"),
         "y_mean",
         (n * F.col("y_var")).alias("y_m2"),
-        (n1 * F.coalesce("cov1", F.lit(0.0)) + between).alias("co"),
+        F.when(n > 0, n1 * F.coalesce("cov1", F.lit(0.0)) + between).alias("co"),
     )
 
 

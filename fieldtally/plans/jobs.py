@@ -12,8 +12,10 @@ from fieldtally.catalog import KEY, TARGET, ArrayCells, ColumnCatalog
 from fieldtally.operators.correlate import corr_matrix_array, corr_target_array
 from fieldtally.operators.evaluate import confusion_accuracy, grouped_auc, parse_predictions
 from fieldtally.operators.least_squares import load_state, save_state, solve_states, state_of
+from fieldtally.operators.moments import load_moments, save_moments
 from fieldtally.operators.order import cache_input
-from fieldtally.operators.profile import target_profile
+from fieldtally.operators.profile import array_state, moments_of, target_profile
+from fieldtally.operators.quota import quota_sample
 from fieldtally.operators.sampling import (
     BALANCE,
     BALANCE_TWO_THIRDS,
@@ -27,6 +29,7 @@ from fieldtally.operators.sampling import (
 from fieldtally.operators.score import score_test, score_validation
 from fieldtally.operators.train import ENSEMBLE, ENSEMBLE_SIZE, deep_forest, fit, fit_ensemble, fit_kind, logistic_l1
 from fieldtally.operators.shards import mean_linear_prediction, shard_of
+from fieldtally.operators.sketches import category_counts, load_sketches, read_sketches, save_sketches, sketch_cells
 from fieldtally.operators.stumps import Stumps
 from fieldtally.operators.vote import Vote
 from fieldtally.plans.record import RecordPlan, RecordSpec
@@ -167,10 +170,13 @@ def accuracy_job(spark: SparkSession, path: str) -> DataFrame:
     return confusion_accuracy(rows).withColumns({"auc": area["auc"], "auc_deviation": area["deviation"]})
 
 
-def sample_job(spark: SparkSession, path: str, out: str, header: str | None = None) -> None:
-    """About 1 % of the data lines, without the header."""
+def sample_job(spark: SparkSession, path: str, out: str, header: str | None = None, rows: int | None = None) -> None:
+    """About 1 % of the data lines, or exactly ``rows`` of them, without the header."""
     raw, plan = open_wide(spark, path, needed=[KEY], header=header)
-    sample = nested_sample(raw, plan.key(), SAMPLE, SAMPLE, (SAMPLE_SEED, f"{SAMPLE_SEED}b"))
+    if rows is None:
+        sample = nested_sample(raw, plan.key(), SAMPLE, SAMPLE, (SAMPLE_SEED, f"{SAMPLE_SEED}b"))
+    else:
+        sample = quota_sample(raw, F.lit("line"), plan.key(), {"line": rows}, SAMPLE_SEED)
     write_lines(sample.select(F.concat_ws(",", "cells")), out)
 
 
@@ -179,6 +185,50 @@ def profile_job(spark: SparkSession, path: str, header: str | None = None) -> Da
     return target_profile(raw, plan.target())
 
 
+def categories_job(spark: SparkSession, path: str, out: str, part: str = "0", header: str | None = None, limit: int = 100) -> None:
+    """Sketches of every raw column of a wide file, and exact counts of the columns with about ``limit`` values or less.
+
+    A further file of the same columns is a further ``part``; ``category_table`` and ``category_totals`` read all parts together.
+    """
+    raw, layout = read_wide(spark, path, header=header)
+    names = [e.unique_name for e in layout.catalog.entries]
+    save_sketches(sketch_cells(raw, "cells", len(names)), f"{out}/sketches", part)
+    spark.createDataFrame([(",".join(names),)], "value string").coalesce(1).write.mode("overwrite").text(f"{out}/columns")
+    own = read_sketches(spark.read.parquet(f"{out}/sketches/part={part}"), names)
+    few = sorted(r.pos for r in own.filter(F.col("distinct") <= limit).select("pos").collect())
+    # Cells after the last counted one need not be cut.
+    narrow, _ = read_wide(spark, path, needed=lambda _: max(few, default=0), header=header)
+    counts = category_counts(narrow, "cells", few, [names[p] for p in few])
+    counts.write.mode("overwrite").parquet(f"{out}/counts/part={part}")
+
+
+def category_table(spark: SparkSession, out: str, k: int = 10) -> DataFrame:
+    """(pos, name, n, missing, distinct, frequent) over all parts, estimated."""
+    return read_sketches(load_sketches(spark, f"{out}/sketches"), read_header(spark, f"{out}/columns").split(","), k)
+
+
+def category_totals(spark: SparkSession, out: str, limit: int = 100) -> DataFrame:
+    """(name, value, rows) over all parts, exactly, of the columns with about ``limit`` values or less in all parts together."""
+    few = category_table(spark, out).filter(F.col("distinct") <= limit).select("name")
+    counts = spark.read.schema("name string, value string, rows bigint").parquet(f"{out}/counts/part=*")
+    return counts.join(F.broadcast(few), "name").groupBy("name", "value").agg(F.sum("rows").alias("rows"))
+
+
+def moments_job(spark: SparkSession, path: str, state_path: str, part: str = "0", header: str | None = None) -> None:
+    """Moments of all features of a wide file, beside those of the label, added to the folder of states."""
+    raw, plan = open_wide(spark, path, header=header)
+    save_moments(array_state(plan.to_arrays(raw), "values", plan.width, "label"), f"{state_path}/states", part)
+    names = ",".join(plan.feature_names)
+    spark.createDataFrame([(names,)], "value string").coalesce(1).write.mode("overwrite").text(f"{state_path}/columns")
+
+
+def moments_table(spark: SparkSession, state_path: str) -> DataFrame:
+    """(pos, name, n, mean, variance, r) of each feature over all files in the folder; ``r`` is its correlation with the label."""
+    names = read_header(spark, f"{state_path}/columns").split(",")
+    found = moments_of(load_moments(spark, f"{state_path}/states"), labelled=True)
+    return found.select("pos", F.get(F.array(*[F.lit(n) for n in names]), F.col("pos")).alias("name"), "n", "mean", "variance", "r")
+
+
 def correlation_job(spark: SparkSession, path: str, matrix_path: str, pairs_path: str | None = None, header: str | None = None,
                     all_columns: bool = False) -> None:
     """Pearson matrix of the cleaned columns of a sampled file, label first; optionally target pairs. ``all_columns`` drops none."""

@@ -3,9 +3,9 @@
 from pyspark.sql import functions as F
 
 from fieldtally.functions.cells import target_label, to_number
-from fieldtally.operators import clean, correlate, evaluate
+from fieldtally.operators import clean, correlate, evaluate, moments, sketches
 from fieldtally.operators import profile as p
-from fieldtally.operators.engineer import sparse_vector
+from fieldtally.operators.engineer import sparse_vector, zscore_array
 from fieldtally.queries.registry import (
     query,
     r6,
@@ -17,6 +17,7 @@ from fieldtally.queries.registry import (
     sql_r6,
 )
 from fieldtally.queries.tables import WITH_OBS, obs, table
+from fieldtally.session import fresh_folder
 
 MEASURES = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 CATEGORIES = ["region_a", "region_b", "protocol", "year"]
@@ -72,6 +73,98 @@ def _matrix_sql(columns, source):
     return cells
 
 
+# Columns as text: few values, many, missing ones, numbers and letters.
+SKETCHED = ["event_id", "user_id", "protocol", "year", "month", "time_raw", "target_raw", "sp1_raw", "elev_a_raw", "snow_raw", "region_a", "value"]
+
+
+def _sketched_rows(spark, d):
+    """The columns with a null where the cell is missing."""
+    return obs(spark, d).select(*[F.nullif(F.col(c).cast("string"), F.lit("?")).alias(c) for c in SKETCHED])
+
+
+def _loaded_sketches(spark, d):
+    """Sketches of three parts, saved one by one and loaded as one."""
+    path = fresh_folder(spark, "sketches")
+    rows = _sketched_rows(spark, d)
+    for part in range(3):
+        own = rows.filter(F.col("event_id").cast("long") % 3 == part)
+        sketches.save_sketches(sketches.sketch_columns(own, SKETCHED), path, f"p{part}")
+    return rows, sketches.read_sketches(sketches.load_sketches(spark, path), SKETCHED)
+
+
+_CELLS = " UNION ALL ".join(f"SELECT '{c}' AS name, nullif(CAST({c} AS VARCHAR), '?') AS value FROM obs" for c in SKETCHED if c != "value")
+
+
+@query(
+    "a2_sketch_table_bounds",
+    f"""{WITH_OBS}, cells AS ({_CELLS}) SELECT name, count(*) AS n, count(*) - count(value) AS missing, true AS close, true AS listed, true AS counted
+        FROM cells GROUP BY name""",
+)
+def sketch_table_bounds(spark, d):
+    """The estimates of all columns, merged from three parts, beside exact counts: the number of values within four deviations, every value
+    of a share beyond twice the error listed, and no listed count off by more than the error."""
+    rows, table_ = _loaded_sketches(spark, d)
+    exact = p.long_form(rows, SKETCHED).groupBy("name", "value").agg(F.count(F.lit(1)).alias("rows"))
+    error = F.lit(sketches.share_error()) * F.col("n")
+    joined = table_.filter("name <> 'value'").join(exact.filter("value IS NOT NULL"), "name")
+    own = F.get(F.filter("frequent", lambda e: e["item"] == F.col("value")), F.lit(0))["count"]
+    checked = joined.groupBy("name", "n", "missing", "distinct").agg(
+        F.count(F.lit(1)).alias("exact"),
+        F.bool_and(own.isNotNull() | (F.col("rows") <= 2 * error) | (F.size("frequent") == 10)).alias("listed"),
+        F.bool_and(own.isNull() | own.between(F.col("rows"), F.col("rows") + error)).alias("counted"),
+    )
+    close = F.abs(F.col("distinct") - F.col("exact")) <= 4 * sketches.distinct_deviation() * F.col("exact")
+    return checked.select("name", "n", "missing", close.alias("close"), "listed", "counted")
+
+
+@query(
+    "a2_category_counts",
+    f"""{WITH_OBS}, cells AS ({_CELLS}), few AS (SELECT name FROM cells GROUP BY name HAVING count(DISTINCT value) <= 40)
+        SELECT name, value, count(*) AS rows FROM cells WHERE value IS NOT NULL AND name IN (SELECT name FROM few) GROUP BY name, value""",
+)
+def category_counts(spark, d):
+    """Exact counts of the columns that the sketches find to have few values."""
+    rows, table_ = _loaded_sketches(spark, d)
+    few = sorted(r.pos for r in table_.filter("distinct <= 40").select("pos").collect())
+    return sketches.category_counts(rows.select(F.array(*SKETCHED).alias("cells")), "cells", few, [SKETCHED[k] for k in few])
+
+
+def _moments_of_parts(spark, d):
+    """Moments of four unequal parts of the vectors, label beside them, every ninth row with a null; saved one by one and loaded as one."""
+    number = lambda v, i: F.when((F.col("vec_id") % 9 == 4) & (i == 5), None).otherwise(v.cast("double") + 1000)
+    rows = table(spark, d, "embeddings").select("vec_id", F.col("label").cast("double").alias("label"), F.transform("embedding", number).alias("v"))
+    path = fresh_folder(spark, "moments")
+    for part, own in enumerate(("vec_id % 17 = 0", "vec_id % 17 IN (1, 2)", "vec_id % 17 BETWEEN 3 AND 15", "vec_id % 17 = 16")):
+        moments.save_moments(p.array_state(rows.filter(own), "v", 64, "label"), path, f"p{part}")
+    return rows, moments.load_moments(spark, path)
+
+
+_ENTRIES = """x AS (SELECT vec_id, CAST(label AS DOUBLE) AS label, CAST(unnest(range(0, 64)) AS INT) AS pos, CAST(unnest(embedding) AS DOUBLE) + 1000 AS v FROM embeddings),
+    held AS (SELECT vec_id, label, pos, CASE WHEN vec_id % 9 <> 4 OR pos <> 5 THEN v END AS v FROM x WHERE label IS NOT NULL)"""
+
+
+@query(
+    "a6_moments_merged",
+    f"""WITH {_ENTRIES} SELECT pos, count(v) AS n, {sql_r6('avg(v)')} AS mean, {sql_r6('var_samp(v)')} AS variance, {sql_r6('corr(v, label)')} AS r
+        FROM held GROUP BY pos""",
+)
+def moments_merged(spark, d):
+    found = p.moments_of(_moments_of_parts(spark, d)[1], labelled=True)
+    return found.select("pos", "n", *[r6(F.col(c)).alias(c) for c in ("mean", "variance", "r")])
+
+
+@query(
+    "e7_zscore_from_state",
+    f"""WITH {_ENTRIES}, m AS (SELECT pos, avg(v) AS mean, var_samp(v) AS variance FROM held GROUP BY pos)
+        SELECT vec_id, pos, round((v - mean) / sqrt(variance), 5) + CAST(0 AS DOUBLE) AS z FROM held JOIN m USING (pos) WHERE pos < 60""",
+)
+def zscore_from_state(spark, d):
+    """Scaled by saved moments: the rows are read once, for themselves."""
+    rows, state = _moments_of_parts(spark, d)
+    scaled = zscore_array(rows.filter("label IS NOT NULL"), "v", 64, skip_last=4, state=state)
+    return scaled.select("vec_id", F.posexplode("v").alias("pos", "z")).filter("pos < 60").withColumn("z", F.round("z", 5) + F.lit(0.0))
+
+
 @query("a3_corr_matrix", _matrix_sql(MEASURES, "lineitem"))
 def corr_matrix(spark, d):
     matrix = correlate.corr_matrix(table(spark, d, "lineitem"), MEASURES)
