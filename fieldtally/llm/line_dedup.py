@@ -7,7 +7,9 @@
    is. A line that it doesn't know was seen in one document. The others are suspects: their digest and document are
    shuffled, counted exactly, and the document that keeps the line is chosen. A fuller filter sends more suspects, never
    another result.
-3. Each document joins the digests that it loses, and its other lines are put together again.
+3. Each document joins the digests that it loses, and its other lines are put together again. A digest that makes up one in
+   ``HOT`` of all rows of that join, of which there are ``HOT`` at most, is looked up in a broadcast and its rows are dealt by
+   document, so that no line is a large task, however many documents hold it.
 
 A line's key is the line without ``[\\x20\\x09-\\x0D]`` at both ends and with A-Z as a-z.
 
@@ -28,8 +30,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import id_and_text
+from .common import id_and_text, materialize
 
+HOT = 1024
 BLOCK_BITS = 1 << 16
 PROBES = 2
 STRIP = " \t\n\x0b\x0c\r"
@@ -133,6 +136,21 @@ def seen_twice(rows: DataFrame, filter_bits: int, min_chars: int) -> DataFrame:
     return sent.repartition("block").mapInArrow(merged, "block int, bits binary")
 
 
+def losses(held: DataFrame, repeated: DataFrame) -> DataFrame:
+    """(doc_id, digest, keep) of the held digests that are repeated; the most frequent ones by a broadcast of ``HOT`` rows at most.
+
+    Their rows pass the other join under a key of their own, longer than any digest.
+    """
+    total = repeated.agg(F.sum("n")).first()[0] or 0
+    frequent = F.col("n") * HOT >= F.lit(total)
+    hot = repeated.filter(frequent).select("digest", F.col("keep").alias("hot_keep"), F.lit(True).alias("hot"))
+    rest = repeated.filter(~frequent).select(F.col("digest").alias("key"), "keep", F.lit(True).alias("cold"))
+    own = F.concat("digest", F.encode(F.coalesce(F.col("doc_id").cast("string"), F.lit("-")), "utf-8"))
+    marked = held.join(F.broadcast(hot), "digest", "left").withColumn("key", F.when(F.col("hot"), own).otherwise(F.col("digest")))
+    joined = marked.join(rest, "key", "left").filter(F.col("hot") | F.col("cold"))
+    return joined.select("doc_id", "digest", F.when(F.col("hot"), F.col("hot_keep")).otherwise(F.col("keep")).alias("keep"))
+
+
 def line_dedup(
     docs: DataFrame, doc_id: str = "doc_id", text: str = "text", min_chars: int = 40, min_docs: int = 5, filter_bits: int = 1 << 27
 ) -> DataFrame:
@@ -167,10 +185,10 @@ def line_dedup(
         .groupBy("digest")
         .agg(F.count("*").alias("n"), F.max("doc_id").alias("keep"))
         .filter(F.col("n") >= min_docs)
-        .select("digest", "keep")
     )
+    repeated = materialize(repeated, "repeated")
     lost = (
-        held.join(repeated, "digest")
+        losses(held, repeated)
         .filter(~F.col("doc_id").eqNullSafe(F.col("keep")))
         .groupBy(F.col("doc_id").alias("of"))
         .agg(F.collect_set("digest").alias("lost"))

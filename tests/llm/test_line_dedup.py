@@ -2,9 +2,13 @@ from collections import defaultdict
 from hashlib import sha256
 
 import numpy as np
+import pytest
 from fixtures import odd_pairs, prose, table
 
-from fieldtally.llm.line_dedup import STRIP, Filters, ascii_lower, line_dedup, line_report, packed, unpacked
+from pyspark.sql import functions as F
+
+from fieldtally.llm import line_dedup as line_dedup_module
+from fieldtally.llm.line_dedup import STRIP, Filters, ascii_lower, line_dedup, line_report, losses, packed, unpacked
 
 
 def brute(pairs, min_chars, min_docs):
@@ -45,6 +49,25 @@ def test_a_full_filter_gives_the_same(spark):
     check(spark, pairs_with_repeats(), filter_bits=1 << 16)
 
 
+@pytest.mark.parametrize("hot", [1, 5, 10**9])
+def test_frequent_lines_by_broadcast(spark, monkeypatch, hot):
+    """None of the lines, some of them, and all by the broadcast give the same."""
+    monkeypatch.setattr(line_dedup_module, "HOT", hot)
+    check(spark, pairs_with_repeats(), filter_bits=1 << 20)
+
+
+def test_a_line_of_most_documents_is_dealt_by_document(spark):
+    """In the join that is dealt by digest, a line of 3,000 documents has many keys; lines of five documents have one each."""
+    held = spark.range(3000).selectExpr("id AS doc_id", "unhex(md5('hot')) AS digest").unionByName(
+        spark.range(6000).selectExpr("id AS doc_id", "unhex(md5(cast(id div 5 as string))) AS digest")
+    )
+    repeated = held.groupBy("digest").agg(F.count("*").alias("n"), F.max("doc_id").alias("keep"))
+    found = losses(held, repeated)
+    assert found.count() == 9000 and found.filter("keep < doc_id OR keep IS NULL").count() == 0
+    assert found.filter("digest = unhex(md5('hot')) AND keep = 2999").count() == 3000
+    assert "BroadcastExchange" in found._jdf.queryExecution().executedPlan().toString()
+
+
 def test_empty_table(nothing):
     assert line_dedup(nothing, filter_bits=1 << 16).collect() == []
 
