@@ -10,11 +10,12 @@ Texts with equal shingle sets are one node. Two nodes link if ``percent`` % of t
    one for each class of sizes, since sets of very unlike sizes don't link. Shingles that come once are in the union of a pair
    but not shared; a node with too many of them beside the least that a list's nodes have can link with none there. Nodes
    that meet in a short list form clusters.
-3. Clusters are searched in groups of about ``block`` nodes. Each node is a query: the short lists of its shingles are merged
-   by a heap that skips what can't reach T - L, and the L longest lists are probed by binary search for each candidate.
-4. A cluster of more than ``block`` nodes is first linked to the smallest node of each list by binary probes. Its nodes outside
-   the largest component so made are then the queries, in blocks, against all of the cluster, in blocks. Pairs inside that
-   component need no search, others are all searched.
+3. Clusters of up to ``PACKED`` nodes are searched in groups of about ``block`` nodes. Each node is a query: the short lists of
+   its shingles are merged by a heap that skips what can't reach T - L, and the L longest lists are probed by binary search for
+   each candidate.
+4. A larger cluster is first linked to the smallest node of each list by binary probes. Its nodes outside the largest component
+   so made are then the queries, in blocks, against all of the cluster, in blocks of about ``block`` nodes. Pairs inside that
+   component need no search, others are all searched. So no query of a group of near copies merges the lists of all the others.
 
 Defined results: texts without words, or null, have an empty set and link with nothing. Rows that repeat an identifier are
 documents of their own; component_id is the smallest identifier reached, null counting as none. An empty table gives no
@@ -44,6 +45,7 @@ SIZE, PERCENT = 4, 85
 FILTER_BITS = 1 << 27
 FREQUENT = 16
 BLOCK = 512
+PACKED = 32  # nodes of a cluster whose queries are all searched: their work grows with the square
 PROBE_COST = 0.05
 BROADCAST_ROWS = 150_000
 _NODE = "doc_id bigint, row bigint, node bigint, n int"
@@ -283,11 +285,12 @@ def node_links(near: DataFrame, percent: int, block: int) -> DataFrame:
     sizes = clusters.groupBy("cluster").agg(F.count("*").alias("size"))
     placed = materialize(clusters.join(sizes, "cluster").select("node", "cluster", "size"), "clusters")
 
-    small = placed.filter(F.col("size") <= block)
+    alone = min(block, PACKED)
+    small = placed.filter(F.col("size") <= alone)
     packs = F.lit(max(1, -(-small.count() // block)))
     pack = part(F.col("cluster"), packs).cast("long").alias("cluster")
     rows = small.select("node", F.col("node").alias("label"), pack, F.lit(3).alias("role"), F.lit(-1).alias("i"), F.lit(-1).alias("q"))
-    large = placed.filter(F.col("size") > block)
+    large = placed.filter(F.col("size") > alone)
     if large.isEmpty():
         return materialize(searched(rows, near, percent), "links")
     first = materialize(probe(met.join(large.select(F.col("node").alias("a")), "a"), near, percent), "links")
