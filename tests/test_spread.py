@@ -35,3 +35,12 @@ def test_rule_rows_are_not_dealt_by_a_few_keys(spark, tmp_path, monkeypatch):
     told = {(r.cat, r.prediction): r.rows for r in models._fit_the_rule(spark, str(tmp_path), "logistic_l1").collect()}
     assert sum(told.values()) == 4000
     assert len(seen[0]) == spark.sparkContext.defaultParallelism and max(seen[0]) < 2 * 4000 / len(seen[0])
+
+
+def test_tasks_of_wide_lines_grow_in_number(spark, tmp_path, monkeypatch):
+    from fieldtally.queries import tables
+
+    spark.range(1000).select(F.col("id").alias("event_id"), F.col("id").alias("user_id")).write.parquet(f"{tmp_path}/events.parquet")
+    monkeypatch.setattr(tables, "WIDE_ROWS", 25)
+    lines = tables.wide_lines(spark, str(tmp_path))
+    assert max(sizes(lines)) <= 50 and lines.count() == 1000
