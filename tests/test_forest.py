@@ -70,3 +70,12 @@ def test_odd_rows(spark, noisy):
         train.fit_kind("weighted_forest", noisy.withColumn("label", F.lit(None).cast("double")))
     constant = noisy.withColumn("label", F.lit(1.0))
     assert {p for _, p in scores(train.fit_kind("weighted_forest", constant), noisy).values()} == {1}
+
+
+def test_many_rows_of_a_few_values(spark):
+    """More rows than the sample of the cuts, which must not take or leave all rows of a value."""
+    flags = F.array(*[(F.col("id") % 4 == k).cast("double") for k in range(4)])
+    rows = spark.range(120_000).select("id", (F.col("id") % 4).isin(1, 2).cast("double").alias("label", metadata=LABEL_META), flags.alias("v"))
+    rows = sparse_vector(rows, "v", 4).drop("v")
+    model = train.fit_kind("weighted_forest", rows, numTrees=9)
+    assert with_score(model, rows).filter("prediction <> label").count() == 0
