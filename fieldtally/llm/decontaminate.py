@@ -64,15 +64,9 @@ def stretch(equal: np.ndarray, identity: float) -> tuple[int, int]:
     sums = np.concatenate(([0], np.cumsum(gain)))
     least = np.minimum.accumulate(sums)
     most = np.maximum.accumulate(sums[::-1])[::-1]
-    best, begin, end = (0, 0), 0, 0
-    while end < len(sums) and begin < len(sums):
-        if most[end] >= least[begin]:
-            if end - begin > best[1] - best[0]:
-                best = (begin, end)
-            end += 1
-        else:
-            begin += 1
-    return best
+    ends = np.searchsorted(-most, -least, side="right") - 1  # the last end for each begin
+    begin = int(np.argmax(ends - np.arange(len(sums))))
+    return (begin, int(ends[begin])) if ends[begin] > begin else (0, 0)
 
 
 def trimmed(equal: np.ndarray, begin: int, end: int) -> tuple[int, int]:

@@ -6,13 +6,15 @@ tell most others (as in the n-gram join), and stretches with too few of them can
 1. For each of ``HASHES`` hashes, a text's subsequences of at least the wanted length are grouped by the place of their least
    hash: the nodes of a Cartesian tree. A window (l, c, r) stands for all subsequences from l..c to c..r. Its signature
    is the shingle at c. Shared shingles come before frequent ones, and those before the ones that come once.
-2. Windows with equal signature are compared with the one of the smallest document, so a passage in a third of all
-   documents gives one pair for each. Shingles that come once are in the union of a pair but not shared, so a window that has
-   too many of them, beside the least of its signature's windows, has no partner. The windows of a pair of documents are joined as intervals along a diagonal; where ``NEED``
-   hashes agree so far, the passages are verified: the Jaccard similarity of their shingle sets is ``similarity`` or more.
-3. Windows that have others of their signature go into another round with other windows to be compared with, four times as many
-   in each round, until every window was found repeated or was compared with all others. A window that was found repeated is
-   compared with no further ones, but others are compared with it until it has led once.
+2. Of equal texts, the one of the smallest document is compared with others; the others repeat it as a whole.
+3. A document with windows of a signature meets the smallest document that has some, so a passage in a third of all documents
+   gives one pair for each. Shingles that come once are in the union of a pair but not shared, so a document whose windows have
+   too many of them, beside the least of the signature, has no partner. Pairs for which ``NEED`` hashes agree so far are verified
+   once: all their windows are joined as intervals along a diagonal, and where ``NEED`` hashes agree, the Jaccard similarity of
+   the shingle sets is to be ``similarity`` or more.
+4. Windows that are not found repeated go into another round with other documents to be compared with, sixteen times as many in
+   each round, until every window was found repeated or its document has met all others of the signature. A window that was
+   found repeated is compared with no further documents, but its document is met by others until it has led once.
 
 Defined results: a null text is an empty text and has no passage. Rows that repeat an identifier are documents of their own, of
 which the first read counts as smaller; a null identifier is the smallest. An empty table gives no rows. Other columns are not read.
@@ -31,15 +33,17 @@ from .common import id_and_text, materialize
 from .decontaminate import stretch
 from .line_dedup import BLOCK_BITS, unpacked
 from .ngram_join import repeated_filters
-from .words import mix, runs, slices, words
+from .words import mix, runs, slices, spread, words
 
 SIZE, MIN_WORDS, SIMILARITY = 5, 50, 0.8
 FILTER_BITS = 1 << 27
 HASHES, NEED = 4, 2
 DRIFT = 8  # words by which the parts of a passage may be shifted
 _SEEDS = mix(np.arange(1, HASHES + 1, dtype=np.uint64))
-_WINDOW = "array<struct<f:int,value:bigint,c:int,l:int,r:int,once:int>>"
-_PIECES = f"row bigint, doc_id bigint, sequence binary, windows {_WINDOW}"
+_WINDOW = np.dtype([("f", "<i4"), ("value", "<i8"), ("c", "<i4"), ("l", "<i4"), ("r", "<i4")])
+_KEYS = "array<struct<f:int,value:bigint,once:int,places:array<int>>>"
+_PIECES = f"row bigint, doc_id bigint, sequence binary, windows binary, keys {_KEYS}"
+HITS = 1 << 20  # pairs of windows that are looked at together
 _FOUND = (
     "row bigint, doc_id bigint, start_word bigint, n_words bigint, other bigint, of_doc_id bigint, of_start_word bigint, of_n_words bigint, similarity double"
 )
@@ -79,7 +83,7 @@ def compact_windows(keys: np.ndarray, centres: np.ndarray, cuts: np.ndarray) ->
 
 
 def pieces(rows: DataFrame, filters: dict, filter_bits: int, size: int, min_words: int, similarity: float) -> DataFrame:
-    """(row, doc_id, sequence, windows) of the documents that have windows; ``sequence`` has 32 bits of each shingle."""
+    """(row, doc_id, sequence, windows, keys: by signature) of the documents that have windows; ``sequence`` has 32 bits of each shingle."""
     sent = rows.sparkSession.sparkContext.broadcast(filters)
     width = min_words - size + 1
     shift = np.uint64(64 - int(np.log2(filter_bits)))
@@ -119,7 +123,8 @@ def pieces(rows: DataFrame, filters: dict, filter_bits: int, size: int, min_word
         missing = np.concatenate(([0], np.cumsum(~eligible)))
         valid = np.flatnonzero(inside & (missing[starts + width] == missing[starts]))
         rank = np.where(repeated, np.where(frequent, np.uint64(1), np.uint64(0)), np.uint64(2)) << np.uint64(62)
-        windows: dict[int, list[dict]] = {}
+        windows: dict[int, list[tuple[int, int, int, int, int]]] = {}
+        keys_of: dict[int, dict[tuple[int, int], dict]] = {}
         cuts = np.concatenate((begins, [n]))
         stops = np.array([e for e in edge if e > 0 and eligible[e - 1]], dtype=np.int64)
         for f in range(HASHES):
@@ -133,39 +138,81 @@ def pieces(rows: DataFrame, filters: dict, filter_bits: int, size: int, min_word
                     base, at = int(bounds[own]), np.arange(max(l, c - width + 1), min(c, r - width + 1) + 1)
                     once = width - int((shared[at + width] - shared[at]).max()) if len(at) else width
                     if once <= (1 - similarity) * width:
-                        windows.setdefault(own, []).append(
-                            {"f": f, "value": int(shingles[c].view(np.int64)), "c": c - base, "l": l - base, "r": r - base, "once": once}
-                        )
+                        value = int(shingles[c].view(np.int64))
+                        windows.setdefault(own, []).append((f, value, c - base, l - base, r - base))
+                        key = keys_of.setdefault(own, {}).setdefault((f, value), {"f": f, "value": value, "once": once, "places": []})
+                        key["once"] = min(key["once"], once)
+                        key["places"].append(c - base)
         texts = sorted(windows)
         chosen = pa.array(texts, type=pa.int64())
-        kind = pa.list_(pa.struct([("f", pa.int32()), ("value", pa.int64()), ("c", pa.int32()), ("l", pa.int32()), ("r", pa.int32()), ("once", pa.int32())]))
+        kind = pa.list_(pa.struct([("f", pa.int32()), ("value", pa.int64()), ("once", pa.int32()), ("places", pa.list_(pa.int32()))]))
         yield pa.RecordBatch.from_arrays(
             [
                 part.column("row").take(chosen),
                 part.column("doc_id").take(chosen),
                 pa.array([(shingles[bounds[t] : bounds[t + 1]] >> np.uint64(32)).astype("<u4").tobytes() for t in texts], type=pa.binary()),
-                pa.array([windows[t] for t in texts], type=kind),
+                pa.array([np.array(windows[t], dtype=_WINDOW).tobytes() for t in texts], type=pa.binary()),
+                pa.array([list(keys_of[t].values()) for t in texts], type=kind),
             ],
-            names=["row", "doc_id", "sequence", "windows"],
+            names=["row", "doc_id", "sequence", "windows", "keys"],
         )
 
     return rows.withColumn("row", F.monotonically_increasing_id()).select("row", "doc_id", "text").mapInArrow(run, _PIECES)
 
 
-def diagonals(hits: list[dict], need: int) -> list[tuple[int, int, int]]:
-    """(diagonal, first, end) of the places where the windows of ``need`` hashes or more overlap, nearby diagonals together."""
-    hits = sorted(hits, key=lambda h: (h["c"] - h["lead"]["c"], h["c"]))
-    out, group = [], []
-    for h in [*hits, None]:
-        shift = h and h["c"] - h["lead"]["c"]
-        if group and (h is None or shift - group[0][0] > DRIFT):
-            if len({g[3] for g in group}) >= need:
-                middle = group[len(group) // 2][0]
-                out.append((middle, min(g[1] for g in group), max(g[2] for g in group)))
-            group = []
-        if h is not None:
-            group.append((shift, max(h["l"], h["lead"]["l"] + shift), min(h["r"], h["lead"]["r"] + shift) + 1, h["f"]))
-    return out
+def signatures(windows: np.ndarray) -> np.ndarray:
+    return windows["value"].astype(np.uint64) ^ _SEEDS[windows["f"]]
+
+
+def diagonals(mine: np.ndarray, other: np.ndarray, need: int) -> list[tuple[int, int, int]]:
+    """(diagonal, first, end) of the places where the windows of ``need`` hashes or more overlap, nearby diagonals together; the
+    longest come first. ``other`` is sorted by signature."""
+    low, high = (np.searchsorted(signatures(other), signatures(mine), side=side) for side in ("left", "right"))
+    sizes = high - low
+    if not sizes.sum():
+        return []
+    mine = np.repeat(mine, sizes)
+    other = other[spread(low, high)]
+    shift = mine["c"] - other["c"]
+    order = np.argsort(shift, kind="stable")
+    shift, f = shift[order], mine["f"][order]
+    first = np.maximum(mine["l"][order], other["l"][order] + shift)
+    end = np.minimum(mine["r"][order], other["r"][order] + shift) + 1
+    begins, start = [], None
+    for value, at in zip(*(x.tolist() for x in np.unique(shift, return_index=True)), strict=True):
+        if start is None or value - start > DRIFT:
+            begins.append(at)
+            start = value
+    hashes = np.bitwise_or.reduceat(1 << f, begins)
+    firsts, ends = np.minimum.reduceat(first, begins).tolist(), np.maximum.reduceat(end, begins).tolist()
+    middles = shift[(np.array(begins) + np.array([*begins[1:], len(shift)])) // 2].tolist()
+    found = [(m, a, b) for m, a, b, h in zip(middles, firsts, ends, hashes.tolist(), strict=True) if h.bit_count() >= need]
+    return sorted(found, key=lambda d: (d[1] - d[2], d))
+
+
+def alike(mine: np.ndarray, other: np.ndarray, windows: np.ndarray, of_windows: np.ndarray, width: int, similarity: float) -> list[tuple[int, int, int, int, float]]:
+    """The verified passages of a pair of texts; places found repeated are not verified again on other diagonals."""
+    of_windows = of_windows[np.argsort(signatures(of_windows), kind="stable")]
+    windows = windows[np.argsort(windows["c"], kind="stable")]
+    covered, found = np.zeros(len(mine) + 1, dtype=bool), []
+    step = max(8, HITS // max(1, len(of_windows)))
+    for at in range(0, len(windows), step):  # parts overlap by half
+        part = windows[max(0, at - step // 2) : at + step]
+        for shift, first, end in diagonals(part[~covered[part["c"]]], of_windows, NEED):
+            if not covered[max(0, first) : end].all():
+                new = passages(mine, other, shift, first, end, width, similarity)
+                for a, b, *_ in new:
+                    covered[a:b] = True
+                found += new
+    return found
+
+
+def held(values: np.ndarray, others: np.ndarray) -> np.ndarray:
+    """Which of the values are among the others."""
+    if not len(others):
+        return np.zeros(len(values), dtype=bool)
+    others = np.sort(others)
+    return others[np.minimum(np.searchsorted(others, values), len(others) - 1)] == values
 
 
 def passages(
@@ -181,18 +228,18 @@ def passages(
         return []
     share = share or 2 * similarity / (1 + similarity)
     near = other[max(0, first - shift - DRIFT) : max(0, end - shift + DRIFT)]
-    begin, stop = stretch(np.isin(mine[first:end], near), share)
+    begin, stop = stretch(held(mine[first:end], near), share)
     if stop - begin < width:
         return []
     begin, stop = begin + first, stop + first
     here = mine[begin:stop]
     at = max(0, begin - shift - DRIFT)
-    span = np.flatnonzero(np.isin(other[at : max(at, stop - shift + DRIFT)], here))
+    span = np.flatnonzero(held(other[at : max(at, stop - shift + DRIFT)], here))
     found = []
     if len(span):
         a, b = at + int(span[0]), at + int(span[-1]) + 1
         x, y = np.unique(here), np.unique(other[a:b])
-        both = len(np.intersect1d(x, y, assume_unique=True))
+        both = int(held(x, y).sum())
         if both >= similarity * (len(x) + len(y) - both):
             found = [(begin, stop, a, b, both / (len(x) + len(y) - both))]
     if not found and share < 0.999:
@@ -201,23 +248,27 @@ def passages(
     return found + [p for lo, hi in sides for p in passages(mine, other, shift, lo, hi, width, similarity, share)]
 
 
-def verified(candidates: DataFrame, size: int, min_words: int, similarity: float) -> DataFrame:
+def verified(pairs: DataFrame, size: int, min_words: int, similarity: float) -> DataFrame:
     width = min_words - size + 1
+    names = ["row", "doc_id", "sequence", "windows", "other", "of_doc_id", "of_sequence", "of_windows"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = [c.split()[0] for c in _FOUND.split(", ")]
+        kinds = [pa.int64()] * 8 + [pa.float64()]
         for batch in batches:
             out = []
-            for x in batch.to_pylist():
-                mine, other = np.frombuffer(x["sequence"], dtype="<u4"), np.frombuffer(x["of_sequence"], dtype="<u4")
-                for shift, first, end in diagonals(x["hits"], NEED):
-                    for a, b, c, d, alike in passages(mine, other, shift, first, end, width, similarity):
-                        out.append((x["row"], x["doc_id"], a, b - a + size - 1, x["other"], x["of_doc_id"], c, d - c + size - 1, alike))
-            out = sorted(set(out), key=lambda r: (r[0], r[4], r[2:4], r[6:]))
-            kinds = [pa.int64()] * 8 + [pa.float64()]
-            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], type=k) for i, k in enumerate(kinds)], names=names)
+            for values in zip(*(batch.column(n) for n in names), strict=True):
+                row, doc_id, mine, windows, other, of_doc_id, of_mine, of_windows = (
+                    np.frombuffer(v.as_buffer(), dtype="<u4" if "sequence" in n else _WINDOW) if pa.types.is_binary(v.type) or pa.types.is_large_binary(v.type) else v.as_py()
+                    for n, v in zip(names, values, strict=True)
+                )
+                for a, b, c, d, share in set(alike(mine, of_mine, windows, of_windows, width, similarity)):
+                    out.append((row, doc_id, a, b - a + size - 1, other, of_doc_id, c, d - c + size - 1, share))
+            out = sorted(out, key=lambda r: (r[0], r[4], r[2:4], r[6:]))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([r[i] for r in out], type=k) for i, k in enumerate(kinds)], names=[c.split()[0] for c in _FOUND.split(", ")]
+            )
 
-    return candidates.select("row", "doc_id", "sequence", "other", "of_doc_id", "of_sequence", "hits").mapInArrow(run, _FOUND)
+    return pairs.select(*names).mapInArrow(run, _FOUND)
 
 
 def repeated_passages(
@@ -235,42 +286,44 @@ def repeated_passages(
     total = rows.agg(F.sum(F.length("text"))).first()[0] or 0
     filters = repeated_filters(rows, size, total // 6, filter_bits)
     parts = materialize(pieces(rows, filters, filter_bits, size, min_words, similarity), "pieces")
-    sides = parts.select("row", "doc_id", "sequence"), parts.select(F.col("row").alias("other"), F.col("doc_id").alias("of_doc_id"), F.col("sequence").alias("of_sequence"))
-    width, found, seen, leads = min_words - size + 1, None, None, 1
-    left = parts.select("doc_id", "row", F.explode("windows").alias("w")).select("doc_id", "row", "w.*", F.lit(False).alias("led"), F.lit(False).alias("done"))
-    me = F.struct("doc_id", "row", "c", "l", "r")
+    same = parts.select("row", "doc_id", F.sha2("sequence", 256).alias("digest"), (F.length("sequence") / 4 + size - 1).cast("long").alias("n"))
+    first = same.groupBy("digest").agg(F.min(F.struct("doc_id", "row")).alias("first"), F.count(F.lit(1)).alias("held"))
+    first = materialize(first.filter("held > 1").select("digest", "first"), "firsts")
+    copies = same.join(first, "digest").filter(F.col("row") != F.col("first.row"))
+    zero = F.lit(0).cast("long")
+    copies = copies.select("row", "doc_id", zero, "n", "first.row", "first.doc_id", zero, "n", F.lit(1.0))
+    found = materialize(copies.toDF(*[c.split()[0] for c in _FOUND.split(", ")]), "passages")
+    sides = parts.select("row", "doc_id", "sequence", "windows")
+    sides = sides, sides.toDF("other", "of_doc_id", "of_sequence", "of_windows")
+    width, me, seen, checked, leads = min_words - size + 1, F.struct("doc_id", "row"), None, None, 1
+    keys = parts.join(found.select("row"), "row", "left_anti").select("doc_id", "row", F.explode("keys").alias("k")).select("doc_id", "row", "k.*")
+    least = keys.groupBy("f", "value").agg(F.min("once").alias("least"), F.min("row").alias("low"), F.max("row").alias("high"))
+    least = materialize(least.filter("high > low").select("f", "value", "least"), "signatures")
+    able = keys.join(least, ["f", "value"]).filter((F.col("once") + F.col("least")) * similarity <= (1 - similarity) * (width - F.col("once")))
+    left = materialize(able.select("doc_id", "row", "f", "value", "places", F.lit(False).alias("led")), "keys")  # places that are not found repeated
     while True:
-        least = left.groupBy("f", "value").agg(F.min("once").alias("least"), F.min("row").alias("low"), F.max("row").alias("high"))
-        able = left.join(least.filter("high > low").select("f", "value", "least"), ["f", "value"])
-        able = materialize(able.filter((F.col("once") + F.col("least")) * similarity <= (1 - similarity) * (width - F.col("once"))).drop("least"), "windows")
-        share = F.pmod(F.xxhash64("row"), F.lit(leads))
-        lead = able.filter("NOT led").groupBy("f", "value", share.alias("share")).agg(F.min(me).alias("lead")).drop("share")
-        met = able.filter("NOT done").join(lead, ["f", "value"]).filter((F.col("row") != F.col("lead.row")) & (F.col("lead") < me))
-        met = materialize(met.select("doc_id", "row", "f", "value", "c", "l", "r", "lead"), "met")
+        live = left.filter(F.size("places") > 0)
+        last = live.groupBy("f", "value").agg(F.max(me).alias("last"))
+        lead = left.filter("NOT led").join(last, ["f", "value"]).filter(me < F.col("last"))
+        lead = lead.groupBy("f", "value", F.pmod(F.xxhash64("row"), F.lit(leads)).alias("share")).agg(F.min(me).alias("lead"))
+        lead = materialize(lead.drop("share"), "leads")
         if lead.isEmpty():
             break
-        seen = met if seen is None else seen.unionByName(met)
-        pairs = met.select("row", F.col("lead.row").alias("other")).distinct()
-        hits = (
-            seen.withColumn("other", F.col("lead.row"))
-            .join(pairs, ["row", "other"], "left_semi")
-            .groupBy("row", "other")
-            .agg(F.collect_set(F.struct("f", "c", "l", "r", "lead")).alias("hits"), F.size(F.collect_set("f")).alias("hashes"))
-            .filter(F.col("hashes") >= NEED)
-            .drop("hashes")
+        met = live.join(lead, ["f", "value"]).filter(F.col("lead") < me).select("row", F.col("lead.row").alias("other"), "f").distinct()
+        seen = materialize(met if seen is None else seen.unionByName(met).distinct(), "met")
+        pairs = seen.groupBy("row", "other").agg(F.count(F.lit(1)).alias("hashes")).filter(F.col("hashes") >= NEED).drop("hashes")
+        pairs = materialize(pairs if checked is None else pairs.join(checked, ["row", "other"], "left_anti"), "pairs")
+        checked = pairs if checked is None else checked.unionByName(pairs)
+        now = materialize(verified(pairs.join(sides[0], "row").join(sides[1], "other"), size, min_words, similarity), "passages")
+        found = found.unionByName(now)
+        spans = now.groupBy(F.col("row").alias("of")).agg(
+            F.collect_set(F.struct(F.col("start_word").alias("from"), (F.col("start_word") + F.col("n_words") - size + 1).alias("to"))).alias("spans")
         )
-        now = materialize(verified(hits.join(sides[0], "row").join(sides[1], "other"), size, min_words, similarity), "passages")
-        found = now if found is None else found.unionByName(now)
-        spans = now.select(F.col("row").alias("of"), F.col("start_word").alias("from"), (F.col("start_word") + F.col("n_words") - size + 1).alias("to"))
-        spans = spans.distinct()
-        again = able.select("row", "f", "c").join(spans, (F.col("row") == F.col("of")) & (F.col("c") >= F.col("from")) & (F.col("c") < F.col("to")), "left_semi")
-        again = again.select(F.col("row").alias("in_row"), F.col("f").alias("in_f"), F.col("c").alias("in_c")).distinct()
-        repeated = (F.col("row") == F.col("in_row")) & (F.col("f") == F.col("in_f")) & (F.col("c") == F.col("in_c"))
-        rest = able.join(again, repeated, "left").withColumn("done", F.col("done") | F.col("in_row").isNotNull()).select(*able.columns)
-        used = lead.select(F.col("f").alias("of_f"), F.col("value").alias("of_value"), F.col("lead.row").alias("of_row"), F.col("lead.c").alias("of_c"))
-        same = (F.col("f") == F.col("of_f")) & (F.col("value") == F.col("of_value")) & (F.col("row") == F.col("of_row")) & (F.col("c") == F.col("of_c"))
-        left = rest.join(used, same, "left").withColumn("led", F.col("led") | F.col("of_row").isNotNull()).select(*able.columns).filter("NOT (led AND done)")
-        leads *= 4
-    if found is None:
-        return docs.sparkSession.createDataFrame([], _FOUND).drop("row", "other")
+        used = lead.select(F.col("f").alias("of_f"), F.col("value").alias("of_value"), F.col("lead.row").alias("of_row"))
+        inside = F.filter("places", lambda c: ~F.exists("spans", lambda s: (c >= s["from"]) & (c < s["to"])))
+        left = left.join(spans, F.col("row") == F.col("of"), "left").withColumn("places", F.when(F.col("of").isNull(), F.col("places")).otherwise(inside))
+        left = left.join(used, (F.col("f") == F.col("of_f")) & (F.col("value") == F.col("of_value")) & (F.col("row") == F.col("of_row")), "left")
+        left = left.withColumn("led", F.col("led") | F.col("of_row").isNotNull()).select("doc_id", "row", "f", "value", "places", "led")
+        left = materialize(left.filter("NOT led OR size(places) > 0"), "keys")
+        leads *= 16
     return found.drop("row", "other").distinct()

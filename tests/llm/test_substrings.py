@@ -3,6 +3,8 @@ import random
 import numpy as np
 from fixtures import odd_pairs, prose, shingle_set, table, words_of
 
+from fieldtally.llm import substrings
+from fieldtally.llm.decontaminate import stretch
 from fieldtally.llm.substrings import compact_windows, repeated_passages, sliding_least
 
 
@@ -86,3 +88,28 @@ def test_found_passages_still_lead(spark):
         expected |= {(ids[1], ids[0]), (ids[2], ids[1])}
     found = repeated_passages(table(spark, pairs), filter_bits=1 << 20).collect()
     assert expected <= {(r.doc_id, r.of_doc_id) for r in found}
+
+
+def test_texts_that_repeat_a_line_meet_once(spark, monkeypatch):
+    """Windows of one signature in a text lead together; equal texts repeat the smallest as a whole."""
+    line = prose(9800, 30).split()
+    own = [prose(9801 + k, 300).split() for k in range(3)]
+    pairs = [(11_000 + k, " ".join(w for i in range(40) for w in line + own[k][4 * i : 4 * i + 4])) for k in range(3)]
+    pairs += [(11_010, pairs[0][1]), (11_011, pairs[0][1])]
+    rounds = []
+    write = substrings.materialize
+    monkeypatch.setattr(substrings, "materialize", lambda df, label: rounds.append(label) or write(df, label))
+    found = repeated_passages(table(spark, pairs), filter_bits=1 << 20).collect()
+    assert rounds.count("passages") <= 5
+    words = len(pairs[0][1].split())
+    assert {tuple(r)[:6] for r in found if r.doc_id > 11_002} == {(i, 0, words, 11_000, 0, words) for i in (11_010, 11_011)}
+
+
+def test_stretch_is_the_longest():
+    chance = random.Random(5)
+    for _ in range(300):
+        equal = np.array([chance.random() < 0.8 for _ in range(chance.randint(0, 30))], dtype=bool)
+        share = chance.choice([0.5, 0.8, 0.9, 1.0])
+        good = [(b - a, -a) for a in range(len(equal)) for b in range(a + 1, len(equal) + 1) if equal[a:b].sum() * 1000 >= round(share * 1000) * (b - a)]
+        size, first = max(good, default=(0, 0))
+        assert stretch(equal, share) == (-first, -first + size)
