@@ -6,10 +6,10 @@ each term by its relevance frequency log2(2 + toxic examples / other examples th
 tells little counts as it does in plain TF-IDF, and none is left out. The examples are the ``max_examples`` labelled rows whose
 hashed identifiers come first: a bounded sample, so the index is of bounded size and goes to every task.
 
-The index has a posting list for each term; those of the ``HEAD`` terms that most examples hold are columns of a dense table.
-Cosines of a text with all examples are added up in single precision, by a matrix product over the table and by the other
-lists. Those that the error bound ``MARGIN`` leaves among the k best are computed again in double precision: the result is
-the same as that of a comparison with every example. Ties go to the smaller example.
+The index has a posting list for each term, those that most examples hold first; the first ``HEAD`` are rows of a dense table.
+The part of a cosine that the table has is added up in single precision, by a matrix product, and what the other lists have in
+double precision. Of the examples that the error bound ``MARGIN`` leaves among the k best, the first part is computed again in
+double precision: the result is the same as that of a comparison with every example. Ties go to the smaller example.
 
 Neighbours vote with weight 1 / (DISTANCE + 1 - cosine), and ``PRIOR`` votes at the base rate keep scores of few or far
 neighbours near it. A text that holds no term has no neighbour; it gets the rate of such examples. The neighbours are the
@@ -34,7 +34,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import id_and_text, materialize
-from .words import prefixes, slices, words
+from .words import prefixes, slices, spread, words
 
 SIZES = (4, 5, 6)
 HEAD = 1024
@@ -73,23 +73,36 @@ def text_counts(column: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
 
 
 class Vocabulary:
-    """Sorted term hashes; most others are told by one look into a table."""
+    """Sorted term hashes; a table has the first of each range of hashes."""
 
     def __init__(self, terms: np.ndarray):
         self.terms = np.unique(terms)
-        self.bits = max(1, len(self.terms)).bit_length() + 3
-        self.table = np.zeros(1 << self.bits, dtype=bool)
-        self.table[(self.terms >> np.uint64(64 - self.bits)).astype(np.int64)] = True
+        bits = max(1, len(self.terms)).bit_length() + 1
+        self.shift = np.uint64(64 - bits)
+        self.first = np.searchsorted(self.terms >> self.shift, np.arange((1 << bits) + 1, dtype=np.uint64)).astype(np.int32)
+
+    def places(self, hashes: np.ndarray) -> np.ndarray:
+        """Number of each term, -1 for hashes of none."""
+        part = (hashes >> self.shift).astype(np.int64)
+        at, ends = self.first[part], self.first[part + 1]
+        out = np.full(len(hashes), -1, dtype=np.int64)
+        left = np.flatnonzero(at < ends)
+        while len(left):
+            here = at[left]
+            same = self.terms[here] == hashes[left]
+            out[left[same]] = here[same]
+            at[left] += 1
+            left = left[~same & (here + 1 < ends[left])]
+        return out
 
     def counts(self, column: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """Terms (by number) that each text holds, and how often."""
-        for hashes, counts in text_counts(column):
-            likely = np.flatnonzero(self.table[(hashes >> np.uint64(64 - self.bits)).astype(np.int64)])
-            hashes, counts = hashes[likely], counts[likely]
-            at = np.searchsorted(self.terms, hashes)
-            held = at < len(self.terms)
-            held[held] = self.terms[at[held]] == hashes[held]
-            yield at[held], counts[held]
+        found = list(text_counts(column))
+        if not found:
+            return
+        places = np.split(self.places(np.concatenate([h for h, _ in found])), np.cumsum([len(h) for h, _ in found])[:-1])
+        for at, (_, counts) in zip(places, found, strict=True):
+            yield at[at >= 0], counts[at >= 0]
 
 
 def unit(terms: np.ndarray, counts: np.ndarray, idf: np.ndarray) -> np.ndarray:
@@ -104,12 +117,6 @@ def relevance(rows: list[tuple[np.ndarray, np.ndarray]], labels: list[int], size
     return np.log2(2 + held[0] / np.maximum(1, held[1]))
 
 
-def spread(begins: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """The places of all ranges, one range after the other."""
-    sizes = ends - begins
-    return np.repeat(begins - np.concatenate(([0], np.cumsum(sizes)[:-1])), sizes) + np.arange(sizes.sum())
-
-
 @dataclass
 class Index:
     """Vectors of the examples that hold a term: by example, by term, and the head terms as a dense table."""
@@ -119,13 +126,13 @@ class Index:
     idf: np.ndarray
     base_rate: float
     empty_rate: float
-    bounds: np.ndarray = field(repr=False)  # example i has the terms bounds[i]:bounds[i + 1]
-    terms: np.ndarray = field(repr=False)
+    rank: np.ndarray = field(repr=False)  # of a term, by the examples that hold it; below len(head): a row of the table
+    bounds: np.ndarray = field(repr=False)  # example i has the terms bounds[i]:bounds[i + 1] in the table
+    terms: np.ndarray = field(repr=False)  # by rank
     weights: np.ndarray = field(repr=False)
-    pointers: np.ndarray = field(repr=False)  # term t has the postings pointers[t]:pointers[t + 1], none if it is in the head
+    pointers: np.ndarray = field(repr=False)  # the term of rank r has the postings pointers[r]:pointers[r + 1], none if it is in the table
     examples: np.ndarray = field(repr=False)
     posted: np.ndarray = field(repr=False)
-    column: np.ndarray = field(repr=False)  # of a term in the head, else -1
     head: np.ndarray = field(repr=False)
     query: np.ndarray = field(repr=False)  # zeros, but while a query is compared
 
@@ -137,54 +144,64 @@ class Index:
         empty = float((labels_of[without].sum() + PRIOR * base) / (without.sum() + PRIOR)) if len(rows) else 0.0
         held = [i for i, (terms, _) in enumerate(rows) if len(terms)]
         chosen = np.array(held, dtype=np.int64)
-        bounds = np.concatenate(([0], np.cumsum([len(rows[i][0]) for i in held]))).astype(np.int64)
-        terms = np.concatenate([rows[i][0] for i in held]).astype(np.int32) if held else np.zeros(0, dtype=np.int32)
+        sizes = [len(rows[i][0]) for i in held]
+        terms = np.concatenate([rows[i][0] for i in held]) if held else np.zeros(0, dtype=np.int64)
         weights = np.concatenate([unit(*rows[i], idf) for i in held]) if held else np.zeros(0)
-        examples = np.repeat(np.arange(len(held), dtype=np.int32), np.diff(bounds))
-        often = np.bincount(terms, minlength=len(idf))
-        top = np.argsort(-often, kind="stable")[:HEAD]
-        column = np.full(len(idf), -1, dtype=np.int32)
-        column[top] = np.arange(len(top))
-        head = np.zeros((len(top), len(held)), dtype=np.float32)
-        dense = column[terms] >= 0
-        head[column[terms[dense]], examples[dense]] = weights[dense]
-        rest = np.flatnonzero(~dense)
+        examples = np.repeat(np.arange(len(held)), sizes)
+        rank = np.empty(len(idf), dtype=np.int32)
+        rank[np.argsort(-np.bincount(terms, minlength=len(idf)), kind="stable")] = np.arange(len(idf))
+        terms = rank[terms]
+        head = np.zeros((min(HEAD, len(idf)), len(held)), dtype=np.float32)
+        dense, rest = np.flatnonzero(terms < len(head)), np.flatnonzero(terms >= len(head))
+        dense = dense[np.lexsort((terms[dense], examples[dense]))]
+        head[terms[dense], examples[dense]] = weights[dense]
         rest = rest[np.argsort(terms[rest], kind="stable")]
-        pointers = np.searchsorted(terms[rest], np.arange(len(idf) + 1))
         return cls(
             np.array(ids, dtype=np.int64)[chosen] if held else np.zeros(0, dtype=np.int64),
             labels_of[chosen] if held else np.zeros(0),
-            idf, base, empty, bounds, terms, weights, pointers, examples[rest], weights[rest].astype(np.float32), column, head, np.zeros(len(idf)),
+            idf, base, empty, rank, np.searchsorted(examples[dense], np.arange(len(held) + 1)), terms[dense].astype(np.int64), weights[dense],
+            np.searchsorted(terms[rest], np.arange(len(idf) + 1)), examples[rest], weights[rest], head, np.zeros(len(head)),
         )
 
-    def sums(self, queries: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
-        """Cosines of each query with all examples, in single precision."""
+    def ranked(self, terms: np.ndarray, query: np.ndarray) -> tuple[np.ndarray, np.ndarray, int]:
+        """Ranks and weights, those in the table first, and how many these are."""
+        ranks = self.rank[terms]
+        order = np.argsort(ranks)
+        ranks = ranks[order]
+        return ranks, query[order], int(np.searchsorted(ranks, len(self.head)))
+
+    def sums(self, queries: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+        """Cosines of each query with all examples, in single precision, and what the lists add to them, in double."""
         table = np.zeros((len(queries), len(self.head)), dtype=np.float32)
+        lists = np.zeros((len(queries), len(self.ids)))
         for i, (terms, query) in enumerate(queries):
-            dense = self.column[terms] >= 0
-            table[i, self.column[terms[dense]]] = query[dense]
-        sums = table @ self.head
-        for i, (terms, query) in enumerate(queries):
-            begins, ends = self.pointers[terms], self.pointers[terms + 1]
+            ranks, query, n = self.ranked(terms, query)
+            table[i, ranks[:n]] = query[:n]
+            begins, ends = self.pointers[ranks[n:]], self.pointers[ranks[n:] + 1]
             at = spread(begins, ends)
-            sums[i] += np.bincount(self.examples[at], np.repeat(query, ends - begins) * self.posted[at], minlength=len(self.ids))
-        return sums
+            lists[i] = np.bincount(self.examples[at], np.repeat(query[n:], ends - begins) * self.posted[at], minlength=len(self.ids))
+        sums = table @ self.head
+        sums += lists
+        return sums, lists
 
-    def nearest(self, terms: np.ndarray, query: np.ndarray, k: int = NEIGHBOURS, sums: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    def nearest(
+        self, terms: np.ndarray, query: np.ndarray, k: int = NEIGHBOURS, sums: tuple[np.ndarray, np.ndarray] | None = None
+    ) -> tuple[np.ndarray, np.ndarray]:
         """The k examples of the largest cosine above 0, and the cosines; ties go to the first example."""
         if not len(terms) or not len(self.ids):
             return np.zeros(0, dtype=np.int64), np.zeros(0)
-        sums = self.sums([(terms, query)])[0] if sums is None else sums
+        sums, lists = sums or [s[0] for s in self.sums([(terms, query)])]
         floor = np.partition(sums, -k)[-k] if k < len(sums) else 0.0
         here = np.flatnonzero((sums > 0) & (sums >= floor * (1 - 3 * MARGIN)))
         if not len(here):
             return here, np.zeros(0)
-        at = spread(self.bounds[here], self.bounds[here + 1])
-        self.query[terms] = query
-        products = self.query[self.terms[at]] * self.weights[at]
-        self.query[terms] = 0
-        sizes = self.bounds[here + 1] - self.bounds[here]
-        cosines = np.round(np.add.reduceat(products, np.cumsum(sizes) - sizes), 12)
+        ranks, query, n = self.ranked(terms, query)
+        self.query[ranks[:n]] = query[:n]
+        cosines = lists[here]
+        for i, (begin, end) in enumerate(zip(self.bounds[here].tolist(), self.bounds[here + 1].tolist(), strict=True)):
+            cosines[i] += self.query.take(self.terms[begin:end]) @ self.weights[begin:end]
+        self.query[ranks[:n]] = 0
+        cosines = np.round(cosines, 12)
         order = [i for i in np.lexsort((here, -cosines))[:k] if cosines[i] > 0]
         return here[order], cosines[order]
 
@@ -194,7 +211,7 @@ class Index:
         out = []
         for first in range(0, len(queries), TOGETHER):
             part = queries[first : first + TOGETHER]
-            sums = self.sums(part) if len(self.ids) else [None] * len(part)
+            sums = zip(*self.sums(part), strict=True) if len(self.ids) else [None] * len(part)
             for (terms, query), row in zip(part, sums, strict=True):
                 if not len(terms):
                     out.append((self.empty_rate, []))

@@ -6,7 +6,7 @@ import pytest
 from fixtures import odd_pairs, prose, table
 from pyspark.sql import functions as F
 
-from fieldtally.llm.toxicity import Index, learnable, toxicity, unit
+from fieldtally.llm.toxicity import Index, Vocabulary, learnable, toxicity, unit
 
 
 def random_rows(chance, n, terms):
@@ -98,3 +98,22 @@ def test_head_and_lists_give_the_exact_neighbours():
         cosines = np.round(dense @ dense[i], 12)
         best, found = index.nearest(rows[i][0], unit(*rows[i], idf))
         assert np.allclose(found, np.sort(cosines)[::-1][:25]) and np.allclose(found, cosines[best]) and len(set(best)) == 25
+
+
+def test_only_terms_of_the_table_are_computed_twice():
+    """Each weight is in the table or in a list: the exact step reads no list again."""
+    chance = np.random.default_rng(6)
+    rows = [(np.unique((4000 * chance.random(80) ** 3).astype(np.int64)),) for _ in range(300)]
+    rows = [(t, chance.integers(1, 4, len(t))) for (t,) in rows]
+    index = Index.build(list(range(300)), [0] * 300, rows, 1 + 3 * chance.random(4000))
+    assert len(index.terms) + len(index.posted) == sum(len(t) for t, _ in rows) and len(index.posted) > 0
+
+
+def test_places_of_terms():
+    chance = np.random.default_rng(7)
+    terms = chance.integers(0, 2**63, 5000).astype(np.uint64) * np.uint64(2)
+    terms[:40] = np.arange(40)  # many in one range
+    asked = np.concatenate([terms[::3], chance.integers(0, 2**63, 900).astype(np.uint64), np.arange(80, dtype=np.uint64)])
+    known = {t: i for i, t in enumerate(np.unique(terms).tolist())}
+    assert Vocabulary(terms).places(asked).tolist() == [known.get(t, -1) for t in asked.tolist()]
+    assert Vocabulary(terms[:0]).places(asked).tolist() == [-1] * len(asked)
