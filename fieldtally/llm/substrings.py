@@ -325,5 +325,5 @@ def repeated_passages(
         left = left.join(used, (F.col("f") == F.col("of_f")) & (F.col("value") == F.col("of_value")) & (F.col("row") == F.col("of_row")), "left")
         left = left.withColumn("led", F.col("led") | F.col("of_row").isNotNull()).select("doc_id", "row", "f", "value", "places", "led")
         left = materialize(left.filter("NOT led OR size(places) > 0"), "keys")
-        leads *= 16
+        leads = min(16 * leads, 1 << 40)
     return found.drop("row", "other").distinct()
