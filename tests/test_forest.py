@@ -79,3 +79,85 @@ def test_many_rows_of_a_few_values(spark):
     rows = sparse_vector(rows, "v", 4).drop("v")
     model = train.fit_kind("weighted_forest", rows, numTrees=9)
     assert with_score(model, rows).filter("prediction <> label").count() == 0
+
+
+def test_a_node_that_cannot_be_split_sends_no_rows(spark, monkeypatch):
+    """Before, all rows of a large node of one label went to one task."""
+    columns = [(F.pmod(F.hash("id", F.lit(i)), F.lit(1000)) / 1000.0).alias(f"x{i}") for i in range(4)]
+    rows = spark.range(4000).select("id", *columns).select("id", (F.col("x0") > 0.5).cast("double").alias("label", metadata=LABEL_META), F.array(*[f"x{i}" for i in range(4)]).alias("v"))
+    rows = cache_input(sparse_vector(rows, "v", 4).drop("v"))
+    monkeypatch.setattr(forest, "NODE_ROWS", 200)
+    grown = forest._grown
+
+    def checked(p, branches):
+        own = grown(p, branches)
+
+        def run(pieces):
+            held = sum(len(k) for k in pieces["kinds"].to_pylist())
+            if held > 300:
+                raise ValueError(f"{held} rows in one task")
+            return own(pieces)
+
+        return run
+
+    monkeypatch.setattr(forest, "_grown", checked)
+    model = shards.fit_sharded_forest(rows.withColumn("shard", F.lit(0)), [0], trees=3).members[0]
+    assert sum(r.nodes for r in model.branches.select("nodes").collect()) > 3
+    assert with_score(model, rows).filter("prediction <> label").count() < 200  # within a bin of the cut
+
+
+@pytest.mark.parametrize("bootstrap", [True, False])
+def test_equal_rows_are_one_row_with_a_count(spark, monkeypatch, bootstrap):
+    """Before, each row went to the trees by itself, however often its bins and label came."""
+    monkeypatch.setattr(forest, "NODE_ROWS", 500)
+    rows = spark.range(20_000, numPartitions=4).select("id", (F.col("id") % 4).cast("double").alias("a"), F.floor(F.col("id") / 4).alias("b"))
+    label = (F.pmod(F.hash("id"), F.lit(100)) < F.col("a") * 10 + F.when(F.col("a") > 1, 55).otherwise(5)).cast("double").alias("label", metadata=LABEL_META)
+    rows = rows.select("id", label, F.col("a"), F.array(F.col("a"), (F.col("b") % 3).cast("double")).alias("v"))
+    rows = cache_input(sparse_vector(rows, "v", 2).drop("v"))
+    seen, opened = [], forest._grow_upper
+    monkeypatch.setattr(forest, "_grow_upper", lambda blocks, p, n: seen.append((n, blocks)) or opened(blocks, p, n))
+    model = train.fit_kind("weighted_forest", rows, numTrees=5, maxDepth=1, bootstrap=bootstrap, subsamplingRate=0.5)
+    (stored, blocks), = seen
+    assert stored <= 4 * 24
+    counted = [np.frombuffer(r.n).sum() for r in blocks.select("n").collect()]
+    assert sum(counted) == 20_000
+    monkeypatch.setattr(forest, "NODE_ROWS", 1 << 16)
+    plain = train.fit_kind("weighted_forest", rows, numTrees=5, maxDepth=1, bootstrap=bootstrap, subsamplingRate=0.5)  # of rows by themselves
+    own, theirs = ({r.a: r.s for r in with_score(m, rows).groupBy("a").agg(F.avg("score").alias("s")).collect()} for m in (model, plain))
+    assert own == pytest.approx(theirs, abs=0.03)
+
+
+def test_unlike_rows_never_meet():
+    from fieldtally.operators.equal_rows import equal_rows
+
+    rng = np.random.default_rng(3)
+    a, b = rng.integers(0, 3, 500).astype("u1"), rng.integers(0, 4, (500, 2)).astype("<u2")
+    first, group = equal_rows([a, b])
+    keys = [(int(x), *map(int, y)) for x, y in zip(a, b, strict=True)]
+    assert len(first) == len(set(keys)) and all(keys[first[g]] == k for g, k in zip(group, keys, strict=True))
+    assert equal_rows([np.arange(500)]) is None
+
+
+def test_a_combination_of_bins_is_scored_once(noisy, monkeypatch):
+    """Before, each row went down all trees; the answers are the same."""
+    model = train.fit_kind("weighted_forest", noisy.withColumn("features", noisy["features"]), numTrees=3, maxBins=8)
+    once = scores(model, noisy)
+    monkeypatch.setattr(forest, "SCORED_CELLS", 0)
+    assert scores(model, noisy) == once
+    met, descend = [], forest._descend
+    monkeypatch.setattr(forest, "SCORED_CELLS", 1 << 20)
+    monkeypatch.setattr(forest, "_descend", lambda codes, *rest: met.append(len(codes)) or descend(codes, *rest))
+    columns = noisy.limit(50).unionByName(noisy.limit(50)).toPandas()
+    kept = {}
+
+    class Frame:
+        """Takes the function that scores, to call it here."""
+
+        def withColumn(self, name, column):
+            return self
+
+    monkeypatch.setattr(forest.F, "arrow_udf", lambda f, kind: kept.setdefault("scores", f) and (lambda c: c))
+    model._by_broadcast(Frame())
+    values = forest.pa.array([v.toArray() for v in columns["features"]])
+    first, again = (kept["scores"](values).to_pylist() for _ in range(2))
+    assert first == again and len(met) == 3 and met[0] <= 50
