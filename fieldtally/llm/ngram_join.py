@@ -3,8 +3,8 @@
 Texts with equal shingle sets are one node. Two nodes link if ``percent`` % of the union of their sets is shared.
 
 1. Shingle hashes are counted over all documents, dealt by their first bits in packed lists of 32-bit rests. The ones that come
-   twice or more, and the frequent ones, set bits in two filters of ``filter_bits`` bits, which go to all tasks: their size is
-   fixed. They only order shingles, the rarest first, and tell some that surely come once; a wrong bit costs time, never a link.
+   twice or more, and the frequent ones, set bits in two filters of ``filter_bits`` bits, which go to all tasks, through the driver by
+   some MB at a time: their size is fixed. They only order shingles, the rarest first, and tell some that surely come once; a wrong bit costs time, never a link.
 2. A node with n shingles shares T = ceil(n * percent / 100) at least with any partner, so one of its n - T + 1 rarest. If so
    many come once, it links with nothing and is done. The others post their rarest repeated shingles: the short lists,
    one for each class of sizes, since sets of very unlike sizes don't link. Shingles that come once are in the union of a pair
@@ -33,6 +33,7 @@ from math import log2
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -48,6 +49,7 @@ BLOCK = 512
 PACKED = 32  # nodes of a cluster whose queries are all searched: their work grows with the square
 PROBE_COST = 0.05
 BROADCAST_ROWS = 150_000
+SENT_BYTES = 1 << 20  # of the filters in the driver at a time
 _NODE = "doc_id bigint, row bigint, node bigint, n int"
 
 
@@ -85,8 +87,8 @@ def nodes_of(rows: DataFrame, size: int) -> DataFrame:
     return rows.withColumn("row", F.monotonically_increasing_id()).select("doc_id", "row", "text").mapInArrow(run, _NODE)
 
 
-def repeated_filters(rows: DataFrame, size: int, total: int, filter_bits: int) -> dict[int, dict[int, bytes]]:
-    """Blocks of the filters of shingles that come twice (0) and ``FREQUENT`` times (1) or more."""
+def repeated_blocks(rows: DataFrame, size: int, total: int, filter_bits: int) -> DataFrame:
+    """(level, block, bits): blocks of the filters of shingles that come twice (0) and ``FREQUENT`` times (1) or more."""
     bucket_bits = min(16, max(6, int(log2(max(1, total) / (1 << 19))) + 1))
     rest_shift, place_bits = np.uint64(32 - bucket_bits), int(log2(filter_bits))
 
@@ -121,29 +123,50 @@ def repeated_filters(rows: DataFrame, size: int, total: int, filter_bits: int) -
             }
         )
 
-    parts = rows.select("text").mapInArrow(packed_rests, "bucket int, rests binary").groupBy("bucket").applyInArrow(counted, "level int, block int, bits binary")
+    def united(table: pa.Table) -> pa.Table:
+        """The parts of a block that buckets smaller than it have set, as one."""
+        first, *others = table.column("bits").to_pylist()
+        for bits in others:
+            first = packed(unpacked(first) | unpacked(bits))
+        return table.slice(0, 1).set_column(2, "bits", pa.array([first], type=pa.binary()))
+
+    fields = "level int, block int, bits binary"
+    parts = rows.select("text").mapInArrow(packed_rests, "bucket int, rests binary").groupBy("bucket").applyInArrow(counted, fields)
+    return parts.groupBy("level", "block").applyInArrow(united, fields)
+
+
+def repeated_filters(rows: DataFrame, size: int, total: int, filter_bits: int) -> dict[int, dict[int, bytes]]:
+    """The blocks by level and number, as ``near_nodes`` has them in its tasks."""
     out: dict[int, dict[int, bytes]] = {0: {}, 1: {}}
-    for r in parts.collect():  # two filters of filter_bits / 8 bytes at most
-        before = out[r.level].get(r.block)
-        out[r.level][r.block] = bytes(r.bits) if before is None else packed(unpacked(before) | unpacked(bytes(r.bits)))
+    for r in repeated_blocks(rows, size, total, filter_bits).toLocalIterator():  # two filters of filter_bits / 8 bytes at most
+        out[r.level][r.block] = bytes(r.bits)
     return out
 
 
-def near_nodes(rows: DataFrame, size: int, percent: int, filters: dict[int, dict[int, bytes]], filter_bits: int) -> DataFrame:
+def sent_in_parts(blocks: DataFrame) -> list[Broadcast]:
+    """The blocks as broadcasts of about ``SENT_BYTES``: the driver has one of them and one partition of the blocks at a time, not all."""
+    context, sent, part, held = blocks.sparkSession.sparkContext, [], [], 0
+    for r in blocks.toLocalIterator():
+        part.append((r.level, r.block, bytes(r.bits)))
+        held += len(part[-1][2])
+        if held >= SENT_BYTES:
+            sent.append(context.broadcast(part))
+            part, held = [], 0
+    return [*sent, context.broadcast(part)] if part else sent
+
+
+def near_nodes(rows: DataFrame, size: int, percent: int, sent: list[Broadcast], filter_bits: int) -> DataFrame:
     """(node, n, prefix, repeated) of the nodes that may have a partner.
 
     ``repeated`` has the shingles that may come elsewhere, sorted; ``prefix`` the rarest of them.
     """
-    sent = rows.sparkSession.sparkContext.broadcast(filters)
     shift = np.uint64(64 - int(log2(filter_bits)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tables = []
-        for level in (0, 1):
-            table = np.zeros(filter_bits // 8, dtype=np.uint8)
-            for block, bits in sent.value[level].items():
-                table[block * (BLOCK_BITS // 8) : (block + 1) * (BLOCK_BITS // 8)] = unpacked(bits)
-            tables.append(table)
+        tables = [np.zeros(filter_bits // 8, dtype=np.uint8) for _ in range(2)]
+        for part in sent:
+            for level, block, bits in part.value:
+                tables[level][block * (BLOCK_BITS // 8) : (block + 1) * (BLOCK_BITS // 8)] = unpacked(bits)
 
         def known(level: int, hashes: np.ndarray) -> np.ndarray:
             places = (hashes >> shift).astype(np.int64)
@@ -342,7 +365,10 @@ def ngram_join(
     rows = id_and_text(docs, doc_id, text)
     every = materialize(nodes_of(rows, size), "nodes")
     total = every.agg(F.sum("n")).first()[0] or 0
-    near = materialize(near_nodes(rows, size, percent, repeated_filters(rows, size, total, filter_bits), filter_bits), "near")
+    filters = sent_in_parts(repeated_blocks(rows, size, total, filter_bits))
+    near = materialize(near_nodes(rows, size, percent, filters, filter_bits), "near")
+    for part in filters:  # what follows reads the written nodes
+        part.destroy()
     joined = components(node_links(near, percent, block))
     labels = joined.withColumnRenamed("component", "label")
     full = every.filter("n > 0").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))

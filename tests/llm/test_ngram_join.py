@@ -4,6 +4,7 @@ from collections import Counter
 import pytest
 from fixtures import odd_pairs, prose, shingle_set, smallest_reachable, table
 
+from fieldtally.llm import ngram_join as ngram
 from fieldtally.llm.components import components
 from fieldtally.llm.ngram_join import keep_one, ngram_join, t_occurrence
 
@@ -82,3 +83,19 @@ def test_components(spark):
     least = smallest_reachable(nodes, [(position[a], position[b]) for a, b in links])
     assert found == dict(zip(nodes, least, strict=True))
     assert components(spark.createDataFrame([], "a bigint, b bigint")).collect() == []
+
+
+def test_filters_pass_the_driver_in_parts(spark, monkeypatch):
+    """Before, the driver held all blocks of both filters at once, as rows and again as what it sent."""
+    monkeypatch.setattr(ngram, "SENT_BYTES", 2000)
+    sizes, send = [], spark.sparkContext.broadcast
+    monkeypatch.setattr(spark.sparkContext, "broadcast", lambda part: sizes.append(sum(len(b) for _, _, b in part)) or send(part))
+    monkeypatch.setattr(type(spark.range(0)), "collect", lambda self: pytest.fail("blocks were collected"))
+    rows = table(spark, near_pairs() * 2).selectExpr("doc_id", "text")
+    every = ngram.repeated_filters(rows, 4, 1 << 27, 1 << 22)  # more buckets than blocks: their parts are united
+    blocks = ngram.repeated_blocks(rows, 4, 1 << 27, 1 << 22)
+    parts = ngram.sent_in_parts(blocks)
+    assert len(parts) > 3 and max(sizes) < 2000 + (1 << 13)
+    found = [x for p in parts for x in p.value]
+    assert len({x[:2] for x in found}) == len(found)
+    assert {(level, block): bits for level, block, bits in found} == {(level, block): bits for level, own in every.items() for block, bits in own.items()}
